@@ -29,7 +29,8 @@ def in_window(column: Column, start: Day, end: Day) -> Column:
 
 
 def iso_day(date: Column) -> Column:
-    return F.date_format(date, "yyyy-MM-dd")
+    """``yyyy-MM-dd``; the text form of a date, which takes no detour over a time zone."""
+    return F.to_date(date).cast("string")
 
 
 def yyyymm(date: Column) -> Column:

@@ -10,6 +10,7 @@ from lineledger.functions.dates import Day
 from lineledger.operators import department_hierarchy
 from lineledger.plans.mart import credited_sales, mart_rows, normalize_mart, products
 from lineledger.scratch import Stage, staging
+from lineledger.session import sized_shuffles
 from lineledger.sinks.table import append_mart, compact_day, ensure_table, replace_day, replace_range
 from lineledger.sources.tables import Sources
 
@@ -48,7 +49,7 @@ def run_backfill(
     if mode not in ("append", "replace"):
         raise ValueError("mode is 'append' or 'replace'")
     ensure_table(spark, table, location)
-    with staging(spark) as stage:
+    with sized_shuffles(spark, sources.documents, sources.document_lines), staging(spark) as stage:
         rows = _rows(stage, sources, start, end, config, stage_documents=False)
         if mode == "append":
             append_mart(rows, table)
@@ -68,7 +69,7 @@ def run_daily(
 ) -> None:
     """Replaces one day; running it again changes nothing, and a day without sales ends empty."""
     ensure_table(spark, table, location)
-    with staging(spark) as stage:
+    with sized_shuffles(spark, sources.documents), staging(spark) as stage:
         replace_day(_rows(stage, sources, day, next_day(day), config, stage_documents=True), table, day)
     if compact:
         compact_day(spark, table, day)

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +12,10 @@ from lineledger.functions import as_day, in_window, next_day, yyyymm
 from lineledger.functions.dates import Day
 from lineledger.schemas import MART_COLUMNS, MART_SCHEMA
 from lineledger.scratch import folder_exists, staging
+from lineledger.session import settings
 
 PARTITION_COLUMNS = ("yyyymm", "date")
 _DATA_COLUMNS = tuple(c for c in MART_COLUMNS if c != "date")
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _quoted(table: str) -> str:
@@ -71,18 +70,12 @@ def append_mart(df: DataFrame, table: str) -> None:
     _laid_out(df).write.insertInto(table)
 
 
-@contextmanager
-def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
+def _only_written_partitions(spark: SparkSession) -> AbstractContextManager[None]:
     """Overwrites replace just the partitions that get rows, and only once the write has succeeded.
 
     ``insertInto`` follows the session setting and ignores the option of the same name on the writer.
     """
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+    return settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"})
 
 
 def loaded_days(spark: SparkSession, table: str) -> list[dt.date]:

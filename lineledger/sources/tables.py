@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +13,35 @@ from lineledger.schemas import KEPT_AS_STORED, SOURCE_SCHEMAS
 Reader = Callable[[SparkSession, str], DataFrame]
 
 
-@dataclass(frozen=True)
 class Sources:
-    nomenclatures: DataFrame
-    departments: DataFrame
-    documents: DataFrame
-    department_roots: DataFrame
-    document_lines: DataFrame
-    employees: DataFrame
+    """The six tables; each is opened when it is first asked for."""
+
+    def __init__(self, scan: Callable[[str], DataFrame]) -> None:
+        self._scan = scan
+
+    @cached_property
+    def nomenclatures(self) -> DataFrame:
+        return self._scan("nomenclatures")
+
+    @cached_property
+    def departments(self) -> DataFrame:
+        return self._scan("departments")
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        return self._scan("documents")
+
+    @cached_property
+    def department_roots(self) -> DataFrame:
+        return self._scan("view_departments_with_root_folders")
+
+    @cached_property
+    def document_lines(self) -> DataFrame:
+        return self._scan("documents_tabular_part")
+
+    @cached_property
+    def employees(self) -> DataFrame:
+        return self._scan("employees")
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -39,19 +60,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def load_sources(spark: SparkSession, reader: Reader) -> Sources:
-    """Scans of all six tables; ``reader(spark, name)`` says where a table is read from."""
-
-    def scan(table: str) -> DataFrame:
-        return conform(reader(spark, table), table)
-
-    return Sources(
-        nomenclatures=scan("nomenclatures"),
-        departments=scan("departments"),
-        documents=scan("documents"),
-        department_roots=scan("view_departments_with_root_folders"),
-        document_lines=scan("documents_tabular_part"),
-        employees=scan("employees"),
-    )
+    """Scans of the six tables; ``reader(spark, name)`` says where a table is read from."""
+    return Sources(lambda table: conform(reader(spark, table), table))
 
 
 def parquet_reader(folder: str) -> Reader:

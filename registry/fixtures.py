@@ -154,13 +154,11 @@ def source_ctes() -> str:
 def test_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The sources as DataFrames over the parquet files in ``sf_dir``."""
 
-    scans = {
-        name: spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet") for name, schema in TEST_TABLES.items()
-    }
-
     def reader(spark: SparkSession, table: str) -> DataFrame:
         text = SOURCE_SQL[table]
-        return spark.sql(text, **{name: scan for name, scan in scans.items() if f"{{{name}}}" in text})
+        used = [name for name in TEST_TABLES if f"{{{name}}}" in text]
+        scans = {name: spark.read.schema(TEST_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet") for name in used}
+        return spark.sql(text, **scans)
 
     return load_sources(spark, reader)
 

@@ -1,0 +1,152 @@
+"""A small hand-written data set with the default ids, and helpers to compare rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+from collections import Counter
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lineledger.schemas import MART_SCHEMA, SOURCE_SCHEMAS
+from lineledger.sources import Sources, load_sources
+
+START, END = "2025-01-01", "2025-08-01"
+LONG_NAME = "Очень длинное название папки каталога номенклатуры, шестьдесят"
+
+NOMENCLATURES = [
+    # id, code, name, root_folder_id, folder, isFolder, deleted
+    (1, None, "Корень", 0, None, 1, 0),
+    (2, None, LONG_NAME, 1, 1, 1, 0),
+    (3, None, "Третья", 1, 2, 1, 0),
+    (4, None, "Четвёртая", 1, 3, 1, 0),
+    (5, None, "Пятая", 1, 4, 1, 0),
+    (6, None, "Удалённая папка", 1, 1, 1, 1),
+    (7, 700, "Папка с кодом", 1, 1, 1, 0),
+    (11, 101, "Товар 1", 1, 1, None, 0),
+    (12, 102, "Товар 2", 1, 2, None, 0),
+    (13, 103, "Товар 3", 1, 3, None, 0),
+    (14, 104, "Товар 4", 1, 4, None, 0),
+    (15, 105, "Товар 5", 1, 5, None, 0),
+    (16, 106, "Удалённый товар", 1, 1, None, 1),
+    (17, 107, "Двойной A", 1, 1, None, 0),
+    (18, 107, "Двойной B", 1, 2, None, 0),
+    (19, 108, "В удалённой папке", 1, 6, None, 0),
+    (20, 109, None, 1, None, None, 0),
+]
+
+DEPARTMENTS = [
+    # id, name, parent
+    (59041, "Партнёры", None),
+    (42560, "Отдел 42560", None),
+    (42570, "Секция 42570", 42560),
+    (42580, "Сектор 42580", 42570),
+    (2831542, "Секция под отделом", 42560),
+    (2831572, "Плоский", None),
+    (2831573, "Под плоским", 2831572),
+    (2124383, "Рефералы", None),
+    (2124384, "Реферал 1", 2124383),
+    (70001, "Партнёр 1", 59041),
+]
+
+DEPARTMENT_ROOTS = [(70001, 59041), (70002, 59041), (70002, 59041), (42580, 42560)]
+
+EMPLOYEES = [
+    # id, first, last
+    (1, "Анна", "Петрова"),
+    (2, None, "Иванов"),
+    (3, "Олег", None),
+    (4, "Ира", ""),
+    (5, "Пётр", "Сидоров"),
+]
+
+DOCUMENTS = [
+    # id, number, time, shipment, total, deleted, type, department, employee
+    (1, "000123", "2025-03-15 15:30:00", 1, 10.0, 0, "shipment", 70001, 1),
+    (901, "000123", "2024-12-01 00:00:00", 0, 10.0, 0, "outbill", 42580, 5),
+    (902, "000123", "2025-02-01 00:00:00", 0, 10.0, 0, "outbill", 2124384, 2),
+    (903, "000123", "2025-02-01 00:00:00", 0, 10.0, 0, "outbill", 42580, 1),
+    (904, "000123", "2025-02-01 00:00:00", 0, 10.0, 1, "outbill", 42580, 5),
+    (905, "000123", "2025-02-01 00:00:00", 0, 10.0, 0, "OutBill", 42580, 5),
+    (906, "000123", "2025-02-01 00:00:00", 0, 10.0, 0, "outbill", 42580, None),
+    (2, "N2", "2025-01-01 00:00:00", 1, 5.0, 0, "shipment", 42580, 2),
+    (3, "N3", "2025-08-01 00:00:00", 1, 5.0, 0, "shipment", 42580, 2),
+    (4, "N4", "2025-07-31 23:59:59", 1, 5.0, 0, "shipment", 2831572, 3),
+    (5, "N5", "2025-03-16 00:00:00", 1, 0.0, 0, "shipment", 42580, 1),
+    (6, "N6", "2025-03-16 00:00:00", 1, 5.0, 1, "shipment", 42580, 1),
+    (7, "N7", "2025-03-16 00:00:00", 0, 5.0, 0, "shipment", 42580, 1),
+    (8, "N8", "2025-03-16 00:00:00", 1, 5.0, 0, "shipment", 42580, 1),
+    (9, "N9", "2025-03-17 00:00:00", 1, 5.0, 0, "shipment", 70002, None),
+    (907, "N9", "2025-03-17 00:00:00", 0, 5.0, 0, "outbill", 42580, 5),
+    (10, "N10", "2025-03-18 00:00:00", 1, 5.0, 0, "shipment", 70002, 4),
+    (908, "N10", "2025-03-18 00:00:00", 0, 5.0, 0, "outbill", 2831542, 5),
+    (11, "NA", "2025-03-19 00:00:00", 1, 5.0, 0, "shipment", None, 99),
+    (12, "N12", "2025-03-20 00:00:00", 1, None, 0, "shipment", 42580, 1),
+    (13, "N13", "2025-03-20 00:00:00", 1, 5.0, 0, "shipment", 2831573, 5),
+]
+
+LINES = [
+    # document, code, price
+    (1, 101, 1.5),
+    (1, 102, None),
+    (2, 103, 2.0),
+    (3, 101, 2.0),
+    (4, 104, 3.0),
+    (5, 101, 3.0),
+    (6, 101, 3.0),
+    (7, 101, 3.0),
+    (9, 105, 4.0),
+    (10, 106, 5.0),
+    (11, 107, 6.0),
+    (11, 700, 7.0),
+    (12, 101, 1.0),
+    (13, 999, 8.0),
+    (13, None, 9.0),
+    (13, 109, 9.5),
+    (901, 101, 100.0),
+]
+
+
+def frame(spark: SparkSession, table: str, rows: list[tuple]) -> DataFrame:
+    """Rows with the declared schema of ``table``; a shipment given as text becomes a timestamp."""
+    schema = SOURCE_SCHEMAS[table]
+    if table != "documents":
+        return spark.createDataFrame(rows, schema)
+    columns = ", ".join(
+        f"{f.name} {'string' if f.name == 'sbis_shipment_date' else f.dataType.simpleString()}" for f in schema
+    )
+    documents = spark.createDataFrame(rows, columns)
+    return documents.withColumn("sbis_shipment_date", documents.sbis_shipment_date.cast("timestamp_ntz"))
+
+
+def edge_sources(spark: SparkSession, **replaced: list[tuple]) -> Sources:
+    rows = {
+        "nomenclatures": NOMENCLATURES,
+        "departments": DEPARTMENTS,
+        "documents": DOCUMENTS,
+        "view_departments_with_root_folders": DEPARTMENT_ROOTS,
+        "documents_tabular_part": LINES,
+        "employees": EMPLOYEES,
+        **replaced,
+    }
+    return load_sources(spark, lambda spark, table: frame(spark, table, rows[table]))
+
+
+def _plain(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
+    return tuple(value) if isinstance(value, list) else value
+
+
+def bag(df: DataFrame) -> Counter:
+    """The rows as a bag, with NaN equal to itself."""
+    return Counter(tuple(_plain(v) for v in row) for row in df.collect())
+
+
+def mart_frame(spark: SparkSession, *days: str, price: float = 1.0) -> DataFrame:
+    """One made-up mart row per given day, for the sinks."""
+    rows = [
+        (dt.date.fromisoformat(day), f"n{i}", "g", "d", "s", "t", "e", "r", "f1", "f2", "f3", "p", price, "not changed")
+        for i, day in enumerate(days)
+    ]
+    return spark.createDataFrame(rows, MART_SCHEMA)

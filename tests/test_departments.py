@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+
+from lineledger.config import MartConfig
+from lineledger.operators import department_hierarchy, department_subtree
+from tests.data import DEPARTMENTS, bag, frame
+
+
+@pytest.fixture(scope="module")
+def departments(spark):
+    return frame(spark, "departments", DEPARTMENTS)
+
+
+def test_subtree_by_parent(departments):
+    rows = department_subtree(departments, parent_ids=MartConfig().section_parent_ids)
+    assert Counter((r.department_id, r.root_id) for r in rows.collect()) == Counter(
+        {(42570, 42570): 1, (42580, 42570): 1, (2831542, 2831542): 1, (2124384, 2124384): 1}
+    )
+    assert rows.columns == ["department_id", "department_name", "parent_department_id", "root_id"]
+
+
+def test_subtree_by_id(departments):
+    rows = department_subtree(departments, ids=[42560])
+    assert {(r.department_id, r.root_id) for r in rows.collect()} == {
+        (42560, 42560), (42570, 42560), (42580, 42560), (2831542, 42560),
+    }
+
+
+def test_subtree_wants_one_kind_of_root(departments):
+    for roots in ({}, {"ids": [1], "parent_ids": [1]}):
+        with pytest.raises(ValueError):
+            department_subtree(departments, **roots)
+
+
+def test_hierarchy(departments):
+    rows = {}
+    for r in department_hierarchy(departments).collect():
+        rows.setdefault(r.department_id, []).append((r.sector, r.original_parent_id, r.section, r.department))
+    assert rows[42580] == [("Сектор 42580", 42570, "Секция 42570", "Отдел 42560")]
+    assert rows[42560] == [("Отдел 42560", 42560, "Отдел 42560", "Отдел 42560")]
+    # reached from two sets of roots: two rows
+    assert sorted(rows[2831542]) == [
+        ("Секция под отделом", 2831542, "Секция под отделом", "Отдел 42560"),
+        ("Секция под отделом", 2831542, "Секция под отделом", "Секция под отделом"),
+    ]
+    # flat only; what lies below it is unknown
+    assert rows[2831572] == [("Плоский", 2831572, "Плоский", "Плоский")]
+    assert 2831573 not in rows
+    assert 70001 not in rows
+
+
+def test_root_without_its_parent_is_dropped(spark):
+    rows = [(1, "секция", 42560), (2, "сектор", 1)]
+    assert department_hierarchy(frame(spark, "departments", rows)).count() == 0
+
+
+def test_cycle_ends_in_an_error(spark):
+    looped = frame(spark, "departments", [(1, "a", 2), (2, "b", 1)])
+    with pytest.raises(Exception, match="RECURSION_LEVEL_LIMIT_EXCEEDED"):
+        department_subtree(looped, ids=[1], max_depth=20).collect()
+
+
+def test_long_chain(spark):
+    chain = frame(spark, "departments", [(i, f"d{i}", i - 1) for i in range(1, 31)])
+    assert department_subtree(chain, ids=[1]).count() == 30
+
+
+def test_more_rows_than_the_sessions_recursion_limit(spark):
+    star = frame(spark, "departments", [(1, "top", None), *((i, f"d{i}", 1) for i in range(2, 202))])
+    key = "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        assert department_subtree(star, ids=[1]).count() == 201
+    finally:
+        spark.conf.set(key, before)
+
+
+def brute_force(rows, config):
+    """The hierarchy as a bag; department ids may repeat."""
+
+    def below(root):
+        out, level = set(), {root}
+        while level:
+            out |= level
+            level = {r for r in rows for above in level if r[2] is not None and r[2] == above[0]} - out
+        return out
+
+    two_level, one_level = set(), set()
+    for root in rows:
+        if root[2] in config.section_parent_ids:
+            tops = [(d[1], d2[1]) for d in rows if d[0] == root[0] for d2 in rows if d2[0] == d[2]]
+            two_level |= {(m[0], m[1], root[0], *names) for m in below(root) for names in tops}
+        if root[0] in config.section_ids:
+            names = [d[1] for d in rows if d[0] == root[0]]
+            one_level |= {(m[0], m[1], root[0], n, n) for m in below(root) for n in names}
+    out = Counter(two_level)
+    out.update(one_level)
+    out.update((r[0], r[1], r[0], r[1], r[1]) for r in rows if r[0] in config.flat_ids)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_hierarchy_on_random_forests(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, f"d{rng.randrange(12)}", rng.choice([None, *range(i)]) if i else None) for i in range(30)]
+    rows += [(rng.randrange(10, 30), f"other {i}", rng.randrange(10)) for i in range(3)]  # repeated ids
+    config = MartConfig(section_parent_ids=(0, 1, 2), section_ids=(3, 4, 1), flat_ids=(0, 5, 7))
+    assert bag(department_hierarchy(frame(spark, "departments", rows), config)) == brute_force(rows, config)

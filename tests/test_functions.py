@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from lineledger.config import UNKNOWN, MartConfig
+from lineledger.functions import (
+    as_day,
+    department_group,
+    in_window,
+    iso_day,
+    label_or,
+    next_day,
+    path_append,
+    path_entry,
+    path_start,
+    price_or_nan,
+    short_name,
+    text_or_empty,
+    yyyymm,
+)
+
+
+def value(spark, column):
+    return spark.range(1).select(column).first()[0]
+
+
+@pytest.mark.parametrize(
+    ("first", "last", "expected"),
+    [
+        ("Анна", "Петрова", "Анна П."),
+        (None, "Иванов", None),
+        ("Олег", None, "Не известен"),
+        (None, None, "Не известен"),
+        ("Ира", "", "Ира ."),
+    ],
+)
+def test_short_name(spark, first, last, expected):
+    text = [F.lit(v).cast("string") for v in (first, last)]
+    assert value(spark, short_name(*text)) == expected
+
+
+@pytest.mark.parametrize(
+    ("department", "expected"),
+    [
+        ("Рефералы", "Представители"),
+        ("Представители Киров", "Представители"),
+        ("Представители Ижевск", "Представители"),
+        ("Бухгалтерия", "Офис"),
+        ("", "Офис"),
+        (None, "Не известен"),
+    ],
+)
+def test_department_group(spark, department, expected):
+    assert value(spark, department_group(F.lit(department).cast("string"))) == expected
+
+
+def test_default_ids_are_separate_lists():
+    config = MartConfig()
+    assert len(config.section_parent_ids) == 7
+    assert len(config.section_ids) == 9
+    assert set(config.flat_ids) - set(config.section_parent_ids) == {2831572}
+
+
+def test_label_or_keeps_empty_text(spark):
+    assert value(spark, label_or(F.lit(""), UNKNOWN)) == ""
+    assert value(spark, label_or(F.lit(None).cast("string"), UNKNOWN)) == UNKNOWN
+
+
+def test_path(spark):
+    path = path_append(path_start(F.lit("а")), F.lit("б" * 60))
+    assert value(spark, path) == ["а", "б" * 60]
+    assert value(spark, path_entry(path, 0, 50)) == "а"
+    assert value(spark, path_entry(path, 1, 50)) == "б" * 50
+    assert value(spark, path_entry(path, 2, 50)) is None
+    assert value(spark, path_entry(F.lit(None).cast("array<string>"), 0, 50)) is None
+
+
+def test_dates(spark):
+    day = F.lit(dt.date(2025, 3, 5))
+    assert value(spark, yyyymm(day)) == 202503
+    assert value(spark, iso_day(day)) == "2025-03-05"
+    assert value(spark, iso_day(F.lit(dt.datetime(2025, 3, 5, 23, 59)))) == "2025-03-05"
+    assert as_day("2025-03-05") == as_day(dt.datetime(2025, 3, 5, 7)) == dt.date(2025, 3, 5)
+    assert next_day("2025-02-28") == dt.date(2025, 3, 1)
+
+
+@pytest.mark.parametrize(
+    ("time", "expected"),
+    [("2025-03-14 23:59:59", False), ("2025-03-15 00:00:00", True), ("2025-03-15 15:30:00", True), ("2025-03-16 00:00:00", False)],
+)
+def test_window_is_half_open(spark, time, expected):
+    for kind in ("timestamp", "timestamp_ntz"):
+        assert value(spark, in_window(F.lit(time).cast(kind), "2025-03-15", "2025-03-16")) is expected
+
+
+def test_cleaning(spark):
+    nothing = F.lit(None)
+    assert value(spark, text_or_empty(nothing.cast("string"))) == ""
+    assert value(spark, text_or_empty(F.lit("007"))) == "007"
+    assert math.isnan(value(spark, price_or_nan(nothing.cast("double"))))
+    assert value(spark, price_or_nan(nothing.cast("double"), nan_price=False)) is None
+    assert value(spark, price_or_nan(F.lit("12.50").cast("decimal(10,2)"))) == 12.5

@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lineledger.operators import (
+    outgoing_invoices,
+    partner_shipments,
+    sales,
+    sales_changed,
+    sales_not_changed,
+    shipped_documents,
+)
+from tests.data import END, START, bag, edge_sources, frame
+
+
+@pytest.fixture(scope="module")
+def src(spark):
+    return edge_sources(spark)
+
+
+def ids(df):
+    return Counter(r.document_id for r in df.collect())
+
+
+def test_shipped_documents(src):
+    # 3 lies on the end of the window, 5 has no total, 6 is deleted, 7 is no shipment, 12 has a NULL total
+    assert set(ids(shipped_documents(src.documents, START, END))) == {1, 2, 4, 8, 9, 10, 11, 13}
+
+
+def test_one_day_takes_in_its_whole_day(src):
+    assert set(ids(shipped_documents(src.documents, "2025-03-15", "2025-03-16"))) == {1}
+
+
+def test_invoices_of_any_date_in_exact_case(src):
+    assert set(ids(outgoing_invoices(src.documents))) == {901, 902, 903, 906, 907, 908}
+
+
+def test_partner_shipments_keep_repeated_view_rows(src):
+    shipped = shipped_documents(src.documents, START, END)
+    assert ids(partner_shipments(shipped, src.department_roots)) == Counter({1: 1, 9: 2, 10: 2})
+
+
+def test_changed(src):
+    rows = sales_changed(src.documents, src.department_roots, START, END)
+    # 903 has the same author, 906 no author; shipment 9 has no author; two view rows double shipment 10
+    assert Counter((r.document_id, r.department_id, r.employee_id) for r in rows.collect()) == Counter(
+        {(1, 42580, 5): 1, (1, 2124384, 2): 1, (10, 2831542, 5): 2}
+    )
+    assert {(r.realization, r.number) for r in rows.collect()} == {("changed", "000123"), ("changed", "N10")}
+    assert {r.sbis_shipment_date for r in rows.collect()} == {dt.date(2025, 3, 15), dt.date(2025, 3, 18)}
+
+
+def test_both_attributions(src):
+    rows = sales(src.documents, src.department_roots, START, END)
+    assert bag(rows) == bag(sales_changed(src.documents, src.department_roots, START, END)) + bag(
+        sales_not_changed(src.documents, START, END)
+    )
+    tags = Counter(r.realization for r in rows.where(F.col("document_id") == 1).collect())
+    assert tags == Counter({"changed": 2, "not changed": 1})
+
+
+def test_invoices_first_gives_the_same(src):
+    shipped = shipped_documents(src.documents, START, END).alias("s")
+    bills = outgoing_invoices(src.documents).alias("b")
+    partners = src.department_roots.where("root_id = 59041").alias("p")
+    other_order = (
+        shipped.join(bills, (F.col("s.number") == F.col("b.number")) & (F.col("s.employee_id") != F.col("b.employee_id")))
+        .join(partners, F.col("s.department_id") == F.col("p.department_id"))
+        .selectExpr("s.sbis_shipment_date", "s.document_id", "s.number", "b.department_id", "b.employee_id", "'changed'")
+    )
+    assert bag(other_order) == bag(sales_changed(src.documents, src.department_roots, START, END))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_changed_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = [
+        (
+            i,
+            rng.choice(["a", "b", "c", "", None]),
+            rng.choice(["2025-01-01 00:00:00", "2025-07-31 10:00:00", "2025-08-01 00:00:00"]),
+            rng.choice([0, 1, 1]),
+            rng.choice([0.0, 1.0, 2.0, None]),
+            rng.choice([0, 0, 1]),
+            rng.choice(["outbill", "shipment", None]),
+            rng.choice([1, 2, 3, None]),
+            rng.choice([1, 2, None]),
+        )
+        for i in range(120)
+    ]
+    roots = [(1, 59041), (2, 59041), (2, 59041), (3, 7)]
+    expected = Counter()
+    for d in rows:
+        if d[3] == 1 and (d[4] or 0) > 0 and d[5] == 0 and "2025-01-01" <= d[2] < "2025-08-01":
+            for d2 in rows:
+                known = d[1] is not None and d[1] == d2[1] and None not in (d[8], d2[8])
+                if known and d[8] != d2[8] and d2[5] == 0 and d2[6] == "outbill":
+                    for unit, root in roots:
+                        if unit == d[7] and root == 59041:
+                            day = dt.date.fromisoformat(d[2][:10])
+                            expected[(day, d[0], d[1], d2[7], d2[8], "changed")] += 1
+    src = edge_sources(spark, documents=rows, view_departments_with_root_folders=roots)
+    assert bag(sales_changed(src.documents, src.department_roots, START, END)) == expected
+    assert sum(expected.values()) > 0
+
+
+def test_shipment_column_may_be_a_date(spark, src):
+    as_dates = src.documents.withColumn("sbis_shipment_date", F.to_date("sbis_shipment_date"))
+    assert bag(sales_not_changed(as_dates, START, END)) == bag(sales_not_changed(src.documents, START, END))
+    assert frame(spark, "documents", []).count() == 0
