@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lineledger.schemas import MART_SCHEMA
 
-# Text comes back as it was written: quotes doubled, line breaks kept, no trimming, NULL unlike ''.
+# Text comes back as it was written: quotes doubled, line breaks kept, no trimming. Only '' comes back as NULL,
+# which normalising turns into '' again.
 _TEXT_AS_IS = {
     "header": True,
     "quote": '"',

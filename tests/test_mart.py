@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import datetime as dt
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lineledger import normalize_mart, sales_mart
+from lineledger.plans import lines_of, mart_rows
+from lineledger.schemas import MART_COLUMNS, MART_SCHEMA
+from tests.data import END, LONG_NAME, START, bag, edge_sources
+
+CUT = LONG_NAME[:50]
+OFFICE = ("Офис", "Отдел 42560", "Секция 42570", "Сектор 42580")
+REPRESENTATIVE = ("Представители", "Рефералы", "Реферал 1", "Реферал 1")
+UNKNOWN = ("Не известен", "Не известен", "Не известна", "Не известен")
+GOOD_1 = ("Корень", None, None, None, "Товар 1", 1.5)
+GOOD_2 = ("Корень", CUT, None, None, "Товар 2", None)
+
+EXPECTED = Counter(
+    [
+        # partner shipment 1: its own row and one per invoice author, for each of two lines
+        *[("2025-03-15", "000123", *UNKNOWN, "Анна П.", *good, "not changed") for good in (GOOD_1, GOOD_2)],
+        *[("2025-03-15", "000123", *OFFICE, "Пётр С.", *good, "changed") for good in (GOOD_1, GOOD_2)],
+        *[("2025-03-15", "000123", *REPRESENTATIVE, None, *good, "changed") for good in (GOOD_1, GOOD_2)],
+        ("2025-01-01", "N2", *OFFICE, None, "Корень", CUT, "Третья", None, "Товар 3", 2.0, "not changed"),
+        (
+            "2025-07-31", "N4", "Офис", "Плоский", "Плоский", "Плоский", "Не известен",
+            "Корень", CUT, "Третья", "Четвёртая", "Товар 4", 3.0, "not changed",
+        ),
+        # 9 has no author; its good lies on the fifth level
+        ("2025-03-17", "N9", *UNKNOWN, "Не известен", None, None, None, None, "Товар 5", 4.0, "not changed"),
+        # 10: deleted good; two view rows and two rows of the invoice's department
+        ("2025-03-18", "N10", *UNKNOWN, "Ира .", None, None, None, None, "Удалённый товар", 5.0, "not changed"),
+        *2
+        * [
+            ("2025-03-18", "N10", "Офис", department, "Секция под отделом", "Секция под отделом", "Пётр С.",
+             None, None, None, None, "Удалённый товар", 5.0, "changed")
+            for department in ("Отдел 42560", "Секция под отделом")
+        ],
+        # 11: repeated product code, a folder with a code, no department, unknown employee
+        ("2025-03-19", "NA", *UNKNOWN, "Не известен", "Корень", None, None, None, "Двойной A", 6.0, "not changed"),
+        ("2025-03-19", "NA", *UNKNOWN, "Не известен", "Корень", CUT, None, None, "Двойной B", 6.0, "not changed"),
+        ("2025-03-19", "NA", *UNKNOWN, "Не известен", None, None, None, None, "Папка с кодом", 7.0, "not changed"),
+        # 13: code not in the catalogue, no code, a product without a name; department below a flat one
+        *[
+            ("2025-03-20", "N13", *UNKNOWN, "Пётр С.", None, None, None, None, None, price, "not changed")
+            for price in (8.0, 9.0, 9.5)
+        ],
+    ]
+)  # 8 has no lines and is absent
+
+
+@pytest.fixture(scope="module")
+def src(spark):
+    return edge_sources(spark)
+
+
+def test_every_row_of_the_mart(src):
+    mart = sales_mart(src, START, END)
+    assert tuple(mart.columns) == MART_COLUMNS
+    assert dict(mart.dtypes)["date"] == "string"
+    assert bag(mart) == EXPECTED
+
+
+def test_one_day(src):
+    assert bag(sales_mart(src, "2025-03-18", "2025-03-19")) == Counter(
+        {row: n for row, n in EXPECTED.items() if row[0] == "2025-03-18"}
+    )
+
+
+def test_days_add_up_to_the_window(src):
+    days = [dt.date(2025, 3, 14) + dt.timedelta(days=i) for i in range(7)]
+    total = Counter()
+    for day in days:
+        total += bag(sales_mart(src, day, day + dt.timedelta(days=1)))
+    assert total == bag(sales_mart(src, days[0], days[-1] + dt.timedelta(days=1)))
+
+
+def test_normalized(src):
+    clean = normalize_mart(sales_mart(src, START, END))
+    assert [(f.name, f.dataType) for f in clean.schema] == [(f.name, f.dataType) for f in MART_SCHEMA]
+    filled = Counter()
+    for row, n in EXPECTED.items():
+        price = "NaN" if row[12] is None else row[12]
+        text = [v or "" for v in row[1:12]]
+        filled[(dt.date.fromisoformat(row[0]), *text, price, row[13])] += n
+    assert bag(clean) == filled
+    # the same from typed rows, and without NaN
+    assert bag(normalize_mart(mart_rows(src, START, END))) == filled
+    null_price = normalize_mart(sales_mart(src, START, END), nan_price=False)
+    assert null_price.where("nomenclature_price_total IS NULL").count() == 3
+    assert null_price.where(F.isnan("nomenclature_price_total")).count() == 0
+
+
+def test_text_product_codes(spark):
+    from lineledger.sources import load_sources
+
+    base = edge_sources(spark)
+
+    def reader(spark, table):
+        frames = {
+            "nomenclatures": base.nomenclatures.withColumn("nomenclature_code", F.concat(F.lit("0"), "nomenclature_code")),
+            "documents_tabular_part": base.document_lines.withColumn(
+                "nomenclature_code", F.concat(F.lit("0"), "nomenclature_code")
+            ),
+            "documents": base.documents,
+            "departments": base.departments,
+            "employees": base.employees,
+            "view_departments_with_root_folders": base.department_roots,
+        }
+        return frames[table]
+
+    assert bag(sales_mart(load_sources(spark, reader), START, END)) == EXPECTED
+
+
+def test_decimal_amounts(spark):
+    from lineledger.sources import conform
+
+    decimals = edge_sources(spark).document_lines.withColumn(
+        "nomenclature_price_total", F.col("nomenclature_price_total").cast("decimal(12,2)")
+    )
+    kept = conform(decimals, "documents_tabular_part")
+    assert dict(kept.dtypes)["nomenclature_price_total"] == "decimal(12,2)"
+
+
+def test_window_without_sales(src):
+    assert sales_mart(src, "2030-01-01", "2030-02-01").count() == 0
+
+
+def test_lines_between_the_bounds(src):
+    documents = src.documents.where("document_id IN (2, 4)")
+    assert {r.document_id for r in lines_of(src.document_lines, documents).collect()} == {2, 3, 4}
+    assert lines_of(src.document_lines, src.documents.where("false")).count() == 0
