@@ -1,0 +1,137 @@
+"""One key with a third of all rows: the rows of that key are spread over several tasks, none is lost."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lineledger import MartConfig
+from lineledger.operators import sales_changed
+from lineledger.plans import mart_rows, normalize_mart
+from lineledger.schemas import MART_COLUMNS
+from lineledger.scratch import new_folder
+from lineledger.session import settings
+from lineledger.sinks import append_mart, ensure_table, read_mart
+from lineledger.sources import load_sources, parquet_reader
+from tests.plans import executed
+
+START, END = "2025-01-01", "2025-02-01"
+ROWS = 60_000
+CONFIG = MartConfig(section_parent_ids=(1,), section_ids=(3,), flat_ids=(1,), partner_root=1)
+
+# Thresholds that make a few hundred kilobytes count as large.
+SMALL_SCALE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30000",
+    "spark.sql.files.maxPartitionBytes": "100000",
+}
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A document with a third of the lines, a product with another third, a department, an author and a
+    document number with a third of the documents."""
+    folder = new_folder(spark, "hot")
+    third = F.col("id") % 3 == 0
+    documents = spark.range(1, 6001).select(
+        F.col("id").alias("document_id"),
+        F.when(third, "no number").otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("number"),
+        F.lit("2025-01-10").cast("timestamp").alias("sbis_shipment_date"),
+        F.when(F.col("id") % 400 == 7, 0).otherwise(1).alias("shipment"),
+        F.lit(1.0).alias("invoice_total_sum_calculated"),
+        F.lit(0).alias("deleted"),
+        F.when(F.col("id") % 400 < 8, "outbill").otherwise("shipment").alias("document_type"),
+        F.when(third, 2).otherwise(F.col("id") % 40).alias("department_id"),
+        F.when(third, 5).otherwise(F.col("id") % 700).alias("employee_id"),
+    )
+    lines = spark.range(ROWS).select(
+        F.when(third, 3).otherwise(F.col("id") % 6000 + 1).alias("document_id"),
+        F.when(F.col("id") % 3 == 1, 77).otherwise(F.col("id") % 5000).alias("nomenclature_code"),
+        (F.col("id") / 7).alias("nomenclature_price_total"),
+    )
+    nomenclatures = spark.range(5000).select(
+        (F.col("id") + 1).alias("nomenclature_id"),
+        F.col("id").alias("nomenclature_code"),
+        F.concat(F.lit("product "), F.col("id").cast("string")).alias("name"),
+        F.when(F.col("id") == 0, 0).otherwise(1).alias("root_folder_id"),
+        F.when(F.col("id") > 0, 1).alias("folder"),
+        F.when(F.col("id") == 0, 1).alias("isFolder"),
+        F.lit(0).alias("deleted"),
+    )
+    departments = spark.range(40).select(
+        F.col("id").alias("department_id"),
+        F.concat(F.lit("d"), F.col("id").cast("string")).alias("department_name"),
+        F.when(F.col("id") > 1, 1).alias("parent_department_id"),
+    )
+    roots = departments.select("department_id", F.lit(1).alias("root_id"))
+    employees = spark.range(700).select(
+        F.col("id").alias("employee_id"), F.lit("Имя").alias("first_name"), F.lit("Фамилия").alias("last_name")
+    )
+    tables = {
+        "documents": documents,
+        "documents_tabular_part": lines,
+        "nomenclatures": nomenclatures,
+        "departments": departments,
+        "view_departments_with_root_folders": roots,
+        "employees": employees,
+    }
+    for name, df in tables.items():
+        df.repartition(8).write.parquet(f"{folder}/{name}")
+    return load_sources(spark, parquet_reader(folder))
+
+
+def summary(df):
+    """Row count and an order-free fingerprint of every column."""
+    return df.select(F.count(F.lit(1)), *[F.sum(F.xxhash64(c).cast("decimal(38,0)")) for c in df.columns]).first()
+
+
+def test_hot_document_and_hot_product(spark, hot):
+    plain = summary(mart_rows(hot, START, END, CONFIG))
+    with settings(spark, SMALL_SCALE):
+        mart = mart_rows(hot, START, END, CONFIG)
+        plan = executed(mart)
+        assert summary(mart) == plain
+    by_line = re.findall(r"SortMergeJoin\(skew=true\) \[document_id", plan)
+    by_code = re.findall(r"SortMergeJoin\(skew=true\) \[nomenclature_code", plan)
+    assert by_line and by_code
+    assert plain[0] > ROWS
+
+
+def test_hot_number(spark, hot):
+    plain = summary(sales_changed(hot.documents, hot.department_roots, START, END, CONFIG))
+    small = {
+        **SMALL_SCALE,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "5000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5000",
+        "spark.sql.files.maxPartitionBytes": "5000",
+    }
+    with settings(spark, small):
+        changed = sales_changed(hot.documents, hot.department_roots, START, END, CONFIG)
+        plan = executed(changed)
+        assert summary(changed) == plain
+    assert re.search(r"SortMergeJoin\(skew=true\) \[number", plan)
+
+
+def test_hot_day_is_written_by_several_tasks(spark, hot, table):
+    ensure_table(spark, table)
+    mart = normalize_mart(mart_rows(hot, START, END, CONFIG))
+    with settings(spark, SMALL_SCALE):
+        append_mart(mart, table)
+    written = read_mart(spark, table)
+    assert len(written.inputFiles()) > 2
+    assert summary(written) == summary(mart)
+    assert Counter(written.columns) == Counter(MART_COLUMNS)
+
+
+def test_small_days_make_one_file_each(spark, table):
+    from tests.data import mart_frame
+
+    ensure_table(spark, table)
+    days = [f"2025-01-{d:02}" for d in range(1, 29)]
+    append_mart(mart_frame(spark, *(days * 5)).repartition(8), table)
+    assert len(read_mart(spark, table).inputFiles()) == len(days)
