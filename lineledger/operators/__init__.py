@@ -10,6 +10,8 @@ from lineledger.operators.folders import (
     root_folders,
 )
 from lineledger.operators.sales import (
+    credited_to_invoice,
+    credited_to_shipment,
     outgoing_invoices,
     partner_shipments,
     sales,
@@ -20,6 +22,8 @@ from lineledger.operators.sales import (
 
 __all__ = [
     "child_folders",
+    "credited_to_invoice",
+    "credited_to_shipment",
     "department_hierarchy",
     "department_subtree",
     "folder_listing",

@@ -40,23 +40,19 @@ def partner_shipments(shipped: DataFrame, department_roots: DataFrame, partner_r
     return shipped.join(partners, "department_id")
 
 
-def sales_changed(
-    documents: DataFrame,
-    department_roots: DataFrame,
-    start: Day,
-    end: Day,
-    config: MartConfig = MartConfig(),
+def credited_to_invoice(
+    by_partners: DataFrame, documents: DataFrame, invoice_type: str = INVOICE_TYPE
 ) -> DataFrame:
     """Partner shipments whose invoice has another author, once per invoice, credited to that author.
 
-    Shipments are cut down to partners first, so only those and the invoices shuffle on ``number``. A number
-    that holds a large share of the documents makes one large join partition; both sides of an inner
-    sort-merge join may be split at run time, and the pairs go on as rows, never as a collected group.
+    Only partner shipments and invoices meet on ``number``. A number that holds a large share of the documents
+    makes one large join partition; both sides of an inner sort-merge join may be split at run time, and the
+    matches go on as rows, never as a collected group.
     """
-    shipments = partner_shipments(
-        shipped_documents(documents, start, end), department_roots, config.partner_root
-    ).select("sbis_shipment_date", "document_id", "number", F.col("employee_id").alias("shipped_by"))
-    invoices = outgoing_invoices(documents, config.invoice_type).select("number", "department_id", "employee_id")
+    shipments = by_partners.select(
+        "sbis_shipment_date", "document_id", "number", F.col("employee_id").alias("shipped_by")
+    )
+    invoices = outgoing_invoices(documents, invoice_type).select("number", "department_id", "employee_id")
     other_author = F.col("shipped_by") != F.col("employee_id")  # NULL on either side is no match
     return (
         shipments.join(invoices, "number")
@@ -66,13 +62,27 @@ def sales_changed(
     )
 
 
+def credited_to_shipment(shipped: DataFrame) -> DataFrame:
+    """Every shipment, credited to its own author."""
+    return shipped.withColumn("realization", F.lit(NOT_CHANGED)).select(*SALES_COLUMNS)
+
+
+def sales_changed(
+    documents: DataFrame,
+    department_roots: DataFrame,
+    start: Day,
+    end: Day,
+    config: MartConfig = MartConfig(),
+) -> DataFrame:
+    """Re-credited partner shipments of the window."""
+    shipped = shipped_documents(documents, start, end)
+    by_partners = partner_shipments(shipped, department_roots, config.partner_root)
+    return credited_to_invoice(by_partners, documents, config.invoice_type)
+
+
 def sales_not_changed(documents: DataFrame, start: Day, end: Day) -> DataFrame:
-    """Every shipment of the window, credited to its own author; includes those of ``sales_changed``."""
-    return (
-        shipped_documents(documents, start, end)
-        .withColumn("realization", F.lit(NOT_CHANGED))
-        .select(*SALES_COLUMNS)
-    )
+    """All shipments of the window, those of ``sales_changed`` among them."""
+    return credited_to_shipment(shipped_documents(documents, start, end))
 
 
 def sales(

@@ -1,10 +1,21 @@
 """The mart as a whole and the jobs that load it."""
 
 from lineledger.plans.jobs import run_backfill, run_daily
-from lineledger.plans.mart import credited_sales, lines_of, mart_rows, normalize_mart, products, sales_mart
+from lineledger.plans.mart import (
+    credited_sales,
+    join_lines,
+    label_sales,
+    lines_of,
+    mart_rows,
+    normalize_mart,
+    products,
+    sales_mart,
+)
 
 __all__ = [
     "credited_sales",
+    "join_lines",
+    "label_sales",
     "lines_of",
     "mart_rows",
     "normalize_mart",

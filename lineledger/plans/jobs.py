@@ -7,31 +7,44 @@ from pyspark.sql import DataFrame, SparkSession
 from lineledger.config import MartConfig
 from lineledger.functions import next_day
 from lineledger.functions.dates import Day
-from lineledger.operators import department_hierarchy
-from lineledger.plans.mart import credited_sales, mart_rows, normalize_mart, products
+from lineledger.operators import (
+    credited_to_invoice,
+    credited_to_shipment,
+    department_hierarchy,
+    partner_shipments,
+    shipped_documents,
+)
+from lineledger.plans.mart import join_lines, label_sales, lines_of, normalize_mart, products
 from lineledger.scratch import Stage, staging
 from lineledger.session import sized_shuffles
 from lineledger.sinks.table import append_mart, compact_day, ensure_table, replace_day, replace_range
 from lineledger.sources.tables import Sources
 
+SHIPPED_COLUMNS = ("sbis_shipment_date", "document_id", "number", "department_id", "employee_id")
+
 
 def _rows(
-    stage: Stage, sources: Sources, start: Day, end: Day, config: MartConfig, *, stage_documents: bool
+    stage: Stage, sources: Sources, start: Day, end: Day, config: MartConfig, *, few_documents: bool
 ) -> DataFrame:
-    """Normalised mart rows on top of staged dimensions.
+    """Normalised mart rows on top of staged parts.
 
-    The sizes of the two hierarchies cannot be estimated through a recursion and a chain of joins. Written
-    down they are known: a small one is broadcast and the large side stays where it is, a large one is joined
-    by shuffle. Staged documents do the same for the join with the lines.
+    The planner cannot estimate the hierarchies through a recursion and a chain of joins, nor the shipments
+    through their filters. Written down their sizes are known: a small part is broadcast and the large side
+    stays where it is, a large one is joined by shuffle. The shipments are used three times and scanned once.
+    With ``few_documents`` the labelled documents are staged as well, so that the lines of a short window need
+    no shuffle.
     """
     units = stage(department_hierarchy(sources.departments, config), "units")
     catalogue = stage(products(sources, config), "catalogue")
-    credited = None
-    if stage_documents:
-        credited = stage(credited_sales(sources, start, end, config, units=units), "documents")
-    return normalize_mart(
-        mart_rows(sources, start, end, config, units=units, catalogue=catalogue, credited=credited)
+    shipped = stage(shipped_documents(sources.documents, start, end).select(*SHIPPED_COLUMNS), "shipped")
+    by_partners = stage(partner_shipments(shipped, sources.department_roots, config.partner_root), "by_partners")
+    sold = credited_to_invoice(by_partners, sources.documents, config.invoice_type).unionByName(
+        credited_to_shipment(shipped)
     )
+    credited = label_sales(sold, units, sources.employees, config)
+    if few_documents:
+        credited = stage(credited, "credited")
+    return normalize_mart(join_lines(credited, lines_of(sources.document_lines, shipped), catalogue))
 
 
 def run_backfill(
@@ -50,7 +63,7 @@ def run_backfill(
         raise ValueError("mode is 'append' or 'replace'")
     ensure_table(spark, table, location)
     with sized_shuffles(spark, sources.documents, sources.document_lines), staging(spark) as stage:
-        rows = _rows(stage, sources, start, end, config, stage_documents=False)
+        rows = _rows(stage, sources, start, end, config, few_documents=False)
         if mode == "append":
             append_mart(rows, table)
         else:
@@ -70,6 +83,6 @@ def run_daily(
     """Replaces one day; running it again changes nothing, and a day without sales ends empty."""
     ensure_table(spark, table, location)
     with sized_shuffles(spark, sources.documents), staging(spark) as stage:
-        replace_day(_rows(stage, sources, day, next_day(day), config, stage_documents=True), table, day)
+        replace_day(_rows(stage, sources, day, next_day(day), config, few_documents=True), table, day)
     if compact:
         compact_day(spark, table, day)

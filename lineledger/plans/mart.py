@@ -31,26 +31,14 @@ def products(sources: Sources, config: MartConfig = MartConfig()) -> DataFrame:
     return product_hierarchy(sources.nomenclatures, tree, config.folder_name_length)
 
 
-def credited_sales(
-    sources: Sources,
-    start: Day,
-    end: Day,
-    config: MartConfig = MartConfig(),
-    *,
-    units: DataFrame | None = None,
+def label_sales(
+    sold: DataFrame, units: DataFrame, employees: DataFrame, config: MartConfig = MartConfig()
 ) -> DataFrame:
-    """Sales documents with department labels and the employee's name.
-
-    Labels are joined here, before the lines, while there is one row per document and not one per line.
-    ``units`` takes a department hierarchy that is already computed.
-    """
-    if units is None:
-        units = department_hierarchy(sources.departments, config)
-    documents = sales(sources.documents, sources.department_roots, start, end, config)
+    """Sales documents with the labels of a department hierarchy and the employee's name."""
     department = F.col("department")
     return (
-        documents.join(units.drop("original_parent_id"), "department_id", "left")
-        .join(sources.employees.select("employee_id", "first_name", "last_name"), "employee_id", "left")
+        sold.join(units.drop("original_parent_id"), "department_id", "left")
+        .join(employees.select("employee_id", "first_name", "last_name"), "employee_id", "left")
         .select(
             F.col("sbis_shipment_date").alias("date"),
             "document_id",
@@ -65,6 +53,19 @@ def credited_sales(
     )
 
 
+def credited_sales(sources: Sources, start: Day, end: Day, config: MartConfig = MartConfig()) -> DataFrame:
+    """The window's sales documents with their labels.
+
+    Labels are joined here, before the lines, while there is one row per document and not one per line.
+    """
+    return label_sales(
+        sales(sources.documents, sources.department_roots, start, end, config),
+        department_hierarchy(sources.departments, config),
+        sources.employees,
+        config,
+    )
+
+
 def lines_of(document_lines: DataFrame, documents: DataFrame) -> DataFrame:
     """Lines between the lowest and the highest id of ``documents``: a superset of their lines.
 
@@ -78,24 +79,8 @@ def lines_of(document_lines: DataFrame, documents: DataFrame) -> DataFrame:
     return document_lines.where(F.col("document_id").between(lowest, highest))
 
 
-def mart_rows(
-    sources: Sources,
-    start: Day,
-    end: Day,
-    config: MartConfig = MartConfig(),
-    *,
-    units: DataFrame | None = None,
-    catalogue: DataFrame | None = None,
-    credited: DataFrame | None = None,
-) -> DataFrame:
-    """The mart with the date as a date and nulls as they are; parts that are already computed can be given."""
-    bounds = credited
-    if credited is None:
-        credited = credited_sales(sources, start, end, config, units=units)
-        bounds = shipped_documents(sources.documents, start, end)
-    if catalogue is None:
-        catalogue = products(sources, config)
-    lines = lines_of(sources.document_lines, bounds)
+def join_lines(credited: DataFrame, lines: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Credited documents with their lines and the matching products; documents without lines drop out."""
     return (
         credited.join(lines, "document_id")
         .join(catalogue, "nomenclature_code", "left")
@@ -103,6 +88,15 @@ def mart_rows(
     )
 
 
+def mart_rows(sources: Sources, start: Day, end: Day, config: MartConfig = MartConfig()) -> DataFrame:
+    """The mart with the date as a date and nulls as they are."""
+    return join_lines(
+        credited_sales(sources, start, end, config),
+        lines_of(sources.document_lines, shipped_documents(sources.documents, start, end)),
+        products(sources, config),
+    )
+
+
 def sales_mart(sources: Sources, start: Day, end: Day, config: MartConfig = MartConfig()) -> DataFrame:
     """The mart as a query result: 14 columns, the date as ISO text, nulls not yet filled."""
     return mart_rows(sources, start, end, config).withColumn("date", iso_day(F.col("date")))
