@@ -23,19 +23,36 @@ from lineledger.sources.tables import Sources
 SHIPPED_COLUMNS = ("sbis_shipment_date", "document_id", "number", "department_id", "employee_id")
 
 
+def _hierarchies(
+    spark: SparkSession, stage: Stage, sources: Sources, config: MartConfig
+) -> tuple[DataFrame, DataFrame]:
+    """The department and product hierarchies, staged.
+
+    The planner cannot estimate them through a recursion and a chain of joins. Written down their sizes are
+    known: a small one is broadcast and the large side stays where it is, a large one is joined by shuffle.
+    """
+    units = stage(department_hierarchy(sources.departments, config), "units")
+    with sized_shuffles(spark, sources.nomenclatures):
+        catalogue = stage(products(sources, config), "catalogue")
+    return units, catalogue
+
+
 def _rows(
-    stage: Stage, sources: Sources, start: Day, end: Day, config: MartConfig, *, few_documents: bool
+    stage: Stage,
+    sources: Sources,
+    start: Day,
+    end: Day,
+    config: MartConfig,
+    hierarchies: tuple[DataFrame, DataFrame],
+    *,
+    few_documents: bool,
 ) -> DataFrame:
-    """Normalised mart rows on top of staged parts.
+    """Normalised mart rows.
 
-    The planner cannot estimate the hierarchies through a recursion and a chain of joins, nor the shipments
-    through their filters. Written down their sizes are known: a small part is broadcast and the large side
-    stays where it is, a large one is joined by shuffle. The shipments are used three times and scanned once.
-    With ``few_documents`` the labelled documents are staged as well, so that the lines of a short window need
-    no shuffle.
+    The shipments are used three times and scanned once; staged, their size is known as well. With
+    ``few_documents`` so are the labelled documents, and the lines of a short window need no shuffle.
     """
-    units = stage(department_hierarchy(sources.departments, config), "units")
-    catalogue = stage(products(sources, config), "catalogue")
+    units, catalogue = hierarchies
     shipped = stage(shipped_documents(sources.documents, start, end).select(*SHIPPED_COLUMNS), "shipped")
     by_partners = stage(partner_shipments(shipped, sources.department_roots, config.partner_root), "by_partners")
     sold = credited_to_invoice(by_partners, sources.documents, config.invoice_type).unionByName(
@@ -62,12 +79,14 @@ def run_backfill(
     if mode not in ("append", "replace"):
         raise ValueError("mode is 'append' or 'replace'")
     ensure_table(spark, table, location)
-    with sized_shuffles(spark, sources.documents, sources.document_lines), staging(spark) as stage:
-        rows = _rows(stage, sources, start, end, config, few_documents=False)
-        if mode == "append":
-            append_mart(rows, table)
-        else:
-            replace_range(rows, table, start, end)
+    with staging(spark) as stage:
+        hierarchies = _hierarchies(spark, stage, sources, config)
+        with sized_shuffles(spark, sources.documents, sources.document_lines):
+            rows = _rows(stage, sources, start, end, config, hierarchies, few_documents=False)
+            if mode == "append":
+                append_mart(rows, table)
+            else:
+                replace_range(rows, table, start, end)
 
 
 def run_daily(
@@ -82,7 +101,10 @@ def run_daily(
 ) -> None:
     """Replaces one day; running it again changes nothing, and a day without sales ends empty."""
     ensure_table(spark, table, location)
-    with sized_shuffles(spark, sources.documents), staging(spark) as stage:
-        replace_day(_rows(stage, sources, day, next_day(day), config, few_documents=True), table, day)
+    with staging(spark) as stage:
+        hierarchies = _hierarchies(spark, stage, sources, config)
+        with sized_shuffles(spark, sources.documents):
+            rows = _rows(stage, sources, day, next_day(day), config, hierarchies, few_documents=True)
+            replace_day(rows, table, day)
     if compact:
         compact_day(spark, table, day)

@@ -41,21 +41,23 @@ def partitions_for(size: int) -> int:
 
 
 def sized_shuffles(spark: SparkSession, *inputs: DataFrame) -> AbstractContextManager[None]:
-    """Shuffles start with enough partitions for the largest input, and hot ones are split early.
+    """Shuffles start with enough partitions for the largest input; joins adapt to what they find in them.
 
     The session's own number of partitions is the least that is used; small ones are merged at run time. A join
     partition counts as skewed from the size that partitions are meant to have, not only from four times that,
-    so that one document or product with a large share of the lines does not keep a single task busy.
+    so that one document or product with a large share of the lines does not keep a single task busy. Where
+    every partition of one side stays below that size, the other side is not sorted but looked up in a hash
+    table; else the join is a sort-merge join, which can spill.
     """
     least = int(spark.conf.get(_INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     known = [size for size in map(input_bytes, inputs) if size is not None]
     wanted = max([least, *map(partitions_for, known)])
+    meant_size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     return settings(
         spark,
         {
             _INITIAL_PARTITIONS: str(wanted),
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": spark.conf.get(
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-            ),
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": meant_size,
+            "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": meant_size,
         },
     )

@@ -15,6 +15,7 @@ from lineledger.scratch import folder_exists, staging
 from lineledger.session import settings
 
 PARTITION_COLUMNS = ("yyyymm", "date")
+COMPACTED_BYTES = "512m"  # shuffled rows that make one compacted file
 _DATA_COLUMNS = tuple(c for c in MART_COLUMNS if c != "date")
 
 
@@ -126,7 +127,6 @@ def compact_day(spark: SparkSession, table: str, day: Day) -> None:
     """
     day = as_day(day)
     of_day = spark.table(table).where((F.col("yyyymm") == day.year * 100 + day.month) & (F.col("date") == F.lit(day)))
-    with staging(spark) as stage:
-        copy = stage(of_day, "day")
-        with _only_written_partitions(spark):
-            _laid_out(copy).write.insertInto(table, overwrite=True)
+    large_files = settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": COMPACTED_BYTES})
+    with staging(spark) as stage, large_files, _only_written_partitions(spark):
+        _laid_out(stage(of_day, "day")).write.insertInto(table, overwrite=True)
