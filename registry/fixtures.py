@@ -2,7 +2,8 @@
 
 The text of each table runs in Spark and in DuckDB alike; ``{orders}`` and the like stand for a test table.
 The test table ``documents`` holds prose and has nothing to do with the mart's documents, hence the ``src_``
-names.
+names. Conditions on ids deal roles out to the rows (folders of the fourth and fifth level, unknown employees,
+invoices by another author); orders, lines, parts and suppliers are used whole.
 """
 
 from __future__ import annotations
