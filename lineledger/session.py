@@ -56,6 +56,8 @@ def sized_shuffles(spark: SparkSession, *inputs: DataFrame) -> AbstractContextMa
     return settings(
         spark,
         {
+            "spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
             _INITIAL_PARTITIONS: str(wanted),
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": meant_size,
             "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": meant_size,

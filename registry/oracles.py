@@ -151,6 +151,7 @@ ORACLES: dict[str, str] = {
         "FROM own JOIN src_documents_tabular_part line ON line.document_id = own.doc"
     ),
     "root_folders": _sql(_TREE + " WHERE steps = 1"),
+    "child_folders": _sql(_TREE + " WHERE steps = 2"),
     "folder_tree": _sql(_TREE),
     "folder_listing": _sql(_TREE + " ORDER BY names, leaf_id"),
     "product_hierarchy": _sql(
@@ -201,6 +202,7 @@ ORACLES: dict[str, str] = {
     "backfill_roundtrip": _sql(_CLEAN),
     "append_roundtrip": _sql("SELECT * FROM clean UNION ALL SELECT * FROM clean"),
     "daily_replace_roundtrip": _sql(_CLEAN),
+    "daily_roundtrip": _sql(_CLEAN, DAY, DAY.replace(day=DAY.day + 1)),
     "month_partition_roundtrip": _sql(f"SELECT * FROM clean WHERE {_IN_MONTH}"),
     "compact_roundtrip": _sql(_CLEAN),
 }

@@ -13,6 +13,7 @@ from lineledger import normalize_mart, run_backfill, run_daily, sales_mart
 from lineledger.config import UNKNOWN, UNKNOWN_SECTION
 from lineledger.functions import department_group, label_or, next_day, short_name, yyyymm
 from lineledger.operators import (
+    child_folders,
     department_hierarchy,
     department_subtree,
     folder_listing,
@@ -59,6 +60,13 @@ def root_folders_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _path_as_text(root_folders(test_sources(spark, sf_dir).nomenclatures))
 
 
+@query
+def child_folders_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second level: one step down from the roots."""
+    nomenclatures = test_sources(spark, sf_dir).nomenclatures
+    return _path_as_text(child_folders(nomenclatures, root_folders(nomenclatures)))
+
+
 @query
 def folder_tree_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _path_as_text(folder_tree(test_sources(spark, sf_dir).nomenclatures, CONFIG.folder_depth))
@@ -224,6 +232,14 @@ def daily_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, mart["table"])
 
 
+@query
+def daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily load of a table that does not exist yet."""
+    src, mart = test_sources(spark, sf_dir), _table(spark)
+    run_daily(spark, src, day=DAY, config=CONFIG, **mart)
+    return read_mart(spark, mart["table"])
+
+
 @query
 def month_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month of a loaded table, read from that month's partitions."""
