@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from lineledger.config import MartConfig
@@ -26,15 +29,23 @@ SHIPPED_COLUMNS = ("sbis_shipment_date", "document_id", "number", "department_id
 def _hierarchies(
     spark: SparkSession, stage: Stage, sources: Sources, config: MartConfig
 ) -> tuple[DataFrame, DataFrame]:
-    """The department and product hierarchies, staged.
+    """The department and product hierarchies, staged at the same time.
 
     The planner cannot estimate them through a recursion and a chain of joins. Written down their sizes are
     known: a small one is broadcast and the large side stays where it is, a large one is joined by shuffle.
     """
-    units = stage(department_hierarchy(sources.departments, config), "units")
-    with sized_shuffles(spark, sources.nomenclatures):
-        catalogue = stage(products(sources, config), "catalogue")
-    return units, catalogue
+
+    @inheritable_thread_target(spark)
+    def units() -> DataFrame:
+        return stage(department_hierarchy(sources.departments, config), "units")
+
+    @inheritable_thread_target(spark)
+    def catalogue() -> DataFrame:
+        return stage(products(sources, config), "catalogue")
+
+    with sized_shuffles(spark, sources.nomenclatures), ThreadPoolExecutor(2) as threads:
+        running = threads.submit(units), threads.submit(catalogue)
+        return running[0].result(), running[1].result()
 
 
 def _rows(
