@@ -14,16 +14,22 @@ from lineledger.sources.tables import Reader
 FETCH_SIZE = "10000"
 
 
-def date_predicates(column: str, start: Day, end: Day, days: int = 1) -> list[str]:
-    """Half-open conditions that cut ``[start, end)`` into slices of ``days``, one per read task."""
+def date_predicates(column: str, start: Day, end: Day, days: int = 1, only_window: bool = False) -> list[str]:
+    """Conditions that cut ``[start, end)`` into half-open slices of ``days``, one per read task.
+
+    The last condition takes all other rows, so that the table is read whole: documents of any date can be the
+    invoice of a shipment in the window. ``only_window`` leaves it out.
+    """
     if days < 1:
         raise ValueError("days must be at least 1")
-    start, end = as_day(start), as_day(end)
+    day, end = as_day(start), as_day(end)
     slices = []
-    while start < end:
-        stop = min(start + dt.timedelta(days=days), end)
-        slices.append(f"{column} >= '{start}' AND {column} < '{stop}'")
-        start = stop
+    while day < end:
+        stop = min(day + dt.timedelta(days=days), end)
+        slices.append(f"{column} >= '{day}' AND {column} < '{stop}'")
+        day = stop
+    if not only_window:
+        slices.append(f"{column} < '{as_day(start)}' OR {column} >= '{end}' OR {column} IS NULL")
     return slices
 
 

@@ -73,3 +73,27 @@ def test_staged_copies_are_removed(spark, src, table):
 
     run_daily(spark, src, table, "2025-03-15")
     assert not list(Path(shared_folder(spark).removeprefix("file:")).glob("stage-*"))
+
+
+def test_command_line(spark, src, expected, table):
+    from lineledger.__main__ import main
+    from lineledger.scratch import new_folder
+
+    folder = new_folder(spark, "sources")
+    tables = {
+        "nomenclatures": src.nomenclatures,
+        "departments": src.departments,
+        "documents": src.documents,
+        "view_departments_with_root_folders": src.department_roots,
+        "documents_tabular_part": src.document_lines,
+        "employees": src.employees,
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+    place = ["--parquet", folder, "--table", table, "--location", new_folder(spark, "mart")]
+    main(["backfill", *place, "--start", START, "--end", END])
+    main(["daily", *place, "--day", "2025-03-15", "--compact"])
+    assert bag(read_mart(spark, table)) == expected
+    for wrong in (["daily", *place], ["backfill", "--table", table, "--start", START, "--end", END]):
+        with pytest.raises(SystemExit):
+            main(wrong)

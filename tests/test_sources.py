@@ -54,17 +54,31 @@ def test_catalog_reader(spark):
 
 
 def test_date_predicates():
+    others = "d < '2025-01-30' OR d >= '2025-02-02' OR d IS NULL"
     assert date_predicates("d", "2025-01-30", "2025-02-02") == [
         "d >= '2025-01-30' AND d < '2025-01-31'",
         "d >= '2025-01-31' AND d < '2025-02-01'",
         "d >= '2025-02-01' AND d < '2025-02-02'",
+        others,
     ]
-    assert date_predicates("d", "2025-01-30", "2025-02-02", days=2)[-1] == "d >= '2025-02-01' AND d < '2025-02-02'"
-    assert date_predicates("d", "2025-01-30", "2025-01-30") == []
+    assert date_predicates("d", "2025-01-30", "2025-02-02", days=2, only_window=True) == [
+        "d >= '2025-01-30' AND d < '2025-02-01'",
+        "d >= '2025-02-01' AND d < '2025-02-02'",
+    ]
+    assert date_predicates("d", "2025-01-30", "2025-01-30", only_window=True) == []
     with pytest.raises(ValueError):
         date_predicates("d", "2025-01-30", "2025-01-31", days=0)
 
 
+def test_date_predicates_cover_every_row_once(spark):
+    times = ["2024-01-01 00:00:00", "2025-01-30 00:00:00", "2025-01-31 23:59:59", "2025-02-01 12:00:00",
+             "2025-02-02 00:00:00", None]
+    rows = spark.createDataFrame([(t,) for t in times], "d string").withColumn("d", F.col("d").cast("timestamp_ntz"))
+    predicates = date_predicates("d", "2025-01-30", "2025-02-02")
+    hits = sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0))
+    assert {r[0] for r in rows.select(hits).collect()} == {1}
+
+
 def test_read_source_splits():
     session = MagicMock()
     read_source(session, "employees", url=URL, properties={"user": "u"})
