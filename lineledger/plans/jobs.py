@@ -64,8 +64,10 @@ def _rows(
     ``few_documents`` so are the labelled documents, and the lines of a short window need no shuffle.
     """
     units, catalogue = hierarchies
-    shipped = stage(shipped_documents(sources.documents, start, end).select(*SHIPPED_COLUMNS), "shipped")
-    by_partners = stage(partner_shipments(shipped, sources.department_roots, config.partner_root), "by_partners")
+    shipped = shipped_documents(sources.documents, start, end).select(*SHIPPED_COLUMNS)
+    shipped = stage(shipped, "shipped", rebalance=few_documents)
+    by_partners = partner_shipments(shipped, sources.department_roots, config.partner_root)
+    by_partners = stage(by_partners, "by_partners", rebalance=few_documents)
     sold = credited_to_invoice(by_partners, sources.documents, config.invoice_type).unionByName(
         credited_to_shipment(shipped)
     )

@@ -9,7 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-Stage = Callable[[DataFrame, str], DataFrame]
+Stage = Callable[..., DataFrame]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,13 +43,15 @@ def staging(spark: SparkSession) -> Iterator[Stage]:
     """Gives ``stage(df, name)``, which writes ``df`` and returns it read back; the copies go at the end.
 
     A staged DataFrame is computed once, survives the loss of executors, and has its true size in the
-    statistics, so the planner itself decides whether it can be broadcast.
+    statistics, so the planner itself decides whether it can be broadcast. Rows are rebalanced first, so that a
+    few rows out of many scan tasks do not become as many files; ``rebalance=False`` saves that shuffle where
+    every task has a fair share.
     """
     folder = new_folder(spark, "stage")
 
-    def stage(df: DataFrame, name: str) -> DataFrame:
+    def stage(df: DataFrame, name: str, *, rebalance: bool = True) -> DataFrame:
         path = f"{folder}/{name}"
-        df.write.parquet(path)
+        (df.hint("rebalance") if rebalance else df).write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     try:
