@@ -47,8 +47,8 @@ class Sources:
 def conform(df: DataFrame, table: str) -> DataFrame:
     """``df`` with exactly the declared columns of ``table``, in order and type.
 
-    A shipment time becomes its day here, in the session's time zone if it is an instant. Spark turns a filter on that day back into one on the stored
-    timestamp, so it still reaches the scan.
+    A shipment time becomes its day here, in the session's time zone if it is an instant. Spark turns a filter
+    on that day back into one on the stored timestamp, so it still reaches the scan.
     """
     columns = []
     for field in SOURCE_SCHEMAS[table]:

@@ -163,7 +163,9 @@ ORACLES: dict[str, str] = {
     "department_hierarchy": _sql(
         "SELECT unit_id AS department_id, sector, root_id AS original_parent_id, section, department FROM units"
     ),
-    "shipped_documents": _sql("SELECT document_id, number, sbis_shipment_date, department_id, employee_id FROM shipped"),
+    "shipped_documents": _sql(
+        "SELECT document_id, number, sbis_shipment_date, department_id, employee_id FROM shipped"
+    ),
     "outgoing_invoices": _sql(
         "SELECT document_id, number, department_id, employee_id FROM src_documents "
         f"WHERE document_type = '{CONFIG.invoice_type}' AND deleted = 0"
@@ -192,9 +194,11 @@ ORACLES: dict[str, str] = {
     "sales_mart": _sql(_MART),
     "sales_mart_day": _sql(_MART, DAY, DAY.replace(day=DAY.day + 1)),
     "sales_mart_normalized": _sql(_CLEAN),
-    "sales_mart_normalized_null_price": _sql("SELECT * EXCLUDE (date, nomenclature_price_total), date, "
+    "sales_mart_normalized_null_price": _sql(
+        "SELECT * EXCLUDE (date, nomenclature_price_total), date, "
         "CASE WHEN NOT isnan(nomenclature_price_total) THEN nomenclature_price_total END "
-        "AS nomenclature_price_total FROM clean"),
+        "AS nomenclature_price_total FROM clean"
+    ),
     "sales_mart_month": _sql(
         f"SELECT CAST(year(date) * 100 + month(date) AS INT) AS yyyymm, clean.* FROM clean WHERE {_IN_MONTH}"
     ),

@@ -90,7 +90,12 @@ def test_dates(spark):
 
 @pytest.mark.parametrize(
     ("time", "expected"),
-    [("2025-03-14 23:59:59", False), ("2025-03-15 00:00:00", True), ("2025-03-15 15:30:00", True), ("2025-03-16 00:00:00", False)],
+    [
+        ("2025-03-14 23:59:59", False),
+        ("2025-03-15 00:00:00", True),
+        ("2025-03-15 15:30:00", True),
+        ("2025-03-16 00:00:00", False),
+    ],
 )
 def test_window_is_half_open(spark, time, expected):
     for kind in ("timestamp", "timestamp_ntz"):

@@ -71,8 +71,11 @@ def test_staged_copies_are_removed(spark, src, table):
 
     from lineledger.scratch import shared_folder
 
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.glob("stage-*"))
     run_daily(spark, src, table, "2025-03-15")
-    assert not list(Path(shared_folder(spark).removeprefix("file:")).glob("stage-*"))
+    assert shared.exists()
+    assert set(shared.glob("stage-*")) == before
 
 
 def test_command_line(spark, src, expected, table):
