@@ -25,6 +25,8 @@ from lineledger.operators import (
 from lineledger.schemas import MART_COLUMNS
 from lineledger.sources.tables import Sources
 
+MOST_BROADCAST_IDS = 1_000_000  # eight bytes each, some tens of megabytes as a hash table
+
 
 def products(sources: Sources, config: MartConfig = MartConfig()) -> DataFrame:
     tree = folder_tree(sources.nomenclatures, config.folder_depth)
@@ -67,16 +69,21 @@ def credited_sales(sources: Sources, start: Day, end: Day, config: MartConfig =
 
 
 def lines_of(document_lines: DataFrame, documents: DataFrame) -> DataFrame:
-    """Lines between the lowest and the highest id of ``documents``: a superset of their lines.
+    """The lines that can belong to ``documents``, and few others; the join that follows is exact.
 
-    Ids grow with time, so for a narrow window this keeps most of the largest table out of the scan and out of
-    the shuffle. The bounds are read first, in a small job over the documents, so that they are literals that
-    row-group statistics or a database can use. The join that follows makes the result exact.
+    A small job counts the documents and reads their lowest and highest id. Ids grow with time, so the bounds keep
+    most of the largest table out of the scan for a narrow window; they are literals that row-group statistics or
+    a database can use. Up to ``MOST_BROADCAST_IDS`` documents, their ids are broadcast and the other lines dropped
+    before they are shuffled; beyond that the bounds alone do.
     """
-    lowest, highest = documents.agg(F.min("document_id"), F.max("document_id")).first()
-    if lowest is None:
+    ids = documents.select("document_id")
+    lowest, highest, count = ids.agg(F.min("document_id"), F.max("document_id"), F.count("document_id")).first()
+    if count == 0:
         return document_lines.where(F.lit(False))
-    return document_lines.where(F.col("document_id").between(lowest, highest))
+    lines = document_lines.where(F.col("document_id").between(lowest, highest))
+    if count > MOST_BROADCAST_IDS:
+        return lines
+    return lines.join(F.broadcast(ids), "document_id", "left_semi")
 
 
 def join_lines(credited: DataFrame, lines: DataFrame, catalogue: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import lineledger.plans.mart
 from lineledger import normalize_mart, sales_mart
 from lineledger.plans import lines_of, mart_rows
 from lineledger.schemas import MART_COLUMNS, MART_SCHEMA
@@ -101,7 +102,9 @@ def test_text_product_codes(spark):
 
     def reader(spark, table):
         frames = {
-            "nomenclatures": base.nomenclatures.withColumn("nomenclature_code", F.concat(F.lit("0"), "nomenclature_code")),
+            "nomenclatures": base.nomenclatures.withColumn(
+                "nomenclature_code", F.concat(F.lit("0"), "nomenclature_code")
+            ),
             "documents_tabular_part": base.document_lines.withColumn(
                 "nomenclature_code", F.concat(F.lit("0"), "nomenclature_code")
             ),
@@ -129,7 +132,12 @@ def test_window_without_sales(src):
     assert sales_mart(src, "2030-01-01", "2030-02-01").count() == 0
 
 
-def test_lines_between_the_bounds(src):
+def test_lines_of_few_and_of_many_documents(src, monkeypatch):
     documents = src.documents.where("document_id IN (2, 4)")
-    assert {r.document_id for r in lines_of(src.document_lines, documents).collect()} == {2, 3, 4}
+    assert {r.document_id for r in lines_of(src.document_lines, documents).collect()} == {2, 4}
+    assert lines_of(src.document_lines, documents.unionAll(documents)).count() == 2
     assert lines_of(src.document_lines, src.documents.where("false")).count() == 0
+    # too many ids to broadcast: the bounds alone, and the same mart
+    monkeypatch.setattr(lineledger.plans.mart, "MOST_BROADCAST_IDS", 1)
+    assert {r.document_id for r in lines_of(src.document_lines, documents).collect()} == {2, 3, 4}
+    assert bag(sales_mart(src, START, END)) == EXPECTED
