@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lineledger.llm.chunk_dedup import dedup_substrings
 from lineledger.llm.language_id import languages
 from lineledger.llm.simhash import near_duplicates
 
@@ -29,6 +31,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses to documents with a smaller id, and a digest of what it keeps."""
+    found = dedup_substrings(table(spark, sf_dir, "documents"), F.col("doc_id"))
+    return found.select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of 3-word shingles; fingerprints at most two bits apart are linked."""
