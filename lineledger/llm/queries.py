@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lineledger.llm.chunk_dedup import dedup_substrings
 from lineledger.llm.language_id import languages
 from lineledger.llm.simhash import near_duplicates
+from lineledger.llm.suffix_dedup import dedup_exact
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +39,19 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes every byte inside a 50-byte string that a document with a smaller id has, too."""
+    found = dedup_exact(table(spark, sf_dir, "documents"), length=50)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of 3-word shingles; fingerprints at most two bits apart are linked."""
