@@ -11,6 +11,7 @@ from lineledger.llm.chunk_dedup import dedup_substrings
 from lineledger.llm.language_id import languages
 from lineledger.llm.simhash import near_duplicates
 from lineledger.llm.suffix_dedup import dedup_exact
+from lineledger.llm.warc import archive_and_read, page_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +33,26 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written, read back and assembled to one row per capture."""
+    return page_digests(archive_and_read(table(spark, sf_dir, "pages")))
+
+
+ORACLES["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS kept FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM k
+"""
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document loses to documents with a smaller id, and a digest of what it keeps."""
