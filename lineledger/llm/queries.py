@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineledger.llm.chunk_dedup import dedup_substrings
 from lineledger.llm.language_id import languages
+from lineledger.llm.packing import pack
 from lineledger.llm.simhash import near_duplicates
 from lineledger.llm.suffix_dedup import dedup_exact
 from lineledger.llm.warc import archive_and_read, page_digests
@@ -23,6 +26,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def tokenizer_file(name: str) -> str:
+    """Content of one of the public tokenizer files."""
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -60,6 +68,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 ids, a row per piece."""
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, tokenizer_file("byte_bpe_50k.json"), end_id=2, size=1024, keep_ids=False)
+
+
 @query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removes every byte inside a 50-byte string that a document with a smaller id has, too."""
