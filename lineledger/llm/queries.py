@@ -14,6 +14,7 @@ from lineledger.llm.language_id import languages
 from lineledger.llm.packing import pack
 from lineledger.llm.simhash import near_duplicates
 from lineledger.llm.suffix_dedup import dedup_exact
+from lineledger.llm.token_counts import count_tokens, piece_vocabulary
 from lineledger.llm.warc import archive_and_read, page_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +76,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, tokenizer_file("byte_bpe_50k.json"), end_id=2, size=1024, keep_ids=False)
 
 
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text under a unigram model with the pieces and scores of a public vocabulary."""
+    docs = table(spark, sf_dir, "documents")
+    vocabulary = piece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return count_tokens(docs, vocabulary, F.col("doc_id"), F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removes every byte inside a 50-byte string that a document with a smaller id has, too."""

@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from lineledger.llm.queries import QUERIES
+from lineledger.llm.token_counts import Counter, count_tokens, piece_vocabulary
+
+SF = "/root/testdata/sf0.001"
+PIECES = piece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+BYTES = [(f"<0x{b:02X}>", 0.0) for b in range(256)]
+
+
+def library(vocabulary, byte_fallback):
+    tokenizer = Tokenizer(models.Unigram(vocabulary, 0, byte_fallback))
+    tokenizer.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_equals_the_library_with_many_ties(seed):
+    rng = random.Random(seed)
+    signs = "abc▁" + ("é日🙂" if seed % 2 else "")
+    pieces = {"".join(rng.choice(signs) for _ in range(rng.randint(1, 5))) for _ in range(25)}
+    scores = [-1.0, -2.0, -3.0, 0.0] if seed % 3 else [-0.1, -0.3, -0.7, -1.1]
+    fallback = seed % 4 < 2
+    vocabulary = [("<unk>", 0.0), *((p, rng.choice(scores)) for p in sorted(pieces)), *(BYTES if fallback else [])]
+    expected, own = library(vocabulary, fallback), Counter(tuple(vocabulary), fallback)
+    texts = ["".join(rng.choice("aabbcc  é日🙂x\n▁") for _ in range(rng.randint(1, 40))) for _ in range(600)]
+    for text in texts:
+        assert own.of_text(text) == expected(text), repr(text)
+
+
+def test_missing_byte_pieces():
+    with pytest.raises(ValueError):
+        Counter((("a", 0.0), *BYTES[1:]), True)
+
+
+def test_cache_is_bounded(monkeypatch):
+    monkeypatch.setattr("lineledger.llm.token_counts._REMEMBERED", 3)
+    own = Counter((("a", -1.0),), False)
+    assert [own.of_text("a" * n) for n in range(10)] == [0, *range(2, 11)]
+    assert len(own) <= 3
+
+
+def test_query_equals_the_library(spark):
+    expected = library(PIECES, True)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    found = QUERIES["op7_token_counts"](spark, SF).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.n_chars) for r in found) == sorted((i, expected(t), len(t)) for i, t in docs.items())
+
+
+def test_odd_tables(spark):
+    texts = [None, "", " ", "   ", "a", "a" * 5000, "b▁ c", "a", "\x00\n\t"]
+    rows = [(1 if t == "a" else i, t) for i, t in enumerate(texts)] + [(None, "x y")]
+    odd = spark.createDataFrame(rows, "doc_id int, text string").selectExpr("*", "1 AS n_tokens", "'q' AS __row")
+    found = sorted(((r.doc_id, r.n_tokens) for r in count_tokens(odd, PIECES, F.col("doc_id")).collect()), key=str)
+    expected = library(PIECES, True)
+    assert found == sorted(((i, expected(t) if t else 0) for i, t in rows), key=str)
+    assert count_tokens(odd.where("false"), PIECES, F.col("doc_id")).collect() == []
