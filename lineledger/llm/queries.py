@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineledger.llm.chunk_dedup import dedup_substrings
+from lineledger.llm.decontaminate import contamination
 from lineledger.llm.language_id import languages
 from lineledger.llm.packing import pack
 from lineledger.llm.simhash import near_duplicates
@@ -69,6 +70,45 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that windows of 13 benchmark words cover."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+ORACLES["op4_decontaminate"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS span, array_to_string(w[p : p + least(13, len(w)) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS p FROM i WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, span, p, array_to_string(w[p : p + span - 1], ' ') AS words
+  FROM (SELECT doc_id, w, span, unnest(range(1, len(w) - span + 2)) AS p
+        FROM d, (SELECT DISTINCT span FROM iw) WHERE len(w) >= span)
+), m AS (
+  SELECT doc_id, item_id, p, span FROM dw JOIN iw USING (span, words)
+), h AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + span)) AS place FROM m) GROUP BY 1
+), k AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY 1
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 ids, a row per piece."""
