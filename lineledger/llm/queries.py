@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lineledger.llm.chunk_dedup import dedup_substrings
 from lineledger.llm.decontaminate import contamination
+from lineledger.llm.html_extract import extract
 from lineledger.llm.language_id import languages
 from lineledger.llm.packing import pack
 from lineledger.llm.simhash import near_duplicates
@@ -109,6 +110,12 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)
 """
 
 
+@query
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 ids, a row per piece."""
