@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lineledger.llm.chunk_dedup import dedup_substrings
 from lineledger.llm.decontaminate import contamination
+from lineledger.llm.embedding_dups import near_duplicates as near_vectors
 from lineledger.llm.html_extract import extract
 from lineledger.llm.language_id import languages
 from lineledger.llm.packing import pack
@@ -144,6 +145,32 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked by a cosine of at least 0.95, whatever their labels."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+ORACLES["op9_embedding_dups"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), u AS (
+  SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS e FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) >= 0.95
+), r(vec_id, reached) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON l.a = r.reached
+), c AS (
+  SELECT vec_id, min(reached) AS component_id FROM r GROUP BY 1
+), n AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY 1
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of 3-word shingles; fingerprints at most two bits apart are linked."""
