@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import random
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+import public_tokenizers
+from corpus_pipeline import COLUMNS, STAGES, run
+from lineledger.llm.chunk_dedup import cuts
+from test_chunk_dedup import plain_dedup
+from test_decontaminate import plain as plain_contamination
+from test_simhash import plain_components, plain_simhash
+
+SF = "/root/testdata/sf0.001"
+KIND = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_stages_are_the_dealt_ones():
+    assert [f.__name__ for _, f in STAGES] == ["language_id", "near_dedup", "substring_dedup", "decontamination", "packing"]
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_equals_brute_force_after_language_id(spark):
+    """Stage by stage on the test table; language ID rejects none of its documents, all of which have words."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = STAGES[0][1](spark, docs, SF)
+    assert kept.columns == list(COLUMNS) and sorted(kept.collect()) == sorted(docs.select(*COLUMNS).collect())
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    prints = {i: plain_simhash(t) for i, t in texts.items()}
+    near = [(a, b) for a, b in combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    texts = {i: texts[i] for i, c in plain_components(prints, near).items() if i == c}
+    kept = STAGES[1][1](spark, docs, SF)
+    assert {r.doc_id: r.text for r in kept.collect()} == texts and kept.columns == list(COLUMNS)
+    texts = {i: v[0] for i, v in plain_dedup(list(texts.items())).items() if v[0].strip() or not v[1]}
+    kept = STAGES[2][1](spark, kept, SF)
+    assert {r.doc_id: (r.text, r.n_chars) for r in kept.collect()} == {i: (t, len(t)) for i, t in texts.items()}
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bad = {r[0] for r in plain_contamination(list(texts.items()), items) if r[5]}
+    kept = STAGES[3][1](spark, kept, SF)
+    assert {r.doc_id for r in kept.collect()} == set(texts) - bad and bad
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = {i: [*tokenizer.encode(texts[i], add_special_tokens=False).ids, 2] for i in set(texts) - bad}
+    found = {}
+    for r in sorted(run(spark, SF).collect(), key=lambda r: (r.doc_id, r.piece)):
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        found.setdefault(r.doc_id, []).extend(r.ids)
+    assert found == expected
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None)]])
+def test_empty_tables(spark, rows):
+    docs = spark.createDataFrame(rows, KIND)
+    for _, stage in STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == list(COLUMNS)
+        out.collect()
+    assert STAGES[4][1](spark, docs, SF).count() == len(rows)
+
+
+def test_odd_rows(spark):
+    rng = random.Random(1)
+    long = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(80))
+    rows = [(1, "the cat sat", "en", None, 1), (2, "...", "en", "s", 3), (3, None, None, None, None), (None, long, "de", "s", 5)]
+    rows += [(7, long, "en", "s", 9), (7, long, "en", "s", 9), (8, "x " + long, "fr", "t", 2), (9, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, KIND).selectExpr("*", "1 AS kept", "2 AS score", "3 AS id", "4 AS __row")
+    kept = STAGES[0][1](spark, docs, SF)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "7", "7", "8", "None"]
+    assert sorted(r.doc_id for r in STAGES[1][1](spark, kept, SF).collect())[0] == 1
+    cut = {r.doc_id: r.text for r in STAGES[2][1](spark, docs, SF).collect()}
+    assert cut[1] == "the cat sat" and None not in cut and cut[3] is None and cut[9] == ""
+    assert len(cuts(long.encode())) > 4 and len(cut[8]) < len(long)
