@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from contextlib import AbstractContextManager
+import math
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lineledger.functions import as_day, in_window, next_day, yyyymm
 from lineledger.functions.dates import Day
 from lineledger.schemas import MART_COLUMNS, MART_SCHEMA
 from lineledger.scratch import folder_exists, staging
-from lineledger.session import settings
+from lineledger.session import input_bytes
 
 PARTITION_COLUMNS = ("yyyymm", "date")
-COMPACTED_BYTES = "512m"  # shuffled rows that make one compacted file
+COMPACTED_BYTES = 512 * 1024**2  # stored rows that make one compacted file
 _DATA_COLUMNS = tuple(c for c in MART_COLUMNS if c != "date")
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _quoted(table: str) -> str:
@@ -32,7 +33,7 @@ def ensure_table(spark: SparkSession, table: str, location: str | None = None) -
     if spark.catalog.tableExists(table):
         return
     columns = ", ".join(f"`{c}` {MART_SCHEMA[c].dataType.simpleString()}" for c in _DATA_COLUMNS)
-    placed = "" if location is None else f" LOCATION '{location}'"
+    placed = "" if location is None else " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({columns}, `yyyymm` int, `date` date) "
         f"USING parquet PARTITIONED BY (yyyymm, date){placed}"
@@ -51,15 +52,20 @@ def month_of_mart(spark: SparkSession, table: str, month: int) -> DataFrame:
     return spark.table(table).where(F.col("yyyymm") == month).select(*MART_COLUMNS)
 
 
-def _laid_out(df: DataFrame, written: Observation | None = None) -> DataFrame:
-    """Rows in table order, brought together by day and sorted within each file.
+def _failing(message: Column) -> Column:
+    return F.raise_error(message).cast("date")
+
+
+def _laid_out(df: DataFrame, written: Observation | None = None, files: int | None = None) -> DataFrame:
+    """Rows in table order, brought together by day and sorted within each file; a row without a date fails.
 
     Rebalancing sends a day to one task if it is small, so that it makes few files, and splits a large one
-    over several tasks.
+    over several tasks. With ``files`` the rows make that many files instead.
     """
-    out = df.select(*_DATA_COLUMNS, yyyymm(F.col("date")).alias("yyyymm"), "date").hint(
-        "rebalance", *PARTITION_COLUMNS
-    )
+    date = F.coalesce("date", _failing(F.lit("a row of the mart has no date")))
+    df = df.withColumn("date", date)
+    out = df.select(*_DATA_COLUMNS, yyyymm(F.col("date")).alias("yyyymm"), "date")
+    out = out.hint("rebalance", *PARTITION_COLUMNS) if files is None else out.repartition(files)
     if written is not None:
         # Above the rebalance: below it, an empty result would be planned away together with the metric.
         out = out.observe(written, F.collect_set("date").alias("days"))
@@ -71,39 +77,50 @@ def append_mart(df: DataFrame, table: str) -> None:
     _laid_out(df).write.insertInto(table)
 
 
-def _only_written_partitions(spark: SparkSession) -> AbstractContextManager[None]:
-    """Overwrites replace just the partitions that get rows, and only once the write has succeeded.
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Location'")
+    return described.first()["data_type"]
 
-    ``insertInto`` follows the session setting and ignores the option of the same name on the writer.
+
+def _overwrite_days(laid_out: DataFrame, table: str, written: Observation) -> list[dt.date]:
+    """Replaces the partitions that get rows, once all rows are written, and returns their days.
+
+    The option belongs to this write alone. A session setting would be shared with other loads of the session,
+    and if one of them put it back while this one starts, the whole table would be overwritten.
     """
-    return settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"})
+    spark = laid_out.sparkSession
+    writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTITION_COLUMNS).parquet(_location(spark, table))
+    days = sorted(written.get["days"])
+    if days:
+        spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS {' '.join(map(_partition, days))}")
+    spark.catalog.refreshTable(_quoted(table))
+    return days
 
 
 def loaded_days(spark: SparkSession, table: str) -> list[dt.date]:
     """Days that have a partition; a list of names from the catalog, no data is read."""
-    names = spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()
-    return sorted(dt.date.fromisoformat(row[0].rpartition("date=")[2]) for row in names)
+    names = [row[0].rpartition("date=")[2] for row in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()]
+    return sorted(dt.date.fromisoformat(name) for name in names if name not in (_NULL_PARTITION, "null"))
 
 
 def replace_range(df: DataFrame, table: str, start: Day, end: Day) -> None:
     """Replaces the days in ``[start, end)`` by ``df``; days without rows end empty.
 
-    A row outside the range fails the job instead of replacing a day nobody asked for. Until the new rows are
-    written the old ones stay, so a failed job leaves the table as it was. Emptied days are cleared after the
-    write, since a dynamic overwrite leaves days alone that get no rows.
+    A row outside the range or without a date fails the job instead of replacing a day nobody asked for. Until all
+    new rows are written the old ones stay. Then each day is replaced on its own, and days that got no rows are
+    cleared last. A load that fails between those steps leaves some days new and others old; no day is mixed, and
+    running the load again gives the same table as a run that did not fail.
     """
     spark = df.sparkSession
     start, end = as_day(start), as_day(end)
     outside = F.concat(F.lit(f"date outside [{start}, {end}): "), F.col("date").cast("string"))
-    checked = df.withColumn(
-        "date",
-        F.when(in_window(F.col("date"), start, end), F.col("date")).otherwise(F.raise_error(outside).cast("date")),
-    )
+    inside = F.col("date").isNull() | in_window(F.col("date"), start, end)
+    checked = df.withColumn("date", F.when(inside, F.col("date")).otherwise(_failing(outside)))
     before = [day for day in loaded_days(spark, table) if start <= day < end]
     written = Observation()
-    with _only_written_partitions(spark):
-        _laid_out(checked, written).write.insertInto(table, overwrite=True)
-    for day in sorted(set(before) - set(written.get["days"])):
+    days = _overwrite_days(_laid_out(checked, written), table, written)
+    for day in sorted(set(before) - set(days)):
         clear_day(spark, table, day)
 
 
@@ -123,10 +140,12 @@ def clear_day(spark: SparkSession, table: str, day: Day) -> None:
 def compact_day(spark: SparkSession, table: str, day: Day) -> None:
     """Rewrites a day's small files as few large ones; the rows stay the same.
 
-    A table cannot be overwritten from itself, so the day goes through a staged copy.
+    A table cannot be overwritten from itself, so the day goes through a staged copy, whose size tells how many
+    files it takes.
     """
     day = as_day(day)
     of_day = spark.table(table).where((F.col("yyyymm") == day.year * 100 + day.month) & (F.col("date") == F.lit(day)))
-    large_files = settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": COMPACTED_BYTES})
-    with staging(spark) as stage, large_files, _only_written_partitions(spark):
-        _laid_out(stage(of_day, "day")).write.insertInto(table, overwrite=True)
+    with staging(spark) as stage:
+        staged, written = stage(of_day, "day"), Observation()
+        files = max(1, math.ceil((input_bytes(staged) or 0) / COMPACTED_BYTES))
+        _overwrite_days(_laid_out(staged, written, files), table, written)

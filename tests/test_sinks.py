@@ -92,6 +92,71 @@ def test_failure_half_way_keeps_the_day(spark, mart):
     assert spark.conf.get(MODE).upper() == "STATIC"
 
 
+def test_overlapping_replacements_keep_all_other_rows(spark, mart, table, monkeypatch):
+    """Another replacement, of another day and of another table, runs from begin to end inside the first one's write."""
+    from lineledger.sinks import table as sink
+
+    other = f"{table}_other"
+    try:
+        ensure_table(spark, other)
+        for name in (mart, other):
+            append_mart(mart_frame(spark, "2025-01-01", "2025-01-02", "2025-01-03"), name)
+        inner, plain = [], sink._overwrite_days
+
+        def interrupted(laid_out, name, written):
+            if not inner:
+                inner.append(True)
+                replace_day(mart_frame(spark, "2025-01-02", price=2.0), mart, "2025-01-02")
+                replace_day(mart_frame(spark, "2025-01-03", price=3.0), other, "2025-01-03")
+                compact_day(spark, other, "2025-01-01")
+            return plain(laid_out, name, written)
+
+        monkeypatch.setattr(sink, "_overwrite_days", interrupted)
+        replace_day(mart_frame(spark, "2025-01-01", price=1.0), mart, "2025-01-01")
+        prices = lambda name: {str(r.date): r.nomenclature_price_total for r in read_mart(spark, name).collect()}
+        kept = mart_frame(spark, "2025-01-01").first().nomenclature_price_total
+        assert prices(mart) == {"2025-01-01": 1.0, "2025-01-02": 2.0, "2025-01-03": kept}
+        assert prices(other) == {"2025-01-01": kept, "2025-01-02": kept, "2025-01-03": 3.0}
+        assert spark.conf.get(MODE).upper() == "STATIC"
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {other}")
+
+
+def test_run_again_after_a_failure_between_write_and_clear(spark, mart, monkeypatch):
+    from lineledger.sinks import table as sink
+
+    append_mart(mart_frame(spark, "2025-01-01", "2025-01-02", "2025-01-03"), mart)
+    new = mart_frame(spark, "2025-01-01", price=9.0)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sink, "clear_day", broken)
+        with pytest.raises(OSError, match="lost"):
+            replace_range(new, mart, "2025-01-01", "2025-01-04")
+    assert days(spark, mart) == Counter({"2025-01-01": 1, "2025-01-02": 1, "2025-01-03": 1})
+    replace_range(new, mart, "2025-01-01", "2025-01-04")
+    assert bag(read_mart(spark, mart)) == bag(new)
+
+
+def test_rows_without_a_date_are_refused(spark, mart):
+    append_mart(mart_frame(spark, "2025-01-01"), mart)
+    undated = mart_frame(spark, "2025-01-02").withColumn("date", F.lit(None).cast("date"))
+    for load in (lambda: append_mart(undated, mart), lambda: replace_day(undated, mart, "2025-01-02")):
+        with pytest.raises(Exception, match="no date"):
+            load()
+    assert loaded_days(spark, mart) == [dt.date(2025, 1, 1)]
+    replace_day(mart_frame(spark, "2025-01-01", price=4.0), mart, "2025-01-01")
+    assert days(spark, mart) == Counter({"2025-01-01": 1})
+
+
+def test_location_with_a_quote(spark, table):
+    ensure_table(spark, table, new_folder(spark, "it's a mart"))
+    replace_day(mart_frame(spark, "2025-01-01"), table, "2025-01-01")
+    assert days(spark, table) == Counter({"2025-01-01": 1})
+
+
 def test_clear_day(spark, mart):
     append_mart(mart_frame(spark, "2025-01-01", "2025-01-02"), mart)
     clear_day(spark, mart, "2025-01-01")
@@ -149,7 +214,7 @@ def test_extract_keeps_text(spark):
     ]
     mart = spark.createDataFrame(rows, MART_SCHEMA)
     path = write_extract(mart, new_folder(spark, "extract"), dt.datetime(2025, 1, 2, 3, 4, 5))
-    assert path.endswith("/vitrina_sales_20250102_030405.csv")
+    assert path.endswith("/sales_mart_20250102_030405.csv")
     back = read_extract(spark, path)
     assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in MART_SCHEMA]
     empty_as_null = mart.select(*[F.when(F.col(c).cast("string") != "", F.col(c)).alias(c) for c in mart.columns])
@@ -164,4 +229,5 @@ def test_extract_checks_its_header(spark):
     path = write_extract(mart.select(*reversed(mart.columns)), folder, at)
     with pytest.raises(Exception, match="(?i)header"):
         read_extract(spark, path).collect()
-    assert extract_name(at) == "vitrina_sales_20250102_000000.csv"
+    assert extract_name(at, "day").startswith("day_2025")
+    assert extract_name(at) == "sales_mart_20250102_000000.csv"
