@@ -28,7 +28,6 @@ class MartConfig:
     ``section_parent_ids``: departments whose children are sections.
     ``section_ids``: departments that are sections of their own.
     ``flat_ids``: departments that are department, section and sector at once.
-    ``department_depth``: recursion levels after which a department tree is taken to contain a cycle.
     """
 
     section_parent_ids: tuple[int, ...] = PARENTS_OF_SECTIONS
@@ -39,4 +38,3 @@ class MartConfig:
     representatives: tuple[str, ...] = REPRESENTATIVES
     folder_depth: int = FOLDER_DEPTH
     folder_name_length: int = FOLDER_NAME_LENGTH
-    department_depth: int = 100

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from lineledger.config import MartConfig
 
-MAX_DEPTH = 100
+_NO_LIMIT = 2**31 - 1  # a cycle is found by the way down, not by the depth
 
 
-def _descend(seeds: DataFrame, departments: DataFrame, max_depth: int) -> DataFrame:
+def _descend(seeds: DataFrame, departments: DataFrame) -> DataFrame:
     """``seeds`` and all departments below them; columns beside the department's own go down unchanged.
 
-    ``LIMIT ALL`` lifts the session's row limit for recursion. The level limit stays: a cycle of departments
-    ends in an error instead of running on.
+    Each row carries the ids of its way down, and a department that is met on its own way ends the query with an
+    error, so a cycle does not run on and no depth is too deep. ``LIMIT ALL`` lifts the session's row limit for
+    recursion.
     """
     own = ["department_id", "department_name", "parent_department_id"]
     inherited = [c for c in seeds.columns if c not in own]
@@ -24,11 +25,13 @@ def _descend(seeds: DataFrame, departments: DataFrame, max_depth: int) -> DataFr
     below = ", ".join([f"d.{c}" for c in own] + [f"above.{c}" for c in inherited])
     return seeds.sparkSession.sql(
         f"""
-        WITH RECURSIVE subtree MAX RECURSION LEVEL {int(max_depth)} AS (
-            SELECT {here} FROM {{seeds}}
+        WITH RECURSIVE subtree MAX RECURSION LEVEL {_NO_LIMIT} AS (
+            SELECT {here}, array(department_id) AS way FROM {{seeds}}
             UNION ALL
-            SELECT {below}
+            SELECT {below}, concat(above.way, array(d.department_id))
             FROM subtree above JOIN {{departments}} d ON d.parent_department_id = above.department_id
+            WHERE IF(array_contains(above.way, d.department_id),
+                     CAST(raise_error('cycle of departments at ' || d.department_id) AS BOOLEAN), true)
         )
         SELECT {here} FROM subtree LIMIT ALL
         """,
@@ -57,13 +60,12 @@ def department_subtree(
     *,
     parent_ids: Iterable[int] | None = None,
     ids: Iterable[int] | None = None,
-    max_depth: int = MAX_DEPTH,
 ) -> DataFrame:
     """Departments at and below the roots, with the id of the root they were reached from.
 
     Roots are the children of ``parent_ids`` or the departments ``ids`` themselves.
     """
-    return _descend(_roots(departments, parent_ids, ids), departments, max_depth)
+    return _descend(_roots(departments, parent_ids, ids), departments)
 
 
 def department_hierarchy(departments: DataFrame, config: MartConfig = MartConfig()) -> DataFrame:
@@ -101,7 +103,7 @@ def department_hierarchy(departments: DataFrame, config: MartConfig = MartConfig
         F.col("department"),
     ]
     reached = (
-        _descend(two_level.drop("top_id").unionByName(one_level.drop("top_id")), departments, config.department_depth)
+        _descend(two_level.drop("top_id").unionByName(one_level.drop("top_id")), departments)
         .select("branch", *wanted)
         .distinct()  # within each set of roots; the same row from both sets stays twice
         .drop("branch")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -44,17 +45,24 @@ def child_folders(nomenclatures: DataFrame, parents: DataFrame) -> DataFrame:
     )
 
 
-def folder_tree(nomenclatures: DataFrame, max_depth: int = FOLDER_DEPTH) -> DataFrame:
+def folder_tree(
+    nomenclatures: DataFrame, max_depth: int = FOLDER_DEPTH, stage: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """Folders down to ``max_depth`` with the names on the way from their root.
 
     The depth is bounded, so the tree is one plan of ``max_depth - 1`` equi-joins instead of a recursion that
-    runs level by level. The joins share the exchange of the folder table.
+    runs level by level. In one plan a level is worked out for the result and again for the level below it, unless
+    the joins can share their exchanges. A load gives ``stage``, which stores a frame under a name: then the live
+    folders are read once and each level is joined once.
     """
     if max_depth < 1:
         raise ValueError("max_depth must be at least 1")
-    levels = [root_folders(nomenclatures)]
+    store = stage or (lambda df, name: df)
+    folders = live_folders(nomenclatures)
+    folders = store(folders, "folders") if stage else folders
+    levels = [store(root_folders(folders), "level_1")]
     while len(levels) < max_depth:
-        levels.append(child_folders(nomenclatures, levels[-1]))
+        levels.append(store(child_folders(folders, levels[-1]), f"level_{len(levels) + 1}"))
     return reduce(DataFrame.unionByName, levels)
 
 
