@@ -1,7 +1,7 @@
 """Column functions; all of them are built-in Spark expressions."""
 
 from lineledger.functions.cleaning import price_or_nan, text_or_empty
-from lineledger.functions.dates import as_day, in_window, iso_day, next_day, yyyymm
+from lineledger.functions.dates import as_day, in_window, iso_day, month_window, next_day, yyyymm
 from lineledger.functions.labels import department_group, label_or, short_name
 from lineledger.functions.paths import path_append, path_entry, path_start
 
@@ -11,6 +11,7 @@ __all__ = [
     "in_window",
     "iso_day",
     "label_or",
+    "month_window",
     "next_day",
     "path_append",
     "path_entry",

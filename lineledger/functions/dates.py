@@ -23,6 +23,12 @@ def next_day(day: Day) -> dt.date:
     return as_day(day) + dt.timedelta(days=1)
 
 
+def month_window(month: int) -> tuple[dt.date, dt.date]:
+    """First day of a month, given as 202501, and first day of the next."""
+    year, number = divmod(month, 100)
+    return dt.date(year, number, 1), dt.date(year + number // 12, number % 12 + 1, 1)
+
+
 def in_window(column: Column, start: Day, end: Day) -> Column:
     """``start <= column < end``; works alike for dates and timestamps and reaches the scan."""
     return (column >= F.lit(as_day(start))) & (column < F.lit(as_day(end)))

@@ -1,6 +1,6 @@
 """The mart as a whole and the jobs that load it."""
 
-from lineledger.plans.jobs import run_backfill, run_daily
+from lineledger.plans.jobs import Trees, run_backfill, run_daily, stage_trees
 from lineledger.plans.mart import (
     credited_sales,
     join_lines,
@@ -13,6 +13,7 @@ from lineledger.plans.mart import (
 )
 
 __all__ = [
+    "Trees",
     "credited_sales",
     "join_lines",
     "label_sales",
@@ -23,4 +24,5 @@ __all__ = [
     "run_backfill",
     "run_daily",
     "sales_mart",
+    "stage_trees",
 ]

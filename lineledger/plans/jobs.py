@@ -2,34 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lineledger.config import MartConfig
-from lineledger.functions import next_day
+from lineledger.functions import as_day, in_window, next_day
 from lineledger.functions.dates import Day
 from lineledger.operators import (
     credited_to_invoice,
     credited_to_shipment,
     department_hierarchy,
+    folder_tree,
     partner_shipments,
     shipped_documents,
 )
 from lineledger.plans.mart import join_lines, label_sales, lines_of, normalize_mart, products
 from lineledger.scratch import Stage, staging
-from lineledger.session import sized_shuffles
-from lineledger.sinks.table import append_mart, compact_day, ensure_table, replace_day, replace_range
+from lineledger.session import known_bytes, sized_shuffles
+from lineledger.sinks.table import append_mart, compact_day, ensure_table, read_mart, replace_day, replace_range
 from lineledger.sources.tables import Sources
 
 SHIPPED_COLUMNS = ("sbis_shipment_date", "document_id", "number", "department_id", "employee_id")
 
 
-def _hierarchies(
-    spark: SparkSession, stage: Stage, sources: Sources, config: MartConfig
-) -> tuple[DataFrame, DataFrame]:
-    """The department and product hierarchies, staged at the same time.
+@dataclass(frozen=True)
+class Trees:
+    """Department hierarchy and folder tree, stored; several loads can share them."""
+
+    units: DataFrame
+    folders: DataFrame
+
+
+def stage_trees(spark: SparkSession, stage: Stage, sources: Sources, config: MartConfig = MartConfig()) -> Trees:
+    """Both trees, stored at the same time.
 
     The planner cannot estimate them through a recursion and a chain of joins. Written down their sizes are
     known: a small one is broadcast and the large side stays where it is, a large one is joined by shuffle.
@@ -40,43 +50,48 @@ def _hierarchies(
         return stage(department_hierarchy(sources.departments, config), "units")
 
     @inheritable_thread_target(spark)
-    def catalogue() -> DataFrame:
-        return stage(products(sources, config), "catalogue")
+    def folders() -> DataFrame:
+        return folder_tree(sources.nomenclatures, config.folder_depth, stage)
 
-    with sized_shuffles(spark, sources.nomenclatures), ThreadPoolExecutor(2) as threads:
-        running = threads.submit(units), threads.submit(catalogue)
-        return running[0].result(), running[1].result()
+    with ThreadPoolExecutor(2) as threads:
+        running = threads.submit(units), threads.submit(folders)
+        return Trees(running[0].result(), running[1].result())
 
 
-def _rows(
-    stage: Stage,
-    sources: Sources,
-    start: Day,
-    end: Day,
-    config: MartConfig,
-    hierarchies: tuple[DataFrame, DataFrame],
-    *,
-    few_documents: bool,
-) -> DataFrame:
-    """Normalised mart rows.
+def _sold(sources: Sources, shipped: DataFrame, by_partners: DataFrame, config: MartConfig) -> DataFrame:
+    changed = credited_to_invoice(by_partners, sources.documents, config.invoice_type)
+    return changed.unionByName(credited_to_shipment(shipped))
 
-    The shipments are used three times and scanned once; staged, their size is known as well. With
-    ``few_documents`` so are the labelled documents, and the lines of a short window need no shuffle.
-    """
-    units, catalogue = hierarchies
+
+def _range_rows(stage: Stage, sources: Sources, start: Day, end: Day, config: MartConfig, trees: Trees) -> DataFrame:
+    """Normalised rows of many days. The shipments are used three times and scanned once."""
     shipped = shipped_documents(sources.documents, start, end).select(*SHIPPED_COLUMNS)
-    shipped = stage(shipped, "shipped", rebalance=few_documents)
+    shipped = stage(shipped, "shipped", rebalance=False)
     by_partners = partner_shipments(shipped, sources.department_roots, config.partner_root)
-    by_partners = stage(by_partners, "by_partners", rebalance=few_documents)
-    sold = credited_to_invoice(by_partners, sources.documents, config.invoice_type).unionByName(
-        credited_to_shipment(shipped)
-    )
-    credited = label_sales(sold, units, sources.employees, config)
-    if few_documents:
-        credited = stage(credited, "credited")
+    by_partners = stage(by_partners, "by_partners", rebalance=False)
+    credited = label_sales(_sold(sources, shipped, by_partners, config), trees.units, sources.employees, config)
+    catalogue = stage(products(sources, config, trees.folders), "catalogue")
     return normalize_mart(join_lines(credited, lines_of(sources.document_lines, shipped), catalogue))
 
 
+def _day_rows(stage: Stage, sources: Sources, day: Day, config: MartConfig, trees: Trees) -> DataFrame:
+    """Normalised rows of one day.
+
+    The day's labelled documents are stored, and then its lines; both are small beside the tables that they come
+    from, and known to be, so the planner broadcasts them and neither the lines nor the catalogue are shuffled. Only
+    the day's products get a path.
+    """
+    shipped = shipped_documents(sources.documents, day, next_day(day)).select(*SHIPPED_COLUMNS)
+    shipped = stage(shipped, "shipped")
+    by_partners = partner_shipments(shipped, sources.department_roots, config.partner_root)
+    sold = _sold(sources, shipped, by_partners, config)
+    credited = stage(label_sales(sold, trees.units, sources.employees, config), "credited")
+    lines = lines_of(sources.document_lines, shipped).join(shipped.select("document_id"), "document_id", "left_semi")
+    lines = stage(lines, "lines")
+    catalogue = products(sources, config, trees.folders, lines.select("nomenclature_code"))
+    return normalize_mart(join_lines(credited, lines, catalogue))
+
+
 def run_backfill(
     spark: SparkSession,
     sources: Sources,
@@ -87,19 +102,31 @@ def run_backfill(
     config: MartConfig = MartConfig(),
     mode: str = "replace",
     location: str | None = None,
+    source_bytes: int | None = None,
+    trees: Trees | None = None,
+    sink: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Loads ``[start, end)``. ``append`` adds rows, also a second time; ``replace`` can be run again."""
+    """Loads ``[start, end)``. ``append`` adds rows, also a second time; ``replace`` can be run again.
+
+    ``source_bytes`` is the size of the largest source table, for sources whose size the planner does not know.
+    ``sink`` takes the rows after the table has them, as for a copy in a database: the rows that were loaded, read
+    back from the table when replacing, and the load's own rows when appending.
+    """
     if mode not in ("append", "replace"):
         raise ValueError("mode is 'append' or 'replace'")
+    size = known_bytes(source_bytes, sources.documents, sources.document_lines)
     ensure_table(spark, table, location)
-    with staging(spark) as stage:
-        hierarchies = _hierarchies(spark, stage, sources, config)
-        with sized_shuffles(spark, sources.documents, sources.document_lines):
-            rows = _rows(stage, sources, start, end, config, hierarchies, few_documents=False)
-            if mode == "append":
-                append_mart(rows, table)
-            else:
-                replace_range(rows, table, start, end)
+    with staging(spark) as stage, sized_shuffles(spark, size):
+        trees = trees or stage_trees(spark, stage, sources, config)
+        rows = _range_rows(stage, sources, start, end, config, trees)
+        if mode == "append":
+            rows = rows if sink is None else stage(rows, "rows")
+            append_mart(rows, table)
+        else:
+            replace_range(rows, table, start, end)
+            rows = read_mart(spark, table).where(in_window(F.col("date"), start, end))
+        if sink is not None:
+            sink(rows)
 
 
 def run_daily(
@@ -111,13 +138,21 @@ def run_daily(
     config: MartConfig = MartConfig(),
     location: str | None = None,
     compact: bool = False,
+    source_bytes: int | None = None,
+    trees: Trees | None = None,
+    sink: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Replaces one day; running it again changes nothing, and a day without sales ends empty."""
+    """Replaces one day; running it again changes nothing, and a day without sales ends empty.
+
+    ``trees`` saves storing them again for each of several days. ``sink`` takes the day's rows, read back from the
+    table.
+    """
+    size = known_bytes(source_bytes, sources.documents)
     ensure_table(spark, table, location)
-    with staging(spark) as stage:
-        hierarchies = _hierarchies(spark, stage, sources, config)
-        with sized_shuffles(spark, sources.documents):
-            rows = _rows(stage, sources, day, next_day(day), config, hierarchies, few_documents=True)
-            replace_day(rows, table, day)
+    with staging(spark) as stage, sized_shuffles(spark, size):
+        trees = trees or stage_trees(spark, stage, sources, config)
+        replace_day(_day_rows(stage, sources, day, config, trees), table, day)
     if compact:
         compact_day(spark, table, day)
+    if sink is not None:
+        sink(read_mart(spark, table).where(F.col("date") == F.lit(as_day(day))))

@@ -20,17 +20,19 @@ from lineledger.operators import (
     folder_tree,
     product_hierarchy,
     sales,
-    shipped_documents,
 )
 from lineledger.schemas import MART_COLUMNS
 from lineledger.sources.tables import Sources
 
-MOST_BROADCAST_IDS = 1_000_000  # eight bytes each, some tens of megabytes as a hash table
 
-
-def products(sources: Sources, config: MartConfig = MartConfig()) -> DataFrame:
-    tree = folder_tree(sources.nomenclatures, config.folder_depth)
-    return product_hierarchy(sources.nomenclatures, tree, config.folder_name_length)
+def products(
+    sources: Sources, config: MartConfig = MartConfig(), tree: DataFrame | None = None, codes: DataFrame | None = None
+) -> DataFrame:
+    """The product hierarchy, over a folder tree that is there already and for some codes only, if given."""
+    goods = sources.nomenclatures
+    tree = folder_tree(goods, config.folder_depth) if tree is None else tree
+    goods = goods if codes is None else goods.join(codes, "nomenclature_code", "left_semi")
+    return product_hierarchy(goods, tree, config.folder_name_length)
 
 
 def label_sales(
@@ -68,22 +70,17 @@ def credited_sales(sources: Sources, start: Day, end: Day, config: MartConfig =
     )
 
 
-def lines_of(document_lines: DataFrame, documents: DataFrame) -> DataFrame:
-    """The lines that can belong to ``documents``, and few others; the join that follows is exact.
+def lines_of(document_lines: DataFrame, stored: DataFrame) -> DataFrame:
+    """The lines between the lowest and the highest id of ``stored`` documents; the join that follows is exact.
 
-    A small job counts the documents and reads their lowest and highest id. Ids grow with time, so the bounds keep
-    most of the largest table out of the scan for a narrow window; they are literals that row-group statistics or
-    a database can use. Up to ``MOST_BROADCAST_IDS`` documents, their ids are broadcast and the other lines dropped
-    before they are shuffled; beyond that the bounds alone do.
+    Ids grow with time, so the bounds keep most of the largest table out of the scan for a narrow window; they are
+    literals that row-group statistics or a database can use. They are read by a job now and stay what they are, so
+    the documents have to be a stored copy that does not change any more.
     """
-    ids = documents.select("document_id")
-    lowest, highest, count = ids.agg(F.min("document_id"), F.max("document_id"), F.count("document_id")).first()
-    if count == 0:
+    lowest, highest = stored.agg(F.min("document_id"), F.max("document_id")).first()
+    if lowest is None:
         return document_lines.where(F.lit(False))
-    lines = document_lines.where(F.col("document_id").between(lowest, highest))
-    if count > MOST_BROADCAST_IDS:
-        return lines
-    return lines.join(F.broadcast(ids), "document_id", "left_semi")
+    return document_lines.where(F.col("document_id").between(lowest, highest))
 
 
 def join_lines(credited: DataFrame, lines: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -99,7 +96,7 @@ def mart_rows(sources: Sources, start: Day, end: Day, config: MartConfig = MartC
     """The mart with the date as a date and nulls as they are."""
     return join_lines(
         credited_sales(sources, start, end, config),
-        lines_of(sources.document_lines, shipped_documents(sources.documents, start, end)),
+        sources.document_lines,
         products(sources, config),
     )
 

@@ -2,11 +2,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import Counter
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
 
-import lineledger.plans.mart
 from lineledger import normalize_mart, sales_mart
 from lineledger.plans import lines_of, mart_rows
 from lineledger.schemas import MART_COLUMNS, MART_SCHEMA
@@ -132,12 +132,71 @@ def test_window_without_sales(src):
     assert sales_mart(src, "2030-01-01", "2030-02-01").count() == 0
 
 
-def test_lines_of_few_and_of_many_documents(src, monkeypatch):
+def test_bounds_of_the_lines(src):
     documents = src.documents.where("document_id IN (2, 4)")
-    assert {r.document_id for r in lines_of(src.document_lines, documents).collect()} == {2, 4}
-    assert lines_of(src.document_lines, documents.unionAll(documents)).count() == 2
-    assert lines_of(src.document_lines, src.documents.where("false")).count() == 0
-    # too many ids to broadcast: the bounds alone, and the same mart
-    monkeypatch.setattr(lineledger.plans.mart, "MOST_BROADCAST_IDS", 1)
     assert {r.document_id for r in lines_of(src.document_lines, documents).collect()} == {2, 3, 4}
-    assert bag(sales_mart(src, START, END)) == EXPECTED
+    assert lines_of(src.document_lines, src.documents.where("false")).count() == 0
+
+
+def jobs_of(spark, action):
+    """Ids of the jobs that ``action`` starts, and what it returns."""
+    group = f"group-{uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        return action(), spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_the_mart_starts_no_job(spark):
+    from lineledger.scratch import new_folder
+    from lineledger.sources import load_sources, parquet_reader
+
+    folder, edge = new_folder(spark, "sources"), edge_sources(spark)
+    tables = {
+        "nomenclatures": edge.nomenclatures,
+        "departments": edge.departments,
+        "documents": edge.documents,
+        "view_departments_with_root_folders": edge.department_roots,
+        "documents_tabular_part": edge.document_lines,
+        "employees": edge.employees,
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+    stored = load_sources(spark, parquet_reader(folder))
+    for df in tables:
+        getattr(stored, {"view_departments_with_root_folders": "department_roots", "documents_tabular_part": "document_lines"}.get(df, df))
+    mart, jobs = jobs_of(spark, lambda: sales_mart(stored, START, END))
+    assert list(jobs) == []
+    assert bag(mart) == EXPECTED
+    _, jobs = jobs_of(spark, mart.collect)
+    assert len(jobs) > 0
+
+
+def test_held_mart_sees_new_rows(spark):
+    from lineledger.sources import catalog_reader, load_sources
+
+    schema, edge = f"held_{uuid4().hex}", edge_sources(spark)
+    spark.sql(f"CREATE DATABASE {schema}")
+    try:
+        for name, df in {
+            "nomenclatures": edge.nomenclatures,
+            "departments": edge.departments,
+            "documents": edge.documents,
+            "view_departments_with_root_folders": edge.department_roots,
+            "documents_tabular_part": edge.document_lines,
+            "employees": edge.employees,
+        }.items():
+            df.withColumn("batch", F.lit(1)).write.format("parquet").partitionBy("batch").saveAsTable(f"{schema}.{name}")
+        sources = load_sources(spark, catalog_reader(schema))
+        before = bag(sales_mart(sources, START, END))
+        mart = sales_mart(sources, START, END)
+        new_id = F.lit(10**9).cast("bigint")
+        for name, df in {"documents": edge.documents, "documents_tabular_part": edge.document_lines}.items():
+            one = df.where("document_id = 1").limit(1).withColumn("document_id", new_id).withColumn("batch", F.lit(2))
+            one.write.insertInto(f"{schema}.{name}")
+        grown = bag(mart)
+        assert sum((grown - before).values()) >= 1 and not before - grown
+        assert grown == bag(sales_mart(sources, START, END))
+    finally:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
