@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -10,18 +11,22 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 Stage = Callable[..., DataFrame]
+_own: list[tempfile.TemporaryDirectory] = []  # each removes its folder when the process ends
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where none is set and Spark is local."""
+    """The session's ``spark.checkpoint.dir``.
+
+    Where none is set and Spark is one local process, a temporary folder that goes when the process ends.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    own = tempfile.mkdtemp(prefix="lineledger-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    _own.append(tempfile.TemporaryDirectory(prefix="lineledger-", ignore_cleanup_errors=True))
+    spark.sparkContext.setCheckpointDir(_own[-1].name)
+    return _own[-1].name
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -12,6 +12,7 @@ from lineledger.functions.dates import Day, as_day
 from lineledger.sources.tables import Reader
 
 FETCH_SIZE = "10000"
+LARGE_TABLES = ("documents", "documents_tabular_part")  # never read over a single connection
 
 
 def date_predicates(column: str, start: Day, end: Day, days: int = 1, only_window: bool = False) -> list[str]:
@@ -75,8 +76,13 @@ def database_reader(
     properties: Mapping[str, str] | None = None,
     splits: Mapping[str, Mapping[str, Any]] | None = None,
 ) -> Reader:
-    """Reader for ``load_sources``; ``splits`` holds the split arguments of ``read_source`` by table."""
+    """Reader for ``load_sources``; ``splits`` holds the split arguments of ``read_source`` by table.
+
+    Documents and their lines need a split.
+    """
     splits = splits or {}
+    if missing := [table for table in LARGE_TABLES if not splits.get(table)]:
+        raise ValueError(f"say how to split the read of {', '.join(missing)}")
     return lambda spark, table: read_source(
         spark, table, url=url, properties=properties, **splits.get(table, {})
     )

@@ -21,13 +21,13 @@ _TEXT_AS_IS = {
 }
 
 
-def extract_name(at: dt.datetime) -> str:
-    return f"vitrina_sales_{at:%Y%m%d_%H%M%S}.csv"
+def extract_name(at: dt.datetime, prefix: str = "sales_mart") -> str:
+    return f"{prefix}_{at:%Y%m%d_%H%M%S}.csv"
 
 
-def write_extract(df: DataFrame, folder: str, at: dt.datetime) -> str:
+def write_extract(df: DataFrame, folder: str, at: dt.datetime, prefix: str = "sales_mart") -> str:
     """Writes ``df`` below ``folder`` under a name with the time ``at`` and returns the path."""
-    path = f"{folder.rstrip('/')}/{extract_name(at)}"
+    path = f"{folder.rstrip('/')}/{extract_name(at, prefix)}"
     # A file with line breaks in quoted text is read by one task: rebalancing keeps the files of even size.
     df.hint("rebalance").write.options(**_TEXT_AS_IS).csv(path)
     return path

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from lineledger import normalize_mart, run_backfill, run_daily, sales_mart
+from lineledger.plans import stage_trees
+from lineledger.scratch import staging
 from lineledger.sinks import append_mart, read_mart
 from tests.data import END, LINES, START, bag, edge_sources, mart_frame
 
@@ -22,46 +26,83 @@ def expected(src):
 
 def test_backfill_twice(spark, src, expected, table):
     for _ in range(2):
-        run_backfill(spark, src, table, START, END)
+        run_backfill(spark, src, table, START, END, source_bytes=10**6)
         assert bag(read_mart(spark, table)) == expected
 
 
 def test_appending_backfill_twice(spark, src, expected, table):
     for times in (1, 2):
-        run_backfill(spark, src, table, START, END, mode="append")
+        run_backfill(spark, src, table, START, END, mode="append", source_bytes=10**6)
         assert bag(read_mart(spark, table)) == Counter({row: n * times for row, n in expected.items()})
 
 
+def test_size_of_an_unknown_source_has_to_be_given(spark, src, table):
+    with pytest.raises(ValueError, match="size in bytes"):
+        run_daily(spark, src, table, "2025-03-15")
+    assert not spark.catalog.tableExists(table)
+
+
+def test_trees_can_be_shared_and_rows_sent_on(spark, src, expected, table):
+    sent = []
+    with staging(spark) as stage:
+        trees = stage_trees(spark, stage, src)
+        for day in ("2025-03-15", "2025-03-19"):
+            run_daily(spark, src, table, day, source_bytes=10**6, trees=trees, sink=lambda rows: sent.append(bag(rows)))
+    assert sent[0] + sent[1] == bag(read_mart(spark, table)) != Counter()
+    sent.clear()
+    for mode in ("replace", "append"):
+        run_backfill(
+            spark, src, table, START, END, source_bytes=10**6, mode=mode, sink=lambda rows: sent.append(bag(rows))
+        )
+    assert sent == [expected, expected]
+
+
+def test_overlapping_loads_leave_the_session_as_it_was(spark, src, expected, table):
+    other, before = f"{table}_other", dict(spark.sparkContext.getConf().getAll())
+    keys = [k for k in spark.conf.getAll if k.startswith("spark.sql")]
+    values = {k: spark.conf.get(k) for k in keys}
+    try:
+        with ThreadPoolExecutor(2) as threads:
+            loads = [threads.submit(run_backfill, spark, src, t, START, END, source_bytes=10**6) for t in (table, other)]
+            [load.result() for load in loads]
+        assert bag(read_mart(spark, table)) == bag(read_mart(spark, other)) == expected
+        assert {k: spark.conf.get(k) for k in keys} == values
+        assert {k for k in spark.conf.getAll if k.startswith("spark.sql")} == set(keys)
+        assert dict(spark.sparkContext.getConf().getAll()) == before
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {other}")
+
+
 def test_unknown_mode(spark, src, table):
     with pytest.raises(ValueError):
-        run_backfill(spark, src, table, START, END, mode="merge")
+        run_backfill(spark, src, table, START, END, mode="merge", source_bytes=10**6)
     assert not spark.catalog.tableExists(table)
 
 
 def test_every_day_makes_the_window(spark, src, expected, table):
     day, end = dt.date(2025, 3, 15), dt.date(2025, 3, 21)
     while day < end:
-        run_daily(spark, src, table, day)  # the first run creates the table
+        run_daily(spark, src, table, day, source_bytes=10**6)  # the first run creates the table
         day += dt.timedelta(days=1)
     in_window = Counter({row: n for row, n in expected.items() if dt.date(2025, 3, 15) <= row[0] < end})
     assert bag(read_mart(spark, table)) == in_window
 
 
 def test_daily_replaces_its_day_only(spark, src, expected, table):
-    run_backfill(spark, src, table, START, END)
+    run_backfill(spark, src, table, START, END, source_bytes=10**6)
     append_mart(mart_frame(spark, "2025-03-15", "2025-03-18"), table)  # rows that a rerun has to remove
-    run_daily(spark, src, table, "2025-03-15", compact=True)
+    run_daily(spark, src, table, "2025-03-15", compact=True, source_bytes=10**6)
     left_over = bag(mart_frame(spark, "2025-03-15", "2025-03-18").where("date = '2025-03-18'"))
     assert bag(read_mart(spark, table)) == expected + left_over
-    run_daily(spark, src, table, "2025-03-18")
-    run_daily(spark, src, table, "2025-03-18")
+    run_daily(spark, src, table, "2025-03-18", source_bytes=10**6)
+    run_daily(spark, src, table, "2025-03-18", source_bytes=10**6)
     assert bag(read_mart(spark, table)) == expected
 
 
 def test_day_that_lost_its_sales(spark, src, expected, table):
-    run_backfill(spark, src, table, START, END)
+    run_backfill(spark, src, table, START, END, source_bytes=10**6)
     without = edge_sources(spark, documents_tabular_part=[line for line in LINES if line[0] != 11])
-    run_daily(spark, without, table, "2025-03-19")
+    run_daily(spark, without, table, "2025-03-19", source_bytes=10**6)
     gone = Counter({row: n for row, n in expected.items() if row[0] != dt.date(2025, 3, 19)})
     assert bag(read_mart(spark, table)) == gone
 
@@ -73,7 +114,7 @@ def test_staged_copies_are_removed(spark, src, table):
 
     shared = Path(shared_folder(spark).removeprefix("file:"))
     before = set(shared.glob("stage-*"))
-    run_daily(spark, src, table, "2025-03-15")
+    run_daily(spark, src, table, "2025-03-15", source_bytes=10**6)
     assert shared.exists()
     assert set(shared.glob("stage-*")) == before
 
@@ -100,3 +141,44 @@ def test_command_line(spark, src, expected, table):
     for wrong in (["daily", *place], ["backfill", "--table", table, "--start", START, "--end", END]):
         with pytest.raises(SystemExit):
             main(wrong)
+
+
+def test_command_line_of_a_database(spark, src, expected, table, tmp_path, monkeypatch):
+    """Sources and sink in a database, which a stand-in plays."""
+    import lineledger.__main__ as command
+
+    names = {"view_departments_with_root_folders": "department_roots", "documents_tabular_part": "document_lines"}
+    opened, sent = {}, []
+
+    def reader(url, properties, splits):
+        opened.update(url=url, properties=properties, splits=splits)
+        return lambda _, name: getattr(src, names.get(name, name))
+
+    def sink(rows, name, **to):
+        sent.append((bag(rows), name, to))
+
+    login, config = tmp_path / "login.json", tmp_path / "config.json"
+    login.write_text(json.dumps({"user": "u"}))
+    config.write_text(json.dumps({"representatives": ["Рефералы"], "folder_depth": 4}))
+    splits = ["--split", "documents=document_id:1:900:4", "--split", "documents_tabular_part=document_id:1:900:8"]
+    place = ["--jdbc", "jdbc:x:y", "--jdbc-options", str(login), "--table", table, "--config", str(config)]
+    to = ["--sink-jdbc", "jdbc:z", "--sink-table", "mart", "--sink-options", str(login), "--sink-connections", "3"]
+    window = ["--start", START, "--end", END]
+    with monkeypatch.context() as patch:
+        patch.setattr(command, "database_reader", reader)
+        patch.setattr(command, "append_database", sink)
+        command.main(["backfill", *place, *splits, *window, "--source-bytes", "1000000", *to])
+    assert opened["url"] == "jdbc:x:y" and opened["properties"] == {"user": "u"}
+    assert opened["splits"]["documents"] == {"partition_column": "document_id", "bounds": (1, 900), "num_partitions": 4}
+    assert sent == [(expected, "mart", {"url": "jdbc:z", "properties": {"user": "u"}, "connections": 3})]
+    assert bag(read_mart(spark, table)) == expected
+    config.write_text(json.dumps({"depth": 4}))
+    for wrong in (
+        ["backfill", *place[:-2], *splits, *window],  # no size
+        ["backfill", *place[:-2], *splits[:2], *window, "--source-bytes", "9"],  # lines not split
+        ["backfill", *place[:-2], "--split", "documents=x", *window, "--source-bytes", "9"],
+        ["backfill", *place[:-2], *splits, *window, "--source-bytes", "9", "--sink-jdbc", "jdbc:z"],
+        ["backfill", *place, *splits, *window, "--source-bytes", "9"],  # unknown setting
+    ):
+        with pytest.raises(SystemExit):
+            command.main(wrong)

@@ -101,11 +101,15 @@ def test_read_source_splits():
 
 def test_database_reader_looks_up_the_split():
     session = MagicMock()
-    reader = database_reader(URL, splits={"documents": {"predicates": ["p"]}})
+    lines = {"partition_column": "document_id", "bounds": (1, 9), "num_partitions": 3}
+    reader = database_reader(URL, splits={"documents": {"predicates": ["p"]}, "documents_tabular_part": lines})
     reader(session, "documents")
     assert session.read.jdbc.call_args.kwargs["predicates"] == ["p"]
     reader(session, "employees")
     assert "predicates" not in session.read.jdbc.call_args.kwargs
+    for splits in (None, {"documents": {"predicates": ["p"]}}, {"documents_tabular_part": lines, "documents": {}}):
+        with pytest.raises(ValueError, match="how to split the read of documents"):
+            database_reader(URL, splits=splits)
 
 
 def stand_in(spark, monkeypatch, counts):
@@ -160,6 +164,8 @@ def session_without_folder(master):
 def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session_without_folder("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session_without_folder("local-cluster[2,1,1024]"))
     local = session_without_folder("local[4]")
     assert shared_folder(local) == local.sparkContext.setCheckpointDir.call_args.args[0]
 
