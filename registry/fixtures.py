@@ -2,8 +2,10 @@
 
 The text of each table runs in Spark and in DuckDB alike; ``{orders}`` and the like stand for a test table.
 The test table ``documents`` holds prose and has nothing to do with the mart's documents, hence the ``src_``
-names. Conditions on ids deal roles out to the rows (folders of the fourth and fifth level, unknown employees,
-invoices by another author); orders, lines, parts and suppliers are used whole.
+names. Every row of a test table feeds each source that the table is mapped to; conditions on ids only deal out
+roles. Every customer is an employee, and every customer is a row of the catalogue: a folder of the fourth or
+fifth level or a good that nobody buys. Every order is a shipment. That an order has one invoice, two or none is
+a role as well, since shipments without an invoice are a case of their own.
 """
 
 from __future__ import annotations
@@ -64,6 +66,11 @@ SELECT CAST(1000000 + c_custkey AS BIGINT), CAST(NULL AS BIGINT), c_name, CAST(9
        CAST(1000000 + c_custkey - 1 AS BIGINT), CAST(1 AS INT), CAST(0 AS INT)
 FROM {customer} WHERE c_custkey % 10 = 1
 UNION ALL
+SELECT CAST(1000000 + c_custkey AS BIGINT), CAST(100000000 + c_custkey AS BIGINT), c_name, CAST(900000 AS BIGINT),
+       CAST(1000000 + 10 * (c_custkey % 15) AS BIGINT), CAST(NULL AS INT),
+       CAST(CASE WHEN c_custkey % 10 = 2 THEN 1 ELSE 0 END AS INT)
+FROM {customer} WHERE c_custkey % 10 > 1
+UNION ALL
 SELECT CAST(5000000 + p_partkey AS BIGINT), CAST(p_partkey AS BIGINT), p_name, CAST(900000 AS BIGINT),
        CAST(CASE p_size % 6 WHEN 0 THEN 900000 + p_partkey % 5
                             WHEN 1 THEN 910000 + p_partkey % 25
@@ -98,7 +105,7 @@ _EMPLOYEES = """
 SELECT CAST(c_custkey AS BIGINT) AS employee_id,
        CASE WHEN c_custkey % 33 = 0 THEN NULL ELSE c_mktsegment END AS first_name,
        CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE c_name END AS last_name
-FROM {customer} WHERE c_custkey % 10 <> 9
+FROM {customer}
 """
 
 _DOCUMENTS = """
@@ -112,7 +119,7 @@ SELECT CAST(o_orderkey AS BIGINT) AS document_id, lpad(CAST(o_orderkey AS STRING
                                 WHEN 1 THEN 200 + o_orderkey % 25
                                 WHEN 2 THEN 1000 + o_custkey % 10
                                 ELSE 200 + 5 * (o_custkey % 5) END AS BIGINT) AS department_id,
-       CAST(o_custkey AS BIGINT) AS employee_id
+       CAST(CASE WHEN o_orderkey % 10 = 9 THEN 900000000 + o_custkey ELSE o_custkey END AS BIGINT) AS employee_id
 FROM {orders}
 UNION ALL
 SELECT CAST(10000000 + o_orderkey AS BIGINT), lpad(CAST(o_orderkey AS STRING), 8, '0'),

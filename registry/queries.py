@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from uuid import uuid4
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineledger import normalize_mart, run_backfill, run_daily, sales_mart
 from lineledger.config import UNKNOWN, UNKNOWN_SECTION
-from lineledger.functions import department_group, label_or, next_day, short_name, yyyymm
+from lineledger.functions import department_group, label_or, month_window, next_day, short_name, yyyymm
 from lineledger.operators import (
     child_folders,
     department_hierarchy,
@@ -26,9 +26,9 @@ from lineledger.operators import (
     sales_not_changed,
     shipped_documents,
 )
-from lineledger.plans import credited_sales, lines_of, mart_rows, products
+from lineledger.plans import credited_sales, mart_rows, products
 from lineledger.schemas import MART_COLUMNS
-from lineledger.scratch import new_folder
+from lineledger.scratch import delete_folder, shared_folder
 from lineledger.sinks import compact_day, month_of_mart, read_mart
 from lineledger.sources import read_extract, write_extract
 from registry.fixtures import CONFIG, DAY, END, MONTH, START, test_sources
@@ -50,7 +50,7 @@ def _path_as_text(tree: DataFrame) -> DataFrame:
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = test_sources(spark, sf_dir)
     sold = sales_not_changed(src.documents, START, END)
-    return sold.join(lines_of(src.document_lines, sold), "document_id").select(
+    return sold.join(src.document_lines, "document_id").select(
         F.col("sbis_shipment_date").alias("date"), "number", "nomenclature_price_total", "realization"
     )
 
@@ -188,26 +188,40 @@ def sales_mart_normalized_null_price(spark: SparkSession, sf_dir: str) -> DataFr
 
 @query
 def sales_mart_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = normalize_mart(mart_rows(test_sources(spark, sf_dir), START, END, CONFIG))
-    return mart.select(yyyymm(F.col("date")).alias("yyyymm"), *MART_COLUMNS).where(F.col("yyyymm") == MONTH)
+    """The rows of a month of the window; the month is a window of its own, so only its documents are read."""
+    mart = normalize_mart(mart_rows(test_sources(spark, sf_dir), *month_window(MONTH), CONFIG))
+    return mart.select(yyyymm(F.col("date")).alias("yyyymm"), *MART_COLUMNS)
 
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = sales_mart(test_sources(spark, sf_dir), START, END, CONFIG)
-    path = write_extract(mart, new_folder(spark, "extract"), dt.datetime.combine(END, dt.time()))
+    path = write_extract(mart, _folder(spark, "extract", sf_dir), dt.datetime.combine(END, dt.time()))
     return normalize_mart(read_extract(spark, path))
 
 
-def _table(spark: SparkSession) -> dict[str, str]:
-    """A table of its own for one run, below the shared folder."""
-    return {"table": f"mart_{uuid4().hex}", "location": new_folder(spark, "mart")}
+def _folder(spark: SparkSession, purpose: str, sf_dir: str) -> str:
+    """A folder that the last run of the same query in this session had, emptied.
+
+    The result is read from it after the query has returned, so it cannot go at once; a session leaves no more than
+    one behind per query and input.
+    """
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{purpose}-{crc32(sf_dir.encode()):08x}"
+    delete_folder(spark, folder)
+    return folder
+
+
+def _table(spark: SparkSession, query: str, sf_dir: str) -> dict[str, str]:
+    """An empty table for one run, in place of the last run's."""
+    table = f"registry_{query}_{crc32(sf_dir.encode()):08x}"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return {"table": table, "location": _folder(spark, query, sf_dir)}
 
 
 @query
 def backfill_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two backfills of the same range; the second replaces the first."""
-    src, mart = test_sources(spark, sf_dir), _table(spark)
+    src, mart = test_sources(spark, sf_dir), _table(spark, "backfill_roundtrip", sf_dir)
     for _ in range(2):
         run_backfill(spark, src, start=START, end=END, config=CONFIG, **mart)
     return read_mart(spark, mart["table"])
@@ -216,7 +230,7 @@ def backfill_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appending backfills; every row is there twice."""
-    src, mart = test_sources(spark, sf_dir), _table(spark)
+    src, mart = test_sources(spark, sf_dir), _table(spark, "append_roundtrip", sf_dir)
     for _ in range(2):
         run_backfill(spark, src, start=START, end=END, config=CONFIG, mode="append", **mart)
     return read_mart(spark, mart["table"])
@@ -225,7 +239,7 @@ def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def daily_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A backfill, then the daily load of a day inside it, twice."""
-    src, mart = test_sources(spark, sf_dir), _table(spark)
+    src, mart = test_sources(spark, sf_dir), _table(spark, "daily_replace_roundtrip", sf_dir)
     run_backfill(spark, src, start=START, end=END, config=CONFIG, **mart)
     for _ in range(2):
         run_daily(spark, src, day=DAY, config=CONFIG, **mart)
@@ -235,7 +249,7 @@ def daily_replace_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily load of a table that does not exist yet."""
-    src, mart = test_sources(spark, sf_dir), _table(spark)
+    src, mart = test_sources(spark, sf_dir), _table(spark, "daily_roundtrip", sf_dir)
     run_daily(spark, src, day=DAY, config=CONFIG, **mart)
     return read_mart(spark, mart["table"])
 
@@ -243,7 +257,7 @@ def daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def month_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month of a loaded table, read from that month's partitions."""
-    src, mart = test_sources(spark, sf_dir), _table(spark)
+    src, mart = test_sources(spark, sf_dir), _table(spark, "month_partition_roundtrip", sf_dir)
     run_backfill(spark, src, start=START, end=END, config=CONFIG, **mart)
     return month_of_mart(spark, mart["table"], MONTH)
 
@@ -251,7 +265,7 @@ def month_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day loaded and compacted inside a backfilled table."""
-    src, mart = test_sources(spark, sf_dir), _table(spark)
+    src, mart = test_sources(spark, sf_dir), _table(spark, "compact_roundtrip", sf_dir)
     run_backfill(spark, src, start=START, end=END, config=CONFIG, **mart)
     compact_day(spark, mart["table"], DAY)
     return read_mart(spark, mart["table"])

@@ -57,10 +57,10 @@ def test_entry(spark):
 def test_known_figures(spark):
     src = test_sources(spark, SF)
     counts = {
-        "nomenclatures": 270,
+        "nomenclatures": 390,
         "departments": 40,
         "documents": 2589,
-        "employees": 135,
+        "employees": 150,
         "document_lines": 6000,
     }
     assert {name: getattr(src, name).count() for name in counts} == counts
@@ -72,7 +72,7 @@ def test_known_figures(spark):
     assert dict(levels.collect()) == {1: 5, 2: 24, 3: 9, 4: 15}
     products = queries()["product_hierarchy"](spark, SF)
     filled = products.select(*[F.count(c) for c in ("root_folder", "folder_1", "folder_2", "folder_3")]).first()
-    assert tuple(filled) == (128, 99, 60, 30)
+    assert tuple(filled) == (233, 204, 165, 135)
 
 
 def test_groups_of_the_mart(spark):
