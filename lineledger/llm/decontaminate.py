@@ -20,31 +20,50 @@ def words(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(lowered, _BETWEEN), ""), F.expr("CAST(array() AS array<string>)"))
 
 
-def _places(first: int, last: str) -> str:
+def _places(first: int | str, last: str) -> str:
     """Positions from ``first`` to ``last``, none if that is before it."""
     return f"IF({last} >= {first}, sequence({first}, {last}), CAST(array() AS array<int>))"
 
 
+def _once(rows: DataFrame, **columns: str) -> DataFrame:
+    """``rows`` with further columns that are worked out once per row.
+
+    A plain projection may be merged into the next one, and an expression that a loop there refers to would be
+    worked out again for each of the loop's elements. Generators are not merged.
+    """
+    fields = ", ".join(f"'{name}', {expression}" for name, expression in columns.items())
+    return rows.selectExpr("*", f"inline(array(named_struct({fields})))")
+
+
+def _gram(n: int | str, of: str = "words", at: str = "i") -> str:
+    return f"xxhash64({n}, slice({of}, {at}, {n}))"
+
+
 def fingerprints(rows: DataFrame, short: list[int], window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``rows`` with ``words``, with a ``place`` and ``print`` per fingerprint in their stead.
+    """``rows`` with ``words``, and in ``prints`` the different fingerprints of each.
 
-    Of the hashes of ``gram`` words in each run of ``window`` words the least is kept, the first of equal ones, so
-    every shared run of ``window`` words has a fingerprint at the same place in both. Runs of each length in
-    ``short`` are all kept, for items that are no longer than that.
+    Of the hashes of ``gram`` words in each run of ``window`` words the least is kept, so any two texts with
+    ``window`` words in common have a fingerprint in common there. Runs of each length in ``short`` are all kept,
+    for items that are no longer than that.
     """
     width = window - gram + 1
-    hashed = f"transform({_places(1, f'size(words) - {gram - 1}')}, i -> xxhash64({gram}, slice(words, i, {gram})))"
-    least = f"i - 1 + array_position(slice(grams, i, {width}), array_min(slice(grams, i, {width})))"
-    chosen = f"array_distinct(transform({_places(1, f'size(words) - {window - 1}')}, i -> CAST({least} AS int)))"
-    prints = "transform(chosen, i -> named_struct('place', i, 'print', element_at(grams, i)))"
+    hashed = f"transform({_places(1, f'size(words) - {gram - 1}')}, i -> {_gram(gram)})"
+    prints = f"array_distinct(transform({_places(1, f'size(words) - {window - 1}')}, i -> array_min(slice(grams, i, {width}))))"
     for n in short:
-        whole = f"named_struct('place', i, 'print', xxhash64({n}, slice(words, i, {n})))"
-        prints = f"concat({prints}, transform({_places(1, f'size(words) - {n - 1}')}, i -> {whole}))"
-    kept = [c for c in rows.columns if c != "words"]
-    # each step keeps what the one before it made, so that no expression is worked out inside the next one's loop
-    rows = rows.selectExpr(*kept, "words", f"{hashed} AS grams")
-    rows = rows.selectExpr(*kept, "words", "grams", f"{chosen} AS chosen")
-    return rows.selectExpr(*kept, f"inline({prints})")
+        prints = f"concat({prints}, array_distinct(transform({_places(1, f'size(words) - {n - 1}')}, i -> {_gram(n)})))"
+    rows = _once(rows, grams=hashed, n_words="size(words)")
+    return _once(rows, prints=prints).drop("grams")
+
+
+def _shifts() -> str:
+    """How far apart a document's and an item's words are wherever they have one of ``prints`` in common."""
+
+    def places(of: str) -> str:
+        all_ = f"transform({_places(1, f'size({of}) - n + 1')}, i -> named_struct('at', i, 'print', {_gram('n', of)}))"
+        return f"filter({all_}, x -> array_contains(prints, x.print))"
+
+    same = f"filter({places('item_words')}, y -> y.print = x.print)"
+    return f"array_distinct(flatten(transform({places('words')}, x -> transform({same}, y -> x.at - y.at))))"
 
 
 def _agreeing() -> tuple[str, str]:
@@ -54,13 +73,19 @@ def _agreeing() -> tuple[str, str]:
     document that windows of agreeing words cover.
     """
     same = "IF(element_at(words, i + shift) <=> element_at(item_words, i), '1', '0')"
-    first, last = "greatest(1, 1 - shift)", "least(size(item_words), size(words) - shift)"
-    agree = f"array_join(transform(IF({last} >= {first}, sequence({first}, {last}), CAST(array() AS array<int>)), i -> {same}), '')"
+    first = "greatest(1, 1 - shift)"
+    places = _places(first, "least(size(item_words), size(words) - shift)")
+    agree = f"array_join(transform({places}, i -> {same}), '')"
     covered = "exists(sequence(greatest(1, i - span + 1), i), a -> substring(agree, a, span) = repeat('1', span))"
     hits = f"transform(filter({_places(1, 'length(agree)')}, i -> {covered}), i -> i + {first} - 1 + shift)"
     return agree, hits
 
 
+def _of_same_row(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    same = rows["id"].eqNullSafe(found["met_id"]) & (rows["mark"] == found["met_mark"])
+    return rows.join(found, same, how).drop("met_id", "met_mark")
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -78,49 +103,54 @@ def contamination(
     occurrence of a window covers it; a document is contaminated if at least one of ``least_share`` words is.
     ``items`` are the ids of the items with windows in the document, as sorted strings.
 
-    Fingerprints of documents and items are joined; what they have in common gives for document and item how far
-    their places are apart, and along each such shift the words themselves are compared, so hits are exact. Null
+    Fingerprints of documents and items are joined. Where a document and an item have one in common, its places in
+    both give how far their words are apart, and along each such shift the words are compared, so hits are exact. Null
     texts and texts without words have no hits and are in no item. Items with the same id are one item in the
     result; an item without an id is listed as an empty string. Rows that share an id are told apart by their text.
     """
     staged = Staged(docs.sparkSession, "contamination")
-    text = F.col(text_col).cast("string")
-    mark = F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), mark, words(text).alias("words"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text")).withColumn("mark", F.xxhash64("text"))
     item_id = F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item")
     items = benchmark.select(item_id, words(F.col(item_text_col).cast("string")).alias("words")).where("size(words) > 0")
-    items = staged(items.distinct(), "items")
+    items = staged(items.distinct().withColumn("item_mark", F.xxhash64("words")), "items")
     # at most window - 1 small numbers
     short = [r.n for r in items.selectExpr("size(words) AS n").where(f"n < {window}").distinct().orderBy("n").collect()]
-    gram_of_items = [
-        fingerprints(items.where(f"size(words) >= {window}").selectExpr("item", "words AS item_words", "words"), [], window, gram)
-    ]
+    long_items = fingerprints(items.where(f"size(words) >= {window}"), [], window, gram)
+    known = long_items.selectExpr("item", "item_mark", f"{gram} AS n", "explode(prints) AS print")
     for n in short:
-        only = items.where(f"size(words) = {n}")
-        gram_of_items.append(only.selectExpr("item", "words AS item_words", "1 AS place", f"xxhash64({n}, words) AS print"))
-    known = gram_of_items[0]
-    for more in gram_of_items[1:]:
-        known = known.unionByName(more)
-    known = staged(known.selectExpr("item", "xxhash64(item_words) AS item_mark", "place AS item_place", "print"), "prints")
-    met = fingerprints(rows, short, window, gram).join(known, "print")
-    met = met.selectExpr("id", "mark", "item", "item_mark", "place - item_place AS shift").distinct()
-    met = staged(met, "met")
-
-    texts = items.selectExpr("item", "xxhash64(words) AS item_mark", "words AS item_words")
-    pairs = met.join(texts, ["item", "item_mark"]).withColumnsRenamed({"id": "met_id", "mark": "met_mark"})
-    both = rows.join(pairs, rows["id"].eqNullSafe(pairs["met_id"]) & (rows["mark"] == pairs["met_mark"]))
+        whole = f"xxhash64({n}, words) AS print"
+        known = known.unionByName(items.where(f"size(words) = {n}").selectExpr("item", "item_mark", f"{n} AS n", whole))
+    known = staged(known, "prints")
+
+    # one pass over the texts; a row for each document tells its number of words, whatever it has in common
+    worded = _once(rows.withColumn("split", words(F.col("text"))).drop("text"), words="split").drop("split")
+    printed = fingerprints(worded, short, window, gram)
+    own = "named_struct('print', mark, 'n_words', n_words)"
+    shown = "transform(prints, p -> named_struct('print', p, 'n_words', CAST(NULL AS INT)))"
+    printed = printed.selectExpr("id", "mark", f"inline(concat(array({own}), {shown}))")
+    met = printed.join(known, "print", "left").where("item IS NOT NULL OR n_words IS NOT NULL")
+    met = staged(met.distinct(), "met")
+    sized = met.where("n_words IS NOT NULL").selectExpr("id AS met_id", "mark AS met_mark", "n_words").distinct()
+
+    pairs = met.where("item IS NOT NULL AND n_words IS NULL").groupBy("id", "mark", "item", "item_mark", "n")
+    pairs = pairs.agg(F.collect_set("print").alias("prints")).withColumnsRenamed({"id": "met_id", "mark": "met_mark"})
+    pairs = pairs.join(items.withColumnRenamed("words", "item_words"), ["item", "item_mark"])
+    pairs = staged(pairs, "pairs")
+    # always by shuffle: the texts that have pairs grow with the input, and so does this join's share of the work
+    both = _of_same_row(rows, pairs.hint("merge"), "inner").withColumn("split", words(F.col("text"))).drop("text")
+    both = _once(both, words="split").drop("split")
+    both = both.selectExpr("id", "mark", "item", "words", "item_words", f"explode({_shifts()}) AS shift")
     agree, hits = _agreeing()
-    both = both.selectExpr("id", "mark", "item", "words", "item_words", "shift", f"least({window}, size(item_words)) AS span")
-    both = both.selectExpr("id", "mark", "item", "size(item_words) AS n_item", "size(words) AS n", "shift", "span", f"{agree} AS agree")
-    hits = hits.replace("size(item_words)", "n_item").replace("size(words)", "n")
-    places = both.selectExpr("id AS hit_id", "mark AS hit_mark", "item", f"explode({hits}) AS place").distinct()
-    found = places.groupBy("hit_id", "hit_mark").agg(
+    both = _once(both, agree=agree, span=f"least({window}, size(item_words))").drop("words", "item_words")
+    places = both.selectExpr("id AS met_id", "mark AS met_mark", "item", f"explode({hits}) AS place").distinct()
+    found = places.groupBy("met_id", "met_mark").agg(
         F.count_distinct("place").alias("n_hit"), F.sort_array(F.collect_set("item")).alias("items")
     )
     found = staged(found, "found")
-
-    sized = rows.select("id", "mark", F.size("words").cast("bigint").alias("n_words"))
-    out = sized.join(found, sized["id"].eqNullSafe(found["hit_id"]) & (sized["mark"] == found["hit_mark"]), "left")
+    found = sized.join(found, sized["met_id"].eqNullSafe(found["met_id"]) & (sized["met_mark"] == found["met_mark"]), "left")
+    found = staged(found.select(sized["met_id"], sized["met_mark"], F.col("n_words").cast("bigint"), "n_hit", "items"), "labels")
+    out = _of_same_row(rows.select("id", "mark"), found, "inner")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     return out.select(
         F.col("id").alias(id_col),

@@ -84,5 +84,6 @@ def test_odd_tables(spark):
 
 def test_no_python_and_no_loop_in_a_loop(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "split(text, ' ') AS words")
-    plan = fingerprints(rows, [3])._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("split(") == 1 and "Python" not in plan and "Arrow" not in plan
+    prints = fingerprints(rows, [3]).selectExpr("doc_id", "explode(prints)")
+    plan = prints._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("xxhash64(8") == 1 and "Python" not in plan and "Arrow" not in plan
