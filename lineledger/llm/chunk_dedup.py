@@ -19,6 +19,8 @@ from lineledger.llm.copies import (
 from lineledger.llm.shared import map_batches
 
 REACH = 3  # a cut's hash is the least among that many possible cuts on both sides
+LONGEST = 12  # possible cuts after which there is one in any case
+LEAST_WORDS = 20  # of a run that is removed
 _WINDOW = 16  # bytes that the gear hash remembers: 32 bits, two of them shifted out per byte
 _LONG_WORD = 64  # bytes without white space after which a character may be cut from the next
 _BLOCK = 1 << 22  # bytes that are hashed at once
@@ -54,7 +56,8 @@ def cuts(text: bytes) -> np.ndarray:
 
     A border is a possible cut whose gear hash, over the bytes before it, is the least among :data:`REACH`
     possible cuts on either side. It depends on nothing further away, so an insertion moves only the borders
-    beside it, and a passage is cut alike wherever it stands.
+    beside it, and a passage is cut alike wherever it stands. Where there is none for :data:`LONGEST` possible cuts,
+    as in a word that is repeated over and over, further borders are counted from the last one.
     """
     data = np.frombuffer(text, np.uint8)
     if not len(data):
@@ -71,7 +74,11 @@ def cuts(text: bytes) -> np.ndarray:
     for k in range(1, min(REACH, len(h) - 1) + 1):
         least[k:] &= h[k:] < h[:-k]  # of equal ones the first is a border
         least[:-k] &= h[:-k] <= h[k:]
-    return np.r_[0, offset[least], len(data)]
+    borders = np.r_[-1, np.flatnonzero(least), len(h)]
+    more = (np.diff(borders) - 1) // LONGEST
+    nth = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    counted = np.repeat(borders[:-1], more) + LONGEST * nth
+    return np.r_[0, offset[np.sort(np.r_[np.flatnonzero(least), counted])], len(data)]
 
 
 def _keys(texts: list[bytes]):
@@ -98,7 +105,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return spans_by_document(earlier_copies(docs, _keys, parts))
 
 
-def _without(texts, starts, sizes):
+def _is_passage(run: bytes, least_words: int) -> bool:
+    """Whether a run has that many words, or as many characters as such words have, for scripts without spaces."""
+    return len(run.split()) >= least_words or len(run.decode("utf-8", "surrogatepass")) >= 8 * least_words
+
+
+def _without(texts, starts, sizes, least_words):
     kept, removed, spans = [], [], []
     for text, a, n in zip(texts, starts, sizes, strict=True):
         text = text.as_py()
@@ -110,21 +122,26 @@ def _without(texts, starts, sizes):
         a = np.array(a.as_py(), np.int64)
         first, last = union_of(a, a + np.array(n.as_py(), np.int64))
         data, at, rest = text.encode("utf-8", "surrogatepass"), 0, []
-        for x, y in zip(first.tolist(), last.tolist(), strict=True):
+        runs = list(zip(first.tolist(), last.tolist(), strict=True))
+        runs = [(x, y) for x, y in runs if y - x == len(data) or _is_passage(data[x:y], least_words)]
+        for x, y in runs:
             rest.append(data[at:x])
             at = y
         rest.append(data[at:])
         kept.append(b"".join(rest).decode("utf-8", "surrogatepass"))
-        removed.append(int((last - first).sum()))
-        spans.append(len(first))
+        removed.append(sum(y - x for x, y in runs))
+        spans.append(len(runs))
     return kept, removed, spans
 
 
-def dedup_substrings(docs: DataFrame, *carried: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_substrings(
+    docs: DataFrame, *carried: Column, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS
+) -> DataFrame:
     """``carried`` columns of each row with ``kept`` text, ``n_removed`` bytes and ``n_spans`` removed runs.
 
-    Chunks that stand side by side in a document with a smaller id, too, are removed; what repeats inside a
-    document stays. Null texts are empty. Rows with the same id are no copies of each other; null ids come after
+    Chunks that stand side by side in a document with a smaller id, too, are removed, if a run of them has
+    ``least_words`` words or is all of the text; shorter ones are phrases and lines that many texts share. What
+    repeats inside a document stays. Null texts are empty. Rows with the same id are no copies of each other; null ids come after
     all others. A document all of whose chunks are copies keeps an empty text.
     """
     rows = documents(docs, id_col, text_col)
@@ -136,7 +153,7 @@ def dedup_substrings(docs: DataFrame, *carried: Column, id_col: str = "doc_id",
     fields = found.schema["__row"].dataType.simpleString()
 
     def batch(row, texts, starts, sizes):
-        kept, removed, runs = _without(texts, starts, sizes)
+        kept, removed, runs = _without(texts, starts, sizes, least_words)
         yield {"__row": row, "kept": kept, "n_removed": removed, "n_spans": runs}
 
     kinds = {"__row": fields, "text": "string", "starts": "array<int>", "sizes": "array<int>"}

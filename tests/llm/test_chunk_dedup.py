@@ -43,6 +43,11 @@ def plain_dedup(docs):
         for a, b, key in pairs.get(i, []):
             if first[key] < i:
                 gone[a:b] = True
+        edges = np.flatnonzero(np.diff(np.r_[0, gone.astype(int), 0]))
+        for a, b in zip(edges[::2], edges[1::2]):
+            run = text.encode()[a:b]
+            if b - a < len(gone) and len(run.split()) < 20 and len(run.decode()) < 160:
+                gone[a:b] = False
         runs = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
         out[i] = (bytes(np.frombuffer(text.encode(), np.uint8)[~gone]).decode(), int(gone.sum()), runs)
     return out
@@ -91,6 +96,16 @@ def test_long_passages_go_and_clean_documents_stay(spark):
     assert all(passages[i % 40] not in found[i].kept for i in range(40, 160))
 
 
+def test_repeated_words_and_phrases(spark):
+    rng = random.Random(6)
+    drone, phrase = "and " * 60, words(rng, 14)
+    docs = [(i, f"{words(rng, 30)} {phrase} {words(rng, 30)} {drone}{words(rng, 30)}") for i in range(4)]
+    docs += [(9, "日本語の長い文章をここに書きます" * 20), (10, "前置き" + "日本語の長い文章をここに書きます" * 20)]
+    found = {r.doc_id: r for r in dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string"), F.col("doc_id")).collect()}
+    assert found[0].n_removed == found[9].n_removed == 0 and found[10].n_removed > 400
+    assert all(phrase in found[i].kept and found[i].n_removed > 100 and found[i].n_spans == 1 for i in (1, 2, 3))
+
+
 def test_query_equals_brute_force(spark):
     docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     found = {r.doc_id: (r.n_removed, r.n_spans) for r in QUERIES["op3_substring_dedup"](spark, SF).collect()}
