@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineledger.llm.shared import Staged, map_batches
@@ -117,7 +117,8 @@ def plan(histogram: np.ndarray, size: int) -> list[tuple[Pattern, int]]:
 class Slots:
     """Where the pieces of each length go: the r-th one belongs to the last slot of its length that starts at or before r."""
 
-    key: np.ndarray
+    length: np.ndarray
+    start: np.ndarray
     sequence: np.ndarray
     offset: np.ndarray
 
@@ -127,16 +128,21 @@ class Slots:
         for pattern, repeats in blocks:
             offset = 0
             for length in pattern:
-                rows.append((length << 44 | used[length], sequence, offset))
+                rows.append((length, used[length], sequence, offset))
                 used[length] += repeats
                 offset += length
             sequence += repeats
-        columns = np.array(sorted(rows), np.int64).reshape(-1, 3).T
-        return Slots(*columns)
+        return Slots(*np.array(sorted(rows), np.int64).reshape(-1, 4).T)
 
-    def place(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.key, length << 44 | rank, side="right") - 1
-        return self.sequence[at] + (length << 44 | rank) - self.key[at], self.offset[at]
+    def table(self, spark: SparkSession) -> DataFrame:
+        """A row per length, with its slots in order."""
+        rows = []
+        for length in np.unique(self.length).tolist():
+            own = self.length == length
+            rows.append((length, *(column[own].tolist() for column in (self.start, self.sequence, self.offset))))
+        return spark.createDataFrame(
+            rows, "length bigint, starts array<bigint>, sequences array<bigint>, offsets array<bigint>"
+        )
 
 
 # --- pieces and places in Spark --------------------------------------------------------------------------------
@@ -173,22 +179,22 @@ def pieces(
         yield out
 
     schema = f"{id_col} bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    schema += ", ids array<bigint>" if keep_ids else ""
+    schema += ", ids array<int>" if keep_ids else ""
     return map_batches(docs, {id_col: "bigint", text_col: "string"}, batch, schema)
 
 
 def place(pieces: DataFrame, size: int, staged: Staged, order: list[str]) -> DataFrame:
     """``pieces``, a stored table with a ``length`` of 1 to ``size``, with ``sequence_id`` and ``offset``.
 
-    Only the histogram reaches the driver: at most ``size`` numbers. The plan that comes back has at most some ten
-    thousand slots, whatever the number of pieces. Pieces of a length are numbered in bins, and the bins' totals
+    Only the histogram reaches the driver: at most ``size`` numbers. The plan that comes back is broadcast: it has a
+    row per length with some ten thousand slots in all, whatever the number of pieces. Pieces of a length are numbered in bins, and the bins' totals
     give the first number of each, so that a length which a third of all pieces have is no large group.
     """
     counts = pieces.groupBy("length").count().collect()
     histogram = np.zeros(size + 1, np.int64)
     for row in counts:
         histogram[row["length"]] = row["count"]
-    slots = pieces.sparkSession.sparkContext.broadcast(Slots.of(plan(histogram, size)))
+    slots = Slots.of(plan(histogram, size)).table(pieces.sparkSession)
     mark = F.pmod(F.xxhash64(*order), F.lit(BINS)).cast("int")
     binned = pieces.select(F.struct("*").alias("__row"), "length", mark.alias("__bin"), *(F.col(c).alias(f"__{c}") for c in order))
     totals = binned.groupBy("length", "__bin").agg(F.count("*").alias("n"))
@@ -197,14 +203,13 @@ def place(pieces: DataFrame, size: int, staged: Staged, order: list[str]) -> Dat
     own = Window.partitionBy("length", "__bin").orderBy(*(f"__{c}" for c in order))
     ranked = binned.withColumn("rank", F.row_number().over(own) - 1).join(totals, ["length", "__bin"])
     ranked = ranked.select("__row", "length", (F.col("rank") + F.col("before")).alias("rank"))
-    fields = ranked.schema["__row"].dataType.simpleString()
-
-    def batch(rows, length, rank):
-        sequence, offset = slots.value.place(np.asarray(length, np.int64), np.asarray(rank, np.int64))
-        yield {"__row": rows, "sequence_id": sequence, "offset": offset}
-
-    kinds = {"__row": fields, "length": "bigint", "rank": "bigint"}
-    placed = map_batches(ranked, kinds, batch, f"__row {fields}, sequence_id bigint, offset bigint")
+    slot = F.size(F.filter("starts", lambda s: s <= F.col("rank")))
+    placed = ranked.join(F.broadcast(slots), "length").withColumn("slot", slot)
+    placed = placed.select(
+        "__row",
+        (F.element_at("sequences", F.col("slot")) + F.col("rank") - F.element_at("starts", F.col("slot"))).alias("sequence_id"),
+        F.element_at("offsets", F.col("slot")).alias("offset"),
+    )
     return placed.select("__row.*", "sequence_id", "offset")
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineledger.scratch import delete_folder, new_folder
+from lineledger.session import settings
+
+
+ROWS_AT_ONCE = 2048  # of an Arrow batch that a function gets, so that what it makes of them stays small
 
 
 class Staged:
@@ -24,7 +28,9 @@ class Staged:
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        with settings(self.spark, {batch: str(min(ROWS_AT_ONCE, int(self.spark.conf.get(batch))))}):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -34,7 +40,7 @@ class Staged:
 def map_batches(
     df: DataFrame, columns: dict[str, str], function: Callable[..., Iterator[dict]], schema: str
 ) -> DataFrame:
-    """Applies ``function(lists of the columns)`` to Arrow batches; it yields dicts of column name to values.
+    """Applies ``function(arrays of the columns)`` to slices of Arrow batches; it yields dicts of column name to values.
 
     ``columns`` maps a column of ``df`` to the type it is cast to, so extra columns never reach Python.
     """
@@ -42,9 +48,11 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for out in function(*(batch.column(i) for i in range(batch.num_columns))):
-                arrays = [_as_array(out[f.name], f.type) for f in fields]
-                yield pa.RecordBatch.from_arrays(arrays, schema=fields)
+            for start in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                for out in function(*part.columns):
+                    arrays = [_as_array(out[f.name], f.type) for f in fields]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
     return df.select(*(F.col(c).cast(t).alias(c) for c, t in columns.items())).mapInArrow(run, schema)
 

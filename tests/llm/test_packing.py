@@ -86,15 +86,16 @@ def test_best_fit_equals_piece_by_piece():
         assert sum(n for _, n in blocks) == plain_best_fit(lengths, 30)
 
 
-def test_slots_are_gapless():
+def test_slots_are_gapless(spark):
     blocks = [((3, 5, 3), 4), ((5,), 2), ((3, 7), 1)]
-    slots = Slots.of(blocks)
+    slots = {r.length: r for r in Slots.of(blocks).table(spark).collect()}
     counts = {3: 9, 5: 6, 7: 1}
     found = defaultdict(list)
     for length, n in counts.items():
-        sequence, offset = slots.place(np.full(n, length), np.arange(n))
-        for s, o in zip(sequence.tolist(), offset.tolist(), strict=True):
-            found[s].append((o, length))
+        own = slots[length]
+        for rank in range(n):
+            k = sum(s <= rank for s in own.starts) - 1
+            found[own.sequences[k] + rank - own.starts[k]].append((own.offsets[k], length))
     assert sorted(tuple(n for _, n in sorted(v)) for v in found.values()) == sorted([(3, 5, 3)] * 4 + [(5,)] * 2 + [(3, 7)])
     for v in found.values():
         assert [o for o, _ in sorted(v)] == np.cumsum([0, *(n for _, n in sorted(v))])[:-1].tolist()
