@@ -82,6 +82,16 @@ def test_odd_tables(spark):
     assert found_in(spark, docs, []) == plain(docs, [])
 
 
+def test_long_text_and_one_passage_in_a_third_of_all_documents(spark):
+    rng = random.Random(4)
+    item = " ".join(f"i{k}" for k in range(30))
+    filler = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    docs = [(1, f"{filler(40000)} {item}"), (2, item + " " + filler(599)), (3, " ".join(["i3"] * 20000))]
+    docs += [(10 + k, f"{filler(20)} {item if k % 3 == 0 else filler(30)} {filler(20)}") for k in range(300)]
+    items = [(5, item), (6, "i3 " * 40), (7, filler(50))]
+    assert found_in(spark, docs, items) == plain(docs, items)
+
+
 def test_no_python_and_no_loop_in_a_loop(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "split(text, ' ') AS words")
     prints = fingerprints(rows, [3]).selectExpr("doc_id", "explode(prints)")

@@ -59,6 +59,13 @@ def test_payloads_round_trip(spark):
     assert found == sorted(r.html for r in pages.collect())
 
 
+def test_long_payload_and_a_third_of_copies(spark):
+    rows = [(i, f"http://h/{i}", "copy " * 300 if i % 3 else f"page {i} " * 200) for i in range(300)] + [(1000, "u", "é" * 3_000_000)]
+    found = {r.page_id: r for r in page_digests(archive_and_read(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
+    assert len(found) == 301 and found[1000].payload_bytes == 6_000_000
+    assert all(found[i].refers_to == (299 if i % 3 and i != 299 else None) for i in range(300))
+
+
 def test_foreign_archives():
     body = b"HTTP/1.1 200 OK\r\n\r\nhello"
     digest = base64.b32encode(hashlib.sha1(b"hello").digest()).decode()
