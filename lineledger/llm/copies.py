@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from lineledger.llm.shared import map_batches, spark_to_arrow
 
-KEYED, COVERED, EDGE, CROWDED = 0, 1, 2, 3
+KEYED, COVERED, EDGE, MARK, CROWDED = range(5)
+MANY = 4096  # different spans of one first key in all, beyond which they count as crowded
+_AT_ONCE = 8 << 20  # bytes of texts that are cut and sorted at once
 _LAST = np.iinfo(np.int64).max  # stands for a null id, which comes after all others
-_CODEC = pa.Codec("zstd", 1)
+CODEC = pa.Codec("zstd", 1)
 _KINDS = {"k1": "<u8", "k2": "<u4", "doc": "<u4", "start": "<u4", "size": "<u4", "kind": "u1"}
 SPANS = "id bigint, text_hash bigint, kind tinyint, starts array<int>, sizes array<int>"
 
@@ -64,13 +66,13 @@ def pack(e: Entries) -> bytes:
     for values, kind in zip(columns, ["<i8", "<i8", *_KINDS.values()], strict=True):
         flat = np.ascontiguousarray(values, dtype=kind)
         raw += flat.view(np.uint8).reshape(len(flat), flat.itemsize).T.tobytes()
-    packed = _CODEC.compress(raw, asbytes=True)
+    packed = CODEC.compress(raw, asbytes=True)
     return struct.pack("<III", len(used), len(doc), len(raw)) + packed
 
 
 def unpack(block: bytes) -> Entries:
     docs, n, size = struct.unpack_from("<III", block)
-    raw = np.frombuffer(_CODEC.decompress(block[12:], decompressed_size=size, asbytes=True), np.uint8)
+    raw = np.frombuffer(CODEC.decompress(block[12:], decompressed_size=size, asbytes=True), np.uint8)
     out, at = [], 0
     for kind, length in zip(["<i8", "<i8", *_KINDS.values()], [docs, docs] + [n] * len(_KINDS), strict=True):
         width = np.dtype(kind).itemsize
@@ -107,7 +109,7 @@ def ship(e: Entries, crowd: int | None) -> Iterator[Entries]:
     """What a batch sends on: settled spans go by document, the others by key.
 
     With ``crowd``, a first key that more than that many different spans of the batch share is not sent span by
-    span: its spans become edges at once, and one mark tells the spans of other batches to become edges too.
+    span: its spans are crowded edges at once, and one mark tells the spans of other batches to become that too.
     """
     e, covered = settled(e)
     by_doc = [e.take(covered, kind=np.full(covered.sum(), COVERED, np.uint8))]
@@ -115,9 +117,9 @@ def ship(e: Entries, crowd: int | None) -> Iterator[Entries]:
     if crowd is not None and len(e.k1):
         new = np.r_[True, (e.k1[1:] != e.k1[:-1]) | (e.k2[1:] != e.k2[:-1])]
         many = _per_group(e.k1, new) > crowd
-        by_doc.append(e.take(many, kind=np.full(many.sum(), EDGE, np.uint8)))
+        by_doc.append(e.take(many, kind=np.full(many.sum(), CROWDED, np.uint8)))
         first = many & np.r_[True, e.k1[1:] != e.k1[:-1]]
-        marks = e.take(first, kind=np.full(first.sum(), CROWDED, np.uint8), k2=np.zeros(first.sum(), e.k2.dtype))
+        marks = e.take(first, kind=np.full(first.sum(), MARK, np.uint8), k2=np.zeros(first.sum(), e.k2.dtype))
         yield e.take(~many)
         yield marks
     else:
@@ -126,37 +128,59 @@ def ship(e: Entries, crowd: int | None) -> Iterator[Entries]:
         yield out.take(slice(None), k1=_spread_over(out.hashes[out.doc]), k2=np.zeros(len(out.k1), np.uint32))
 
 
+def range_slices(parts: int, k1: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The range of keys of each stretch of ``k1``, which is in order."""
+    if not len(k1):
+        return
+    part = (((k1 >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)).astype(np.int64)
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    for a, b in zip(starts, [*starts[1:], len(part)], strict=True):
+        yield int(part[a]), slice(int(a), int(b))
+
+
 def blocks_by_range(parts: int, shipped: Iterator[Entries]) -> Iterator[tuple[int, bytes]]:
     for e in shipped:
-        if not len(e.k1):
-            continue
         e = e.take(np.argsort(e.k1, kind="stable"))
-        part = (((e.k1 >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)).astype(np.int64)
-        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        for a, b in zip(starts, np.r_[starts[1:], len(part)], strict=True):
-            yield int(part[a]), pack(e.take(slice(a, b)))
+        for part, chosen in range_slices(parts, e.k1):
+            yield part, pack(e.take(chosen))
 
 
 def outcome(e: Entries, refine: bool) -> Entries:
     """Covered spans of a range of keys and, with ``refine``, the edges.
 
     An edge is the first span of its key, where the first half of the key also occurs with another second half:
-    the span as a whole is nobody's copy, but a part of it may be.
+    the span as a whole is nobody's copy, but a part of it may be. Edges of a first key with very many of them are
+    crowded.
     """
-    passed = e.take((e.kind == COVERED) | (e.kind == EDGE))
-    crowded = np.unique(e.k1[e.kind == CROWDED])
+    passed = e.take((e.kind == COVERED) | (e.kind == CROWDED))
+    marked = np.unique(e.k1[e.kind == MARK])
     e, covered = settled(e.take(e.kind == KEYED))
     out = [passed, e.take(covered, kind=np.full(covered.sum(), COVERED, np.uint8))]
     if refine and len(e.k1):
         new = np.r_[True, (e.k1[1:] != e.k1[:-1]) | (e.k2[1:] != e.k2[:-1])]
-        many = (_per_group(e.k1, new) > 1) | np.isin(e.k1, crowded)
-        edge = many & ~covered
-        out.append(e.take(edge, kind=np.full(edge.sum(), EDGE, np.uint8)))
+        spans = _per_group(e.k1, new)
+        crowded = np.isin(e.k1, marked) | (spans > MANY)
+        edge = ((spans > 1) | crowded) & ~covered
+        out.append(e.take(edge, kind=np.where(crowded[edge], CROWDED, EDGE).astype(np.uint8)))
     return joined(out)
 
 
-def as_rows(e: Entries) -> pa.RecordBatch:
-    """One row per document and kind, with the lists of its spans."""
+def _runs(e: Entries) -> Entries:
+    """Covered spans of a document that overlap or touch, put together; other kinds as they are."""
+    covered = e.take(e.kind == COVERED)
+    far = covered.doc.astype(np.int64) << 33
+    first, last = union_of(far + covered.start, far + covered.start + covered.size)
+    doc = (first >> 33).astype(np.int64)
+    start, size = (first - (doc << 33)).astype(np.uint32), (last - first).astype(np.uint32)
+    none = np.zeros(len(doc), np.uint64)
+    runs = Entries(e.ids, e.hashes, none, none.astype(np.uint32), doc, start, size, np.full(len(doc), COVERED, np.uint8))
+    rest = e.take(e.kind != COVERED)
+    return Entries(e.ids, e.hashes, **{n: np.concatenate([getattr(runs, n), getattr(rest, n)]) for n in _KINDS})
+
+
+def as_rows(e: Entries) -> list[pa.Array]:
+    """Columns of one row per document and kind, with the lists of its spans."""
+    e = _runs(e)
     order = np.lexsort((e.start, e.doc, e.kind))
     kind, doc = e.kind[order], e.doc[order].astype(np.int64)
     new = np.r_[True, (kind[1:] != kind[:-1]) | (doc[1:] != doc[:-1])] if len(doc) else np.zeros(0, bool)
@@ -176,8 +200,8 @@ def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def parts_for(rows: int, spans_per_part: int = 1 << 19, least: int = 64) -> int:
-    """Ranges of keys, so that a task sorts about half a million spans whatever the input's size."""
+def parts_for(rows: int, spans_per_part: int = 1 << 20, least: int = 64) -> int:
+    """Ranges of keys, so that a task sorts about a million spans whatever the input's size."""
     return max(least, -(-rows // spans_per_part))
 
 
@@ -185,36 +209,63 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("bigint")).first()[0]
 
 
+def in_pieces(ids, texts, hashes) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]]:
+    """``(ids, hashes, texts, rows)`` of a batch, a bounded number of bytes at a time; equal rows come once."""
+    ids, hashes = np.asarray(ids.fill_null(_LAST), np.int64), np.asarray(hashes, np.int64)
+    keep = np.unique(np.c_[ids, hashes], axis=0, return_index=True)[1] if len(ids) else np.zeros(0, np.int64)
+    data, first, size = [], 0, 0
+    for k, row in enumerate(keep.tolist()):
+        data.append(texts[row].as_py().encode("utf-8", "surrogatepass"))
+        size += len(data[-1])
+        if k + 1 == len(keep) or size >= _AT_ONCE:
+            own = keep[first : k + 1]
+            yield ids[own], hashes[own], data, own
+            data, first, size = [], k + 1, 0
+
+
 def earlier_copies(
-    docs: DataFrame, cut: Callable[..., tuple], parts: int, extra: dict[str, str] | None = None, crowd: int | None = None
+    docs: DataFrame, cut: Callable[[list[bytes]], tuple], parts: int, crowd: int | None = None
 ) -> DataFrame:
     """Rows of :data:`SPANS`: covered spans per document and, where ``crowd`` is given, edges.
 
-    ``cut(list of bytes, *extra columns)`` gives ``(doc, k1, k2, start, size)`` arrays for a batch. Rows with equal
-    id and text count once. A span is covered if a document with a smaller id has its key; null ids are last.
+    ``cut(texts as bytes)`` gives ``(doc, k1, k2, start, size)`` arrays. Rows with equal id and text count once. A
+    span is covered if a document with a smaller id has its key; null ids are last.
     """
 
-    def batch(ids, texts, hashes, *others):
-        ids = np.asarray(ids.fill_null(_LAST), np.int64)
-        hashes = np.asarray(hashes, np.int64)
-        keep = np.unique(np.c_[ids, hashes], axis=0, return_index=True)[1] if len(ids) else []
-        data = [texts[int(i)].as_py().encode("utf-8", "surrogatepass") for i in keep]
-        own = entries(ids[keep], hashes[keep], *cut(data, *(o.take(pa.array(keep)) for o in others)))
-        pairs = list(blocks_by_range(parts, ship(own, crowd)))
+    def blocks(ids, texts, hashes):
+        for own_ids, own_hashes, data, _ in in_pieces(ids, texts, hashes):
+            yield from blocks_by_range(parts, ship(entries(own_ids, own_hashes, *cut(data)), crowd))
+
+    def settle(blocks: list[bytes]) -> Entries:
+        return outcome(joined([unpack(b) for b in blocks]), crowd is not None)
+
+    return settle_by_range(docs, {"id": "bigint", "text": "string", "text_hash": "bigint"}, blocks, settle)
+
+
+def settle_by_range(
+    docs: DataFrame,
+    columns: dict[str, str],
+    blocks: Callable[..., Iterator[tuple[int, bytes]]],
+    settle: Callable[[list[bytes]], Entries],
+) -> DataFrame:
+    """Ships the blocks of each batch to the task of their range, which gives its entries' rows of :data:`SPANS`."""
+
+    def batch(*values):
+        pairs = list(blocks(*values))
         yield {"part": [p for p, _ in pairs], "block": [b for _, b in pairs]}
 
-    def settle(table: pa.Table) -> pa.Table:
-        e = outcome(joined([unpack(b.as_py()) for b in table.column("block")]), crowd is not None)
-        return pa.Table.from_arrays(as_rows(e), schema=fields)
+    def of_range(table: pa.Table) -> pa.Table:
+        return pa.Table.from_arrays(as_rows(settle(table.column("block").to_pylist())), schema=fields)
 
     fields = spark_to_arrow(docs.sparkSession, SPANS)
-    columns = {"id": "bigint", "text": "string", "text_hash": "bigint", **(extra or {})}
-    blocks = map_batches(docs, columns, batch, "part int, block binary")
-    return blocks.groupBy("part").applyInArrow(settle, SPANS)
+    shipped = map_batches(docs, columns, batch, "part int, block binary")
+    return shipped.groupBy("part").applyInArrow(of_range, SPANS)
 
 
 def union_of(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Overlapping and touching spans joined into maximal ones, in order."""
+    if not len(starts):
+        return starts, stops
     order = np.argsort(starts, kind="stable")
     starts, reach = starts[order], np.maximum.accumulate(stops[order])
     new = np.r_[True, starts[1:] > reach[:-1]]
