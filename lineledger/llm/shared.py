@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +40,22 @@ class Staged:
         delete_folder(self.spark, f"{self.folder}/{name}")
 
 
+_archives: dict[str, tempfile.TemporaryDirectory] = {}  # by application; each goes when the process ends
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that they need not have it installed."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId in _archives or not package.is_dir():
+        return
+    folder = _archives[context.applicationId] = tempfile.TemporaryDirectory(ignore_cleanup_errors=True)
+    archive = f"{folder.name}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted(package.rglob("*.py")):
+            packed.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+
+
 def map_batches(
     df: DataFrame, columns: dict[str, str], function: Callable[..., Iterator[dict]], schema: str
 ) -> DataFrame:
@@ -45,6 +64,7 @@ def map_batches(
     ``columns`` maps a column of ``df`` to the type it is cast to, so extra columns never reach Python.
     """
     fields = spark_to_arrow(df.sparkSession, schema)
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

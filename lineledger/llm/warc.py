@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineledger.llm.shared import Staged, spark_to_arrow
+from lineledger.llm.shared import Staged, ship_package, spark_to_arrow
 
 LEAST_REVISIT = 1000  # bytes from which equal payloads are stored once
 PAGES_PER_FILE = 20_000
@@ -269,6 +269,7 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = False) -> D
     """
     schema = RECORD + (", payload binary" if with_payload else "")
     arrow = spark_to_arrow(spark, schema)
+    ship_package(spark)
 
     def batch(rows: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_pylist(rows, schema=arrow)
