@@ -11,7 +11,7 @@ from lineledger.llm.language_id import UNDETERMINED, held_out, identify, train
 from lineledger.llm.packing import pack
 from lineledger.llm.queries import table, tokenizer_file
 from lineledger.llm.shared import Staged
-from lineledger.llm.simhash import near_duplicates
+from lineledger.llm.simhash import survivors
 
 LEAST_SCORE = 0.5  # of the language that a document is kept for
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -33,12 +33,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of documents with near fingerprints the one with the smallest id.
 
-    Documents without an id are kept only in a group that has no id at all, and rows that repeat an id are kept once.
+    Groups, not ids, decide: every group keeps one row, also where documents share an id or have none. Documents
+    without an id are kept only in a group that has no id at all.
     """
-    groups = near_duplicates(docs, shingle=3, radius=2)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id"))
-    kept = docs.join(keep.distinct(), docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+    return survivors(docs.select(*COLUMNS), "doc_id", "text", shingle=3, radius=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +49,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that are contaminated by the benchmark."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias("bad_id"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")), "left_anti").select(*COLUMNS)
+    """Drops the documents that are contaminated by the benchmark, and no others that share their id or have none."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"), mark_col="bad_mark")
+    bad = found.where("contaminated").select(F.col("doc_id").alias("bad_id"), "bad_mark").distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("bad_mark"))
+    return docs.join(bad, same, "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,6 +96,7 @@ def contamination(
     window: int = WINDOW,
     gram: int = GRAM,
     least_share: int = 20,
+    mark_col: str | None = None,
 ) -> DataFrame:
     """``(id, n_words, n_hit, n_items, items, contaminated)`` for each row of ``docs``.
 
@@ -107,6 +108,7 @@ def contamination(
     both give how far their words are apart, and along each such shift the words are compared, so hits are exact. Null
     texts and texts without words have no hits and are in no item. Items with the same id are one item in the
     result; an item without an id is listed as an empty string. Rows that share an id are told apart by their text.
+    ``mark_col`` names a further column with the XXH64 of the text, null as empty, by which they can be found again.
     """
     staged = Staged(docs.sparkSession, "contamination")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -159,4 +161,5 @@ def contamination(
         F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("bigint").alias("n_items"),
         F.coalesce("items", F.expr("CAST(array() AS array<string>)")).alias("items"),
         ((n_hit > 0) & (n_hit * least_share >= F.col("n_words"))).alias("contaminated"),
+        *([F.col("mark").alias(mark_col)] if mark_col else []),
     )

@@ -56,14 +56,21 @@ def simhash(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * sums > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fp)``: the SimHash of each row's whole text as a signed 64-bit number; null texts give zero."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, beside: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(id, beside, fp)``: the SimHash of each row's whole text as a signed 64-bit number; null texts give zero.
+
+    ``beside`` are further columns of 64-bit numbers.
+    """
+    numbers = (id_col, *beside)
 
-    def batch(ids, texts):
+    def batch(texts, *own):
         values = [simhash(t.as_py(), shingle) for t in texts]
-        yield {id_col: ids, "fp": np.array(values, np.uint64).view(np.int64)}
+        yield dict(zip(numbers, own, strict=True)) | {"fp": np.array(values, np.uint64).view(np.int64)}
 
-    return map_batches(docs, {id_col: "bigint", text_col: "string"}, batch, f"{id_col} bigint, fp bigint")
+    kinds = {text_col: "string"} | {c: "bigint" for c in numbers}
+    return map_batches(docs, kinds, batch, ", ".join(f"{c} bigint" for c in (*numbers, "fp")))
 
 
 def ball(radius: int) -> list[int]:
@@ -118,6 +125,33 @@ def near_duplicates(
     """
     staged = Staged(docs.sparkSession, "simhash")
     prints = staged(fingerprints(docs, id_col, text_col, shingle), "prints")
+    labels = labelled(prints, id_col, radius, staged).drop("component")
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return prints.join(labels, "fp").select(id_col, hexed, "component_id")
+
+
+def survivors(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """One row of each component: the one with the smallest id, then with the least text and other columns.
+
+    Rows are told apart by their text as well as their id, so different texts that share an id or have none stay
+    apart. A row without an id is kept only where its component has no id at all.
+    """
+    staged = Staged(docs.sparkSession, "survivors")
+    hashes = {"__h1": F.xxhash64(text_col), "__h2": F.xxhash64(F.lit(1), F.col(text_col))}  # of two seeds
+    hashed = docs.withColumns(hashes)
+    prints = staged(fingerprints(hashed, id_col, text_col, shingle, tuple(hashes)), "prints")
+    least = prints.join(labelled(prints, id_col, radius, staged), "fp").where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    least = staged(least.select(F.col(id_col).alias("__id"), *hashes, "component").distinct(), "least")
+    same = hashed[id_col].eqNullSafe(least["__id"])
+    for name in hashes:
+        same = same & (hashed[name] == least[name])
+    rest = F.struct(text_col, *(c for c in docs.columns if c not in (id_col, text_col))).alias("row")
+    kept = hashed.join(least, same).groupBy("component", id_col).agg(F.min(rest).alias("row"))
+    return kept.select(id_col, "row.*").select(*docs.columns)
+
+
+def labelled(prints: DataFrame, id_col: str, radius: int, staged: Staged) -> DataFrame:
+    """``(fp, component, component_id)`` for each distinct fingerprint: its component's and that one's smallest id."""
     classes = staged(prints.groupBy("fp").agg(F.min(id_col).alias("least_id")), "classes")
     links = staged(ball_chains(classes.select("fp"), radius), "links")
     found = staged(connected_components(links, "a", "b", staged), "components")
@@ -125,6 +159,4 @@ def near_duplicates(
     member = member.select("fp", "least_id", F.coalesce("component", "fp").alias("component"))
     member = staged(member, "members")
     least = member.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    labels = staged(member.join(least, "component").select("fp", "component_id"), "labels")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return prints.join(labels, "fp").select(id_col, hexed, "component_id")
+    return staged(member.join(least, "component").select("fp", "component", "component_id"), "labels")

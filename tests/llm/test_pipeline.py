@@ -74,3 +74,24 @@ def test_odd_rows(spark):
     cut = {r.doc_id: r.text for r in STAGES[2][1](spark, docs, SF).collect()}
     assert cut[1] == "the cat sat" and None not in cut and cut[3] is None and cut[9] == ""
     assert len(cuts(long.encode())) > 4 and len(cut[8]) < len(long)
+
+
+def test_near_dedup_keeps_one_row_per_group(spark):
+    """Different texts with equal ids or none are no near copies of each other."""
+    rng = random.Random(3)
+    words = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+    a, b, c, d, e, f = (words() for _ in range(6))
+    rows = [(None, a), (None, b), (None, b), (None, c), (1, c), (5, d), (5, e), (2, min(d, e)), (6, f), (6, f), (7, None), (None, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], KIND).repartition(5)
+    kept = STAGES[1][1](spark, docs, SF)
+    assert kept.columns == list(COLUMNS)
+    expected = [(None, a, 0), (None, b, 1), (1, c, 4), (2, min(d, e), 7), (5, max(d, e), 5 if d > e else 6), (6, f, 8), (7, None, 10)]
+    assert sorted(((r.doc_id, r.text, r.n_chars) for r in kept.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_decontamination_drops_by_text_and_id(spark):
+    item = max((r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()), key=len)
+    rows = [(None, item), (None, "clean"), (5, item), (5, "clean, too"), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], KIND)
+    kept = STAGES[3][1](spark, docs, SF)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == [(5, "clean, too"), (6, None), (None, "clean")]
