@@ -31,7 +31,11 @@ SPANS = "id bigint, text_hash bigint, kind tinyint, starts array<int>, sizes arr
 
 @dataclass
 class Entries:
-    """Spans ``[start, start + size)`` of documents, each with a 96-bit key; ``doc`` points into ids and hashes."""
+    """Spans ``[start, start + size)`` of documents; ``doc`` points into ids and hashes.
+
+    The key is ``k1`` and ``k2``; spans with the same key are copies. Where many different spans share ``k1``, as in a
+    bucket, ``k2`` alone tells them apart and has 64 bits, else 32.
+    """
 
     ids: np.ndarray
     hashes: np.ndarray
@@ -62,19 +66,19 @@ def pack(e: Entries) -> bytes:
     """Compressed columns, byte plane by byte plane; keys as differences, so they should be in order."""
     used, doc = np.unique(e.doc, return_inverse=True)
     columns = [e.ids[used], e.hashes[used], np.diff(e.k1, prepend=np.uint64(0)), e.k2, doc, e.start, e.size, e.kind]
-    raw = b""
-    for values, kind in zip(columns, ["<i8", "<i8", *_KINDS.values()], strict=True):
+    raw, kinds = b"", _KINDS | {"k2": f"<u{e.k2.itemsize}"}
+    for values, kind in zip(columns, ["<i8", "<i8", *kinds.values()], strict=True):
         flat = np.ascontiguousarray(values, dtype=kind)
         raw += flat.view(np.uint8).reshape(len(flat), flat.itemsize).T.tobytes()
     packed = CODEC.compress(raw, asbytes=True)
-    return struct.pack("<III", len(used), len(doc), len(raw)) + packed
+    return struct.pack("<IIIB", len(used), len(doc), len(raw), e.k2.itemsize) + packed
 
 
 def unpack(block: bytes) -> Entries:
-    docs, n, size = struct.unpack_from("<III", block)
-    raw = np.frombuffer(CODEC.decompress(block[12:], decompressed_size=size, asbytes=True), np.uint8)
-    out, at = [], 0
-    for kind, length in zip(["<i8", "<i8", *_KINDS.values()], [docs, docs] + [n] * len(_KINDS), strict=True):
+    docs, n, size, wide = struct.unpack_from("<IIIB", block)
+    raw = np.frombuffer(CODEC.decompress(block[13:], decompressed_size=size, asbytes=True), np.uint8)
+    out, at, kinds = [], 0, _KINDS | {"k2": f"<u{wide}"}
+    for kind, length in zip(["<i8", "<i8", *kinds.values()], [docs, docs] + [n] * len(_KINDS), strict=True):
         width = np.dtype(kind).itemsize
         planes = raw[at : at + width * length].reshape(width, length)
         out.append(np.ascontiguousarray(planes.T).view(kind).reshape(length))
