@@ -119,14 +119,13 @@ def tree(html: str) -> Node:
 def main_text(root: Node, template: set[int]) -> str:
     """The article of a page.
 
-    Where the page marks its article, that slot is the content. Elsewhere the content is what is neither set aside
-    nor ``template``: nodes whose text is constant over the host's pages. If that leaves nothing, the template
-    stays, since then the pages are copies of each other.
+    Where the page marks its article, that slot holds the content, elsewhere the whole page does. The content is what
+    is neither set aside nor ``template``: nodes whose text is constant over the host's pages. If that leaves
+    nothing, the template stays, since then the pages are copies of each other.
     """
     asides = _asides(root)
-    if found := _articles(root, asides):
-        return _text(found, asides, set())
-    return _text([root], asides, template) or _text([root], asides, set())
+    slot = _articles(root, asides) or [root]
+    return _text(slot, asides, template) or _text(slot, asides, set())
 
 
 class _References:

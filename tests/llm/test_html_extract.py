@@ -95,6 +95,21 @@ def test_constant_blocks_are_template(spark):
     assert found == {r[0]: r[3] for r in rows}
 
 
+@pytest.mark.parametrize("slot", ["main", "article"])
+def test_constant_blocks_inside_the_article_are_template(spark, slot):
+    rng = random.Random(4)
+    rows = []
+    for i in range(12):
+        words = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(12)) for _ in range(rng.randint(4, 7))]
+        body = "".join(f"<p>{w}</p>" for w in words)
+        html = f"<body><nav>m</nav><{slot}><div>A site notice</div>{body}<div>All rights <b>reserved</b></div></{slot}><p>out"
+        rows.append((i, "http://blog.example/", html, " ".join(words)))
+    for i in range(20, 26):
+        rows.append((i, "http://copies.example/", f"<{slot}><p>{'the same page ' * 20}</p></{slot}>", ("the same page " * 20).strip()))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, expected string").repartition(4)
+    assert {r.page_id: r.text for r in extract(frame).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_query(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     found = QUERIES["op5_html_extract"](spark, SF)
