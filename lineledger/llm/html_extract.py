@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineledger.llm.dom import Node, matches, parse
+from lineledger.llm.dom import HEADINGS, INLINE, Node, matches, parse
 from lineledger.llm.shared import Staged, map_batches
 
 LEAST_PAGES = 3  # pages besides the reference that have to align with a node before it can be template
@@ -30,6 +30,10 @@ ASIDE_WORDS = frozenset(
     "toolbar login signup".split()
 )
 COMMENT_WORDS = frozenset("comment comments commentlist respond replies disqus discussion".split())
+# Inside an article: elements of content whatever their class is, and tokens that name a list of comments by class or id.
+PROSE = HEADINGS | INLINE | frozenset("p blockquote pre figure figcaption li dt dd td th caption".split())
+DRAWN = frozenset("svg math".split())
+COMMENT_LISTS = COMMENT_WORDS - {"discussion"}
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -38,11 +42,27 @@ def _words(node_attributes: dict[str, str]) -> set[str]:
     return set(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()))
 
 
+def _by_state(own: dict[str, str]) -> bool:
+    return own.get("role", "").lower() in ASIDE_ROLES or "hidden" in own or own.get("aria-hidden", "").lower() == "true"
+
+
+def _lists_comments(own: dict[str, str]) -> bool:
+    return bool({*own.get("class", "").lower().split(), own.get("id", "").lower()} & COMMENT_LISTS)
+
+
+def _aside_inside(tag: str, own: dict[str, str]) -> bool:
+    """As :func:`_marked_aside` for what is inside an article: a word that is part of a name is no evidence there."""
+    if not own or _by_state(own):
+        return bool(own)
+    named = set(own.get("class", "").lower().split())
+    return tag not in PROSE and (bool(named & (ASIDE_WORDS | COMMENT_WORDS)) or _lists_comments(own))
+
+
 def _marked_aside(tag: str, own: dict[str, str]) -> bool:
     """Whether an element's role, state or class names say that it is not part of the article."""
     if not own or tag in ("html", "body", "#root"):
         return False
-    if own.get("role", "").lower() in ASIDE_ROLES or "hidden" in own or own.get("aria-hidden", "").lower() == "true":
+    if _by_state(own):
         return True
     words = _words(own)
     return bool(words & COMMENT_WORDS) or (tag not in ARTICLE and bool(words & ASIDE_WORDS))
@@ -60,23 +80,34 @@ def _asides(root: Node) -> set[int]:
         order.append(node)
         for child in node.children:
             parent[id(child)] = node
+    inside: set[int] = set()  # an article or main part
+    nested: set[int] = set()  # an article or a list of comments
+    aside: set[int] = set()
+    for node in order:
+        above = parent.get(id(node))
+        if above is not None:
+            if id(above) in inside or _is_article(above):
+                inside.add(id(node))
+            main = above.tag == "main" or above.attributes.get("role", "").lower() == "main"
+            if id(above) in nested or (_is_article(above) and not main) or _lists_comments(above.attributes):
+                nested.add(id(node))
+        if _is_article(node) and id(node) not in nested:
+            if _by_state(node.attributes):
+                aside.add(id(node))
+        elif (_aside_inside if id(node) in inside else _marked_aside)(node.tag, node.attributes):
+            aside.add(id(node))
     holds: set[int] = set()
     for node in order:
-        if _is_article(node) and not _marked_aside(node.tag, node.attributes):
+        if _is_article(node) and id(node) not in aside:
             while node is not None and id(node) not in holds:
                 holds.add(id(node))
                 node = parent.get(id(node))
-    inside: set[int] = set()
     out = set()
     for node in order:
-        above = parent.get(id(node))
-        if above is not None and (id(above) in inside or _is_article(above)):
-            inside.add(id(node))
-        if node.tag in ASIDE_TAGS or (node.tag == "header" and id(node) not in inside):
+        tagged = node.tag in ASIDE_TAGS and not (node.tag in DRAWN and id(node) in inside)
+        if tagged or (node.tag == "header" and id(node) not in inside) or id(node) in aside:
             if id(node) not in holds:
                 out.add(id(node))
-        elif id(node) not in holds and _marked_aside(node.tag, node.attributes):
-            out.add(id(node))
     return out
 
 
@@ -106,9 +137,10 @@ def _text(nodes: list[Node], left_out: set[int], silent: set[int]) -> str:
         if isinstance(item, str):
             out.append(item)
         elif id(item) not in left_out:
-            waiting.append(" ")
+            border = "" if item.tag in INLINE else " "
+            waiting.append(border)
             waiting.extend(reversed([i for i in item.items if not isinstance(i, str)] if id(item) in silent else item.items))
-            out.append(" ")
+            out.append(border)
     return " ".join("".join(out).split())
 
 

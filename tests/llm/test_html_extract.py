@@ -45,6 +45,24 @@ def test_pages(html, expected):
     assert text_of(html) == expected
 
 
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<nav>m</nav><article class='post comments-open'><p>a</p></article><p>out", "a"),
+        ("<div id=page><article class='has-comments'>a</article></div>", "a"),
+        ("<main><article class='category-discussion'>a<article class='comment'>no</article></article></main>", "a"),
+        ("<article>a</article><ol class='commentlist'><li><article class='comment'>no</article></ol>", "a"),
+        ("<article>a<section id='discussion'>b</section><h2 id='related-work'>c</h2><p class='notice'>d</p></article>", "a b c d"),
+        ("<article>a<div class='social-sciences'>b</div><div class='share'>no</div><div class='x sidebar'>no</div></article>", "a b"),
+        ("<article>so<b class='banner'>cia</b>l <span id='share-price'>s</span>.</article>", "social s."),
+        ("<article>a <math><mi>x</mi></math> b<svg><text>c</text></svg></article><svg><text>no</text></svg>", "a x b c"),
+        ("<article>a<p hidden>no</p><div role=navigation>no</div></article>", "a"),
+    ],
+)
+def test_names_alone_drop_no_article_text(html, expected):
+    assert text_of(html) == expected
+
+
 def test_deep_and_long_pages():
     assert text_of("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
     assert text_of("<article>" + "<p>word " * 50000) == "word " * 49999 + "word"
