@@ -16,6 +16,7 @@ LEAST_PAGES = 3  # pages besides the reference that have to align with a node be
 CONSTANT = 0.8  # share of them with the same text from which it is
 LEAST_REFERENCE = 200  # bytes; shorter pages are errors and redirects more often than not
 ARTICLE = ("article", "main")
+CONTAINERS = r"<(/?(?:body|div|main|article|section|nav|header|footer|aside|form|table|ul|ol|dl))(?=[\s/>])"
 
 # Elements, roles and words in class names that mark what is not the article.
 ASIDE_TAGS = frozenset(
@@ -178,22 +179,56 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def wrappers(pages: DataFrame, staged: Staged, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """``(host, reference, template)``: a page per host, and which of its nodes have a constant text.
+def shape_of(html: Column) -> Column:
+    """A number for the order of a page's containers, whatever blocks of prose are in them."""
+    return F.xxhash64(F.regexp_extract_all(F.lower(html), F.lit(CONTAINERS), F.lit(1)))
 
-    Every page is aligned with its host's reference, a short page, so the work per page does not depend on the
-    host's size. Counts are summed per batch, per task and in total; a host with a third of all pages is as many
-    rows of pages as any others and a few numbers per batch.
+
+def shapes(rows: DataFrame, staged: Staged) -> DataFrame:
+    """``(host, shape, main)``: the shapes that have a reference of their own, and each host's most frequent one.
+
+    A shape has one if more different pages have it than a node has to align with. Pages of other shapes are
+    aligned with the host's main one. Only counts are grouped by host.
+    """
+    size = F.octet_length("html")
+    counts = rows.groupBy("host", "shape").agg(
+        F.count_distinct(F.xxhash64("html")).alias("n"),
+        F.max(size >= LEAST_REFERENCE).alias("long"),
+        F.min(F.when(size >= LEAST_REFERENCE, size)).alias("least"),
+    )
+    counts = staged(counts, "shapes")
+    main = counts.groupBy("host").agg(F.max(F.struct("long", "n", -F.col("least"), "shape"))["shape"].alias("main"))
+    return staged(counts.join(main, "host").where(f"n > {LEAST_PAGES} OR shape = main").select("host", "shape", "main"), "chosen")
+
+
+def assigned(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``rows`` with their shape replaced by their host's main one where it has no reference."""
+    own = chosen.select("host", "shape", F.lit(True).alias("__own"))
+    main = chosen.where("shape = main").select("host", F.col("main").alias("__main"))
+    found = rows.join(own, ["host", "shape"], "left").join(main, "host")
+    return found.withColumn("shape", F.when(F.col("__own"), F.col("shape")).otherwise(F.col("__main"))).drop("__own", "__main")
+
+
+def wrappers(pages: DataFrame, staged: Staged, id_col: str, url_col: str, html_col: str) -> tuple[DataFrame, DataFrame]:
+    """``(host, shape, reference, template)``: a page per host and shape, and which of its nodes have a constant text.
+
+    Also gives the shapes. Every page is aligned with one reference, a short page of its own shape or of its host's
+    main one, so the work per page does not depend on the host's size or the number of its layouts. Counts are
+    summed per batch, per task and in total; a host with a third of all pages is as many rows of pages as any
+    others and a few numbers per batch.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     size = F.octet_length("html")
     rows = pages.select(host_of(F.col(url_col).cast("string")).alias("host"), html.alias("html"), F.col(id_col).cast("bigint").alias("id"))
+    rows = rows.withColumn("shape", shape_of(F.col("html")))
+    chosen = shapes(rows, staged)
     order = F.struct((size < LEAST_REFERENCE).alias("stub"), size.alias("size"), "id", "html")
-    short = staged(rows.groupBy("host").agg(F.min(order)["html"].alias("reference")), "references")
+    short = rows.join(chosen.select("host", "shape"), ["host", "shape"])
+    short = staged(short.groupBy("host", "shape").agg(F.min(order)["html"].alias("reference")), "references")
 
-    def batch(hosts, texts, references):
+    def batch(hosts, shapes, texts, references):
         trees, counts = _References(), defaultdict(lambda: [0, 0])
-        for host, html, reference in zip(hosts.to_pylist(), texts, references.to_pylist(), strict=True):
+        for host, shape, html, reference in zip(*(v.to_pylist() for v in (hosts, shapes)), texts, references.to_pylist(), strict=True):
             html = html.as_py()
             if html == reference:
                 continue
@@ -201,23 +236,25 @@ def wrappers(pages: DataFrame, staged: Staged, id_col: str, url_col: str, html_c
             for own, other in matches(tree(html), root):
                 at = number[id(other)]
                 if known[at]:
-                    cell = counts[host, at]
+                    cell = counts[host, shape, at]
                     cell[0] += 1
                     cell[1] += own.text() == known[at]
         keys = list(counts)
         yield {
-            "host": [h for h, _ in keys],
-            "node": [n for _, n in keys],
+            "host": [k[0] for k in keys],
+            "shape": [k[1] for k in keys],
+            "node": [k[2] for k in keys],
             "matched": [counts[k][0] for k in keys],
             "equal": [counts[k][1] for k in keys],
         }
 
-    kinds = {"host": "string", "html": "string", "reference": "string"}
-    counted = map_batches(rows.join(short, "host"), kinds, batch, "host string, node int, matched bigint, equal bigint")
-    totals = counted.groupBy("host", "node").agg(F.sum("matched").alias("matched"), F.sum("equal").alias("equal"))
+    kinds = {"host": "string", "shape": "bigint", "html": "string", "reference": "string"}
+    schema = "host string, shape bigint, node int, matched bigint, equal bigint"
+    counted = map_batches(assigned(rows, chosen).join(short, ["host", "shape"]), kinds, batch, schema)
+    totals = counted.groupBy("host", "shape", "node").agg(F.sum("matched").alias("matched"), F.sum("equal").alias("equal"))
     fixed = totals.where((F.col("matched") >= LEAST_PAGES) & (F.col("equal") >= CONSTANT * F.col("matched")))
-    fixed = fixed.groupBy("host").agg(F.collect_list("node").alias("template"))
-    return staged(short.join(fixed, "host", "left"), "wrappers")
+    fixed = fixed.groupBy("host", "shape").agg(F.collect_list("node").alias("template"))
+    return staged(short.join(fixed, ["host", "shape"], "left"), "wrappers"), chosen
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -227,13 +264,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Repeated rows are extracted each for itself.
     """
     staged = Staged(pages.sparkSession, "wrappers")
-    known = wrappers(pages, staged, id_col, url_col, html_col)
+    known, chosen = wrappers(pages, staged, id_col, url_col, html_col)
     rows = pages.select(
         F.col(id_col).cast("bigint").alias(id_col),
         F.col(url_col).cast("string").alias(url_col),
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("__html"),
         host_of(F.col(url_col).cast("string")).alias("host"),
-    ).join(known, "host", "left")
+    ).withColumn("shape", shape_of(F.col("__html")))
+    rows = assigned(rows, chosen).join(known, ["host", "shape"], "left")
 
     def batch(ids, urls, texts, references, templates):
         trees, out = _References(), []

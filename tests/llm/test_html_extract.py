@@ -128,6 +128,20 @@ def test_constant_blocks_inside_the_article_are_template(spark, slot):
     assert {r.page_id: r.text for r in extract(frame).collect()} == {r[0]: r[3] for r in rows}
 
 
+def test_short_odd_page_and_two_layouts(spark):
+    """A host's shortest page lacks its menu, and the host has two layouts with blocks of their own."""
+    rng = random.Random(6)
+    words = lambda: " ".join(rng.choice("abcdefgh") * 3 for _ in range(60))
+    rows = [(0, "http://a/", f"<body><p>{'error ' * 40}</p>", ("error " * 40).strip())]
+    for i in range(1, 21):
+        text = words()
+        first = f"<body><div>Menu of the site</div><div><p>{text}</p></div><div>All rights reserved</div>"
+        second = f"<body><div><div>Shop</div><div>Cart</div></div><section><p>{text}</p></section><div>Imprint</div>"
+        rows.append((i, "http://a/", first if i % 2 else second, text))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, expected string").repartition(4)
+    assert {r.page_id: r.text for r in extract(frame).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_query(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     found = QUERIES["op5_html_extract"](spark, SF)
