@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lineledger.llm.chunk_dedup import dedup_substrings
 from lineledger.llm.decontaminate import contamination
 from lineledger.llm.embedding_dups import near_duplicates as near_vectors
+from lineledger.llm.embedding_whitening import whiten
 from lineledger.llm.html_extract import extract
 from lineledger.llm.language_id import languages
 from lineledger.llm.packing import pack
@@ -175,3 +176,9 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of 3-word shingles; fingerprints at most two bits apart are linked."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four leading components of all distinct vectors, with variance 1 on each."""
+    return whiten(table(spark, sf_dir, "embeddings"), F.col("vec_id"), components=4, scale=256)

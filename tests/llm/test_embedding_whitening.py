@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lineledger.llm.embedding_whitening import factor, one_sided_jacobi, pivoted_cholesky, whiten
+from lineledger.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+
+
+def plain(vectors, components=4, scale=256):
+    """``(deviation, whitened, explained)`` of each good vector by a full eigenvalue solver."""
+    x = [tuple(math.floor(scale * float(c)) for c in v) for v in vectors]
+    fit = np.array(sorted(set(x)))
+    sums, n = [sum(c) for c in fit.T.tolist()], len(fit)
+    mean = np.array([s / n for s in sums])
+    values, units = np.linalg.eigh((fit - mean).T @ (fit - mean) / n)
+    order = np.argsort(-values)[:components]
+    values, units = values[order], units[:, order]
+    trace = ((fit - mean) ** 2).sum() / n
+    deviation = [sum((n * v - s) ** 2 for v, s in zip(row, sums)) for row in x]
+    return n, deviation, (np.array(x) - mean) @ units / np.sqrt(values), values / trace
+
+
+def compare(found, vectors, components=4):
+    """``found`` rows against the plain result; ids are places in ``vectors``, signs are free."""
+    n, deviation, whitened, explained = plain(vectors, components)
+    assert sorted((r.vec_id, r.component) for r in found) == [
+        (i, c) for i in range(len(vectors)) for c in range(1, components + 1)
+    ]
+    own = np.zeros(whitened.shape)
+    for r in found:
+        own[r.vec_id, r.component - 1] = r.whitened
+        assert (r.n, r.deviation) == (n, deviation[r.vec_id])
+        assert r.explained == pytest.approx(explained[r.component - 1], rel=1e-9)
+        assert r.identity_error < 1e-9
+    signs = np.sign((own * whitened).sum(axis=0))
+    assert np.abs(own * signs - whitened).max() < 1e-7 * np.abs(whitened).max()
+
+
+@pytest.mark.parametrize("rows, columns, rank", [(40, 7, 7), (40, 8, 3), (5, 9, 4), (3, 1, 1), (1, 4, 0), (60, 33, 33)])
+def test_factors(rows, columns, rank):
+    rng = np.random.default_rng(rows)
+    data = rng.normal(size=(rows, min(rank, columns) or 1)) @ rng.normal(size=(min(rank, columns) or 1, columns))
+    data *= 10.0 ** rng.integers(-3, 3, columns)
+    data -= data.mean(axis=0)
+    scatter = data.T @ data
+    g = pivoted_cholesky(scatter)
+    assert g.shape == (columns, rank)
+    assert np.abs(g @ g.T - scatter).max() <= 1e-12 * max(np.abs(scatter).max(), 1e-300)
+    turned = one_sided_jacobi(g)
+    assert np.abs(turned @ turned.T - scatter).max() <= 1e-12 * max(np.abs(scatter).max(), 1e-300)
+    gram = turned.T @ turned
+    assert np.abs(gram - np.diag(gram.diagonal())).max(initial=0) <= 1e-12 * gram.max(initial=0)
+    assert (np.diff(gram.diagonal()) <= 0).all()
+    values = np.linalg.eigvalsh(scatter)[::-1][:rank]
+    assert gram.diagonal() == pytest.approx(values, rel=1e-9, abs=1e-14 * values.max(initial=0.0))  # the solver's accuracy
+
+
+def test_factor_keeps_small_eigenvalues():
+    """Scaled matrices keep the relative accuracy of small eigenvalues, which a plain solver loses."""
+    scale = np.diag([1e8, 1.0, 1e-8])
+    well = np.array([[2.0, 1.0, 0.5], [1.0, 3.0, 1.0], [0.5, 1.0, 4.0]])
+    units, values, explained = factor(scale @ well @ scale, 1, 3)
+    assert np.prod(values) == pytest.approx(np.linalg.det(well), rel=1e-12)
+    assert units @ units.T == pytest.approx(np.eye(3), abs=1e-12)
+    assert explained.sum() == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_a_full_solver(spark, seed):
+    rng = np.random.default_rng(seed)
+    vectors = (rng.normal(size=(200, 9)) * np.linspace(0.05, 3, 9) + 5 * seed).astype(np.float32).tolist()
+    vectors += [vectors[0]] * 40 + [[c + 1e-6 for c in vectors[1]]]  # copies do not weigh more
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>").repartition(4)
+    vectors = [r.embedding for r in frame.orderBy("vec_id").collect()]
+    compare(whiten(frame, F.col("vec_id")).collect(), vectors)
+
+
+def test_query(spark):
+    found = QUERIES["op11_embedding_whitening"](spark, SF)
+    assert found.columns == COLUMNS
+    assert [t for _, t in found.dtypes] == ["bigint", "int", "bigint", "bigint", "double", "double", "double"]
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
+    places = {i: k for k, i in enumerate(sorted(vectors))}
+    rows = found.collect()
+    moved = [r.__class__(**{**r.asDict(), "vec_id": places[r.vec_id]}) for r in rows]
+    compare(moved, [vectors[i] for i in sorted(vectors)])
+
+
+def test_query_has_no_fewer_components_for_copies(spark):
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    once = {(r.vec_id, r.component): r for r in whiten(vectors, F.col("vec_id")).collect()}
+    hot = vectors.unionByName(vectors.where("vec_id % 100 = 3").crossJoin(spark.range(50).select()))
+    for r in whiten(hot, F.col("vec_id")).collect():
+        same = once[r.vec_id, r.component]
+        assert (r.n, r.deviation) == (same.n, same.deviation)
+        assert abs(r.whitened) == pytest.approx(abs(same.whitened), abs=1e-8)
+
+
+def test_odd_tables(spark):
+    nan, inf = float("nan"), float("inf")
+    bad = [None, [1.0, None], [nan, 1.0], [1.0, inf], [-inf, 1.0], [1e30, 1.0], []]
+    good = [[0.5, 1.0], [0.25, -1.0], [0.25, 0.0], [-0.0, 0.001], [0.5, 1.0]]
+    rows = [(None, v) for v in bad] + list(enumerate(good)) + [(100, [1.0, 2.0, 3.0])] * 2 + [(200, [1.0]), (201, [2.0])]
+    odd = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
+    odd = odd.selectExpr("*", "1 AS x", "2 AS n", "'q' AS __row", "3 AS component", "4 AS size")
+    found = whiten(odd, F.col("vec_id")).collect()
+    compare([r for r in found if r.vec_id < 100], good, 2)  # two directions, two components
+    assert not [r for r in found if r.vec_id == 100]  # equal vectors vary in no direction
+    single = sorted((r.vec_id, r.component, r.n, r.deviation, round(abs(r.whitened), 9)) for r in found if r.vec_id >= 200)
+    assert single == [(200, 1, 2, 256**2, 1.0), (201, 1, 2, 256**2, 1.0)]
+    assert whiten(odd.where("false"), F.col("vec_id")).collect() == []
+    assert whiten(odd.where("vec_id IS NULL"), F.col("vec_id")).collect() == []
+    nulls = whiten(odd.selectExpr("CAST(NULL AS INT) AS vec_id", "embedding"), F.col("vec_id"), components=1).collect()
+    assert len(nulls) == 7 and {r.vec_id for r in nulls} == {None}
+
+
+def test_large_entries_stay_exact(spark):
+    vectors = [[3.0e15, 1.0], [-2.5e15, 7.0], [1.0, 1.5e15], [5.0, 5.0]]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    found = whiten(frame, F.col("vec_id")).collect()
+    n, deviation, _, explained = plain(vectors, 2)
+    assert deviation[3] > 2**63
+    assert {r.deviation for r in found} == {None}
+    small = [[v / 2**29 for v in row] for row in vectors]
+    frame = spark.createDataFrame(list(enumerate(small)), "vec_id long, embedding array<double>")
+    found = whiten(frame, F.col("vec_id")).collect()
+    deviation = plain(small, 2)[1]
+    assert {(r.vec_id, r.deviation) for r in found} == {(i, d if d < 2**63 else None) for i, d in enumerate(deviation)}
+    assert any(d < 2**63 for d in deviation)
