@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lineledger.llm.bpe import decode, encode, tables
 from lineledger.llm.chunk_dedup import dedup_substrings
 from lineledger.llm.decontaminate import contamination
 from lineledger.llm.embedding_dups import near_duplicates as near_vectors
@@ -182,3 +183,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the four leading components of all distinct vectors, with variance 1 on each."""
     return whiten(table(spark, sf_dir, "embeddings"), F.col("vec_id"), components=4, scale=256)
+
+
+@query
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text that they stand for, as digests."""
+    bpe = tables(tokenizer_file("byte_bpe_50k.json"))
+    ids = encode(table(spark, sf_dir, "documents"), bpe, F.col("doc_id"))
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256")
+    counted = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest, "ids")
+    text = decode(counted, bpe, *(F.col(c) for c in ("doc_id", "n_tokens", "ids_sha256")))
+    return text.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

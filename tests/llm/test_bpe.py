@@ -1,0 +1,174 @@
+from __future__ import annotations
+
+import hashlib
+import json
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from lineledger.llm.bpe import Encoder, SuffixAutomaton, byte_signs, decode, encode, tables
+from lineledger.llm.queries import QUERIES, tokenizer_file
+
+SF = "/root/testdata/sf0.001"
+SPEC = tokenizer_file("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def public():
+    return tables(SPEC)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_str(SPEC)
+
+
+def one(encoder, text):
+    return encoder([text])[0].tolist()
+
+
+def small_spec(rng, merges, special=()):
+    """A tokenizer of random merges over few signs; some tokens are made by several merges, some never."""
+    vocab = {s: i for i, s in enumerate(byte_signs())}
+    tokens, merged = list("abc"), []
+    while len(merged) < merges:
+        a, b = rng.choice(tokens), rng.choice(tokens)
+        if len(a + b) < 9 and (a, b) not in merged:
+            merged.append((a, b))
+            tokens.append(a + b)
+            vocab.setdefault(a + b, len(vocab))
+    model = {"type": "BPE", "vocab": vocab, "merges": merged}
+    level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    flags = dict(single_word=False, lstrip=False, rstrip=False, normalized=False, special=True)
+    added = [{"id": len(vocab) + k, "content": s, **flags} for k, s in enumerate(special)]
+    return json.dumps({"version": "1.0", "added_tokens": added, "pre_tokenizer": level, "decoder": level, "model": model})
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_automaton_knows_all_substrings(seed):
+    rng = random.Random(seed)
+    strings = {bytes(rng.choices(b"ab", k=rng.randint(1, 9))) for _ in range(12)}
+    automaton = SuffixAutomaton()
+    ends = {s: automaton.add(s) for s in strings}
+    inside = {s[i:j] for s in strings for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
+    for n in range(1, 10):
+        for code in range(2**n):
+            string, state = bytes(97 + (code >> k & 1) for k in range(n)), 0
+            for sign in string:
+                state = automaton.steps[state].get(sign, -1) if state >= 0 else -1
+            assert (state >= 0) == (string in inside)
+    assert all(automaton.length[state] == len(s) for s, state in ends.items())
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_equals_the_library_on_random_merges(seed):
+    rng = random.Random(seed)
+    spec = small_spec(rng, rng.choice([3, 10, 30, 60]), ["<x>", "<x>b", "aca"] if seed % 3 == 0 else [])
+    try:
+        own = Encoder(tables(spec))
+    except ValueError as error:  # random merges may come before those that make their parts, which is refused
+        assert "before the merges" in str(error)
+        return
+    library = Tokenizer.from_str(spec)
+    for _ in range(400):
+        text = "".join(rng.choices(["a", "b", "c", "a", " ", "<x>"], [9, 9, 5, 5, 1, 0.2], k=rng.randint(0, 40)))
+        assert one(own, text) == library.encode(text, add_special_tokens=False).ids, (spec, text)
+    word = "".join(rng.choices("abc", k=60))
+    plain = Tokenizer.from_str(json.dumps(json.loads(spec) | {"added_tokens": []}))
+    last = [plain.encode(word[:n]).ids[-1] for n in range(1, 61)]
+    assert list(own.last_tokens(word.encode())) == last  # the token of every prefix, whatever follows it
+    prefixes = [word[:n] for n in range(1, 61)]
+    own.learn(prefixes)
+    for prefix in prefixes:
+        assert np.frombuffer(own[prefix], np.int32).tolist() == own.ids(prefix.encode())
+
+
+def test_merges_out_of_order_are_refused():
+    parsed = json.loads(small_spec(random.Random(0), 3))
+    parsed["model"]["vocab"] |= {"zy": 900, "zyx": 901}
+    parsed["model"]["merges"] += [["zy", "x"], ["z", "y"]]
+    with pytest.raises(ValueError, match="before the merges"):
+        tables(json.dumps(parsed))
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}, {"decoder": None}])
+def test_other_kinds_of_files_are_refused(change):
+    with pytest.raises(ValueError, match="plain byte-level"):
+        tables(json.dumps(json.loads(SPEC) | change))
+
+
+def test_every_token_of_the_public_file_is_its_own(public, library):
+    own = Encoder(public)
+    for token, i in library.get_vocab().items():
+        if token not in public.special:
+            assert own.ids(public.text[i]) == [i]
+
+
+def test_signs_of_all_scripts_equal_the_library(public, library):
+    own = Encoder(public)
+    signs = [chr(c) for c in [*range(0x3100), *range(0x3100, 0xD800, 7), *range(0xE000, 0x110000, 7)]]
+    for k in range(0, len(signs), 9973):
+        some = signs[k : k + 9973]
+        text = "a " + " a".join(some) + "1".join(some) + "  ".join(some)
+        assert one(own, text) == library.encode(text, add_special_tokens=False).ids, k
+
+
+ODD = ["", " ", "  \n\t ", "<|endoftext|>", "x<|endoftext|><|endoftext|> y<|endoftext", "a" * 20_000, "ab" * 9_000, " " * 5_000]
+ODD += ["\x00\x1c\x85 \xa0　x", "'s'S'll 'd", "日本語のテキスト🙂👩‍👩‍👧", "é" * 3000, "1234567 89", "� ", "don't\r\n\r\n"]
+
+
+def test_odd_texts_equal_the_library(public, library):
+    own = Encoder(public)
+    for text in ODD:
+        assert one(own, text) == library.encode(text, add_special_tokens=False).ids, text[:50]
+
+
+def test_bounds_do_not_change_the_ids(public, library, monkeypatch):
+    texts = [" ".join(f"word{n}" * (n % 20) for n in range(200)), *ODD, "<|endoftext|>".join("xyz " * 9)]
+    plain = [ids.tolist() for ids in Encoder(public)(texts)]
+    assert plain == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for name, value in dict(_REMEMBERED_WORDS=5, _TOGETHER_LENGTH=20, _WORDS_AT_ONCE=7, _CELLS_AT_ONCE=50).items():
+        monkeypatch.setattr(f"lineledger.llm.bpe.{name}", value)
+    monkeypatch.setattr("lineledger.llm.bpe._REMEMBERED_PAIRS", 3)
+    own = Encoder(public)
+    assert [ids.tolist() for ids in own(texts)] == plain
+    assert len(own) <= 14 and len(own.single["known"]) <= 3
+
+
+def test_decoding_any_ids_equals_the_library(spark, public, library):
+    rng = random.Random(3)
+    lists = [[rng.randrange(50257) for _ in range(rng.randint(0, 30))] for _ in range(300)] + [[50256], [222, 223, 9, 128]]
+    frame = spark.createDataFrame(list(enumerate(lists)), "i long, ids array<int>")
+    found = {r.i: r.decoded for r in decode(frame, public, F.col("i")).collect()}
+    assert found == {i: library.decode(ids, skip_special_tokens=False) for i, ids in enumerate(lists)}
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [72, None, 5]), (4, [10**6, -1, 72])], "i int, ids array<int>")
+    found = {r.i: r.decoded for r in decode(odd, public, F.col("i")).collect()}
+    assert found == {1: "", 2: "", 3: "i&", 4: "i"}
+
+
+def expected(library, rows):
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    out = []
+    for i, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        out.append((i, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    return sorted(out, key=str)
+
+
+def test_query_equals_the_library(spark, library):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    found = QUERIES["op12_bpe"](spark, SF)
+    assert found.dtypes == [("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
+    assert sorted((tuple(r) for r in found.collect()), key=str) == expected(library, rows)
+
+
+def test_odd_tables(spark, tmp_path, library):
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(None, None), (None, "x"), (7, None), (7, "same"), (7, "same")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'q' AS ids", "1 AS __row", "'d' AS decoded")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op12_bpe"](spark, str(tmp_path))
+    assert sorted((tuple(r) for r in found.collect()), key=str) == expected(library, rows)
+    assert encode(frame.where("false"), tables(SPEC), F.col("doc_id")).collect() == []
