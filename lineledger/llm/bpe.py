@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import accumulate, islice, pairwise
@@ -434,7 +434,7 @@ def encoder(tables: Tables) -> Encoder:
     return Encoder(tables)
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
+def id_lists(values: Sequence[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(v) for v in values], dtype=np.int64)])
     flat = np.concatenate(values) if values else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
@@ -456,7 +456,7 @@ def encode(docs: DataFrame, tables: Tables, *carried: Column, text_col: str = "t
 
     def batch(row, texts) -> Iterator[dict]:
         own = encoder(shared.value)
-        yield {"__row": row, "ids": _lists(own(t.as_py() or "" for t in texts))}
+        yield {"__row": row, "ids": id_lists(own(t.as_py() or "" for t in texts))}
 
     found = map_batches(rows, {"__row": fields, "__text": "string"}, batch, f"__row {fields}, ids array<int>")
     return found.select("__row.*", "ids")

@@ -19,7 +19,7 @@ from lineledger.llm.language_id import languages
 from lineledger.llm.packing import pack
 from lineledger.llm.simhash import near_duplicates
 from lineledger.llm.suffix_dedup import dedup_exact
-from lineledger.llm.token_alignment import Tokenizers, align, count_pairs
+from lineledger.llm.token_alignment import Tokenizers, align_corpus
 from lineledger.llm.token_counts import count_tokens, piece_vocabulary
 from lineledger.llm.warc import archive_and_read, page_digests
 
@@ -203,6 +203,5 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
     files = Tokenizers(tokenizer_file("byte_bpe_50k.json"), pieces)
-    found = align(docs, files, count_pairs(docs, files), F.col("doc_id"))
     digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
-    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+    return align_corpus(docs, files, "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)

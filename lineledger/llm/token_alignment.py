@@ -18,13 +18,15 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineledger.llm.bpe import byte_signs
+from lineledger.llm.bpe import byte_signs, id_lists
 from lineledger.llm.shared import Staged, map_batches, ship_package
 from lineledger.llm.tokens import Encoder
+from lineledger.session import settings
 
+_ROWS_AT_ONCE = 512
 _SPACE = "▁"  # stands for a space in piece models
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
-_CHARACTERS_AT_ONCE = 2_000_000  # of texts that are aligned together; a longer text is on its own
+_IDS_AT_ONCE = 500_000  # of texts that are aligned together; a longer text is on its own
 _SLOTS_PER_KEY = 2  # of a level of the hash
 _BRANCHES = 8  # vectors that a node of the tree adds up
 _SLICE = 65_536  # counts in a row
@@ -107,8 +109,8 @@ class _Pair:
         if text:
             a, b, whole = self.a(f" {text}"), self.b.encode(text), f" {text}".encode()
             if b"".join(map(self.bytes_a.__getitem__, a.tolist())) == whole == b"".join(map(self.bytes_b.__getitem__, b)):
-                return a.astype(np.int64), np.array(b, np.int64)
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+                return a.astype(np.int32), np.array(b, np.int32)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
 
 
 @lru_cache(maxsize=2)
@@ -159,29 +161,27 @@ def _ends(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(sizes[ids], dtype=np.int64)
 
 
-def _align(pair: _Pair, texts: list[str | None]) -> _Aligned:
-    """All texts at once: a text has as many bytes on both sides, so that ends meet within texts only."""
-    ids = [pair.ids(text) for text in texts]
-    a, b = (np.concatenate([side, *sides]) for side, sides in zip(([np.zeros(0, np.int64)] * 2), zip(*ids)))
+def _align(pair: _Pair, a: pa.Array, b: pa.Array) -> _Aligned:
+    """Lists of ids of some texts: a text has as many bytes on both sides, so that ends meet within texts only."""
+    n_a, n_b = (np.diff(side.offsets.to_numpy()).astype(np.int64) for side in (a, b))
+    a, b = (side.flatten().to_numpy().astype(np.int64) for side in (a, b))
     ends_a, ends_b = _ends(a, pair.sizes_a), _ends(b, pair.sizes_b)
     at_a, at_b = (np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, bool) for _ in range(2))
     at_a[ends_a], at_b[ends_b] = True, True
-    n_a, n_b = (np.array([len(pair[side]) for pair in ids], np.int64) for side in (0, 1))
     return _Aligned(a, b, at_b[ends_a], at_a[ends_b], n_a, n_b, len(pair.bytes_b))
 
 
-def _batches(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
-    """Neighbouring texts of a bounded size together, with the place of the first."""
-    some, size, first = [], 0, 0
-    for at, text in enumerate(texts):
-        text = text.as_py()
-        if some and size + len(text or "") > _CHARACTERS_AT_ONCE:
-            yield first, some
-            some, size, first = [], 0, at
-        some.append(text)
-        size += len(text or "")
-    if some:
-        yield first, some
+def _batches(*columns: pa.Array) -> Iterator[list[pa.Array]]:
+    """Neighbouring rows with a bounded number of ids together; the last column is a list of ids."""
+    sizes = np.diff(columns[-1].offsets.to_numpy())
+    first = size = 0
+    for at, own in enumerate(sizes.tolist()):
+        if at > first and size + own > _IDS_AT_ONCE:
+            yield [c.slice(first, at - first) for c in columns]
+            first, size = at, 0
+        size += own
+    if first < len(sizes):
+        yield [c.slice(first) for c in columns]
 
 
 def _sum_by_key(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -217,44 +217,64 @@ class PairCounts:
         return out
 
 
-def count_pairs(docs: DataFrame, files: Tokenizers, *, text_col: str = "text") -> PairCounts:
-    """Links of every text by pair of ids.
+def tokenize(docs: DataFrame, files: Tokenizers, *carried: Column, text_col: str = "text") -> DataFrame:
+    """``row``, a struct of the ``carried`` columns, and the ids ``a`` and ``b`` of each whole text.
+
+    The first tokenizer reads a space and the text, the second, which adds the space, the text. A text that is null,
+    empty or not what the entries' bytes spell has no ids.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(files)
+    rows = docs.select(F.struct(*carried).alias("row"), F.col(text_col).cast("string").alias("text"))
+    fields = rows.schema["row"].dataType.simpleString()
+
+    def batch(row, texts) -> Iterator[dict]:
+        pair = _pair(shared.value)
+        a, b = zip(*(pair.ids(text.as_py()) for text in texts))
+        yield {"row": row, "a": id_lists(a), "b": id_lists(b)}
+
+    schema = f"row {fields}, a array<int>, b array<int>"
+    return map_batches(rows, {"row": fields, "text": "string"}, batch, schema)
+
+
+def count_pairs(tokens: DataFrame, files: Tokenizers) -> PairCounts:
+    """Links by pair of ids in all of :func:`tokenize`'s rows.
 
     Each task sends its distinct pairs once. Their hash is made of the distinct pairs of all tasks; then a tree of
     groups of tasks adds up dense vectors of counts that the hash indexes, a few vectors per node. What reaches the
     driver, the pairs and the last vector, has an entry per pair of ids that meet, at most as many as both
     vocabularies have bytes.
     """
-    spark = docs.sparkSession
+    spark = tokens.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(files)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            for _, texts in _batches(batch.column(0)):
-                pairs = np.unique(_align(_pair(shared.value), texts).links, return_counts=True)
+            for a, b in _batches(*batch.columns):
+                pairs = np.unique(_align(_pair(shared.value), a, b).links, return_counts=True)
                 total = _sum_by_key([pairs] if total is None else [total, pairs])
         keys, counts = total or (np.zeros(0, np.int64),) * 2
         for at in range(0, len(keys), _SLICE):
             columns = [pa.array([side[at : at + _SLICE]], pa.list_(pa.int64())) for side in (keys, counts)]
             yield pa.RecordBatch.from_arrays(columns, names=["keys", "counts"])
 
-    sparse = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "keys array<bigint>, counts array<bigint>")
-    staged = Staged(spark, "alignment")
-    sparse = staged(sparse.select(F.spark_partition_id().alias("task"), "keys", "counts"), "pairs")
+    sparse = tokens.select("a", "b").mapInArrow(count, "keys array<bigint>, counts array<bigint>")
+    sparse = Staged(spark, "pairs")(sparse.select(F.spark_partition_id().alias("task"), "keys", "counts"), "pairs")
     distinct = sparse.select(F.explode("keys").alias("key")).distinct().toArrow()["key"].to_numpy()
-    width = len(_pair(files).bytes_b)
     place = MinimalPerfectHash(np.sort(distinct))
-    hashed = spark.sparkContext.broadcast(place)
-    schema = "node int, slice int, counts array<bigint>"
+    return PairCounts(place, _tree_sum(sparse, place), len(_pair(files).bytes_b))
+
+
+def _tree_sum(sparse: DataFrame, place: MinimalPerfectHash) -> np.ndarray:
+    """The counts of all tasks by place; a node of the tree adds up the vectors of a few tasks or nodes."""
+    hashed = sparse.sparkSession.sparkContext.broadcast(place)
 
     def dense(table: pa.Table) -> pa.Table:
-        own, node = hashed.value, table["node"][0].as_py()
-        vector = np.zeros(len(own.keys), np.int64)
+        vector = np.zeros(len(hashed.value.keys), np.int64)
         for keys, counts in zip(table["keys"], table["counts"]):
-            vector[own(keys.values.to_numpy())] += counts.values.to_numpy()  # a task has each key once
-        return pa.Table.from_batches([_slices(node, vector)])
+            vector[hashed.value(keys.values.to_numpy())] += counts.values.to_numpy()  # a row has each key once
+        return pa.Table.from_batches([_slices(table["node"][0].as_py(), vector)])
 
     def added(table: pa.Table) -> pa.Table:
         total = sum(counts.values.to_numpy() for counts in table["counts"])
@@ -264,41 +284,36 @@ def count_pairs(docs: DataFrame, files: Tokenizers, *, text_col: str = "text") -
     def above(name: str) -> Column:
         return F.floor(F.col(name) / _BRANCHES).cast("int").alias("node")
 
-    tasks = sparse.agg(F.max("task")).first()[0]
+    schema = "node int, slice int, counts array<bigint>"
     vectors = sparse.select(above("task"), "keys", "counts").groupBy("node").applyInArrow(dense, schema)
-    nodes = (tasks or 0) // _BRANCHES
+    nodes = (sparse.agg(F.max("task")).first()[0] or 0) // _BRANCHES
     while nodes:
         vectors = vectors.select(above("node"), "slice", "counts").groupBy("node", "slice").applyInArrow(added, schema)
         nodes //= _BRANCHES
     rows = {row["slice"]: row["counts"] for row in vectors.toArrow().to_pylist()}
-    counts = np.concatenate([np.zeros(0, np.int64), *(np.array(rows[k], np.int64) for k in sorted(rows))])
-    return PairCounts(place, counts, width)
+    return np.concatenate([np.zeros(0, np.int64), *(np.array(rows[k], np.int64) for k in sorted(rows))])
 
 
-def align(
-    docs: DataFrame, files: Tokenizers, counted: PairCounts, *carried: Column, text_col: str = "text"
-) -> DataFrame:
-    """``carried`` columns of each row with the alignment of its whole text, and what its links count in the corpus.
+def align(tokens: DataFrame, files: Tokenizers, counted: PairCounts) -> DataFrame:
+    """The columns in ``row`` of each of :func:`tokenize`'s rows with its alignment and what its links count.
 
-    The first tokenizer reads a space and the text, the second, which adds the space, the text. ``n_a`` and ``n_b``
-    are their ids; where one of each side ends at the same byte a group ends (``n_groups``, ``groups`` as text), and
-    these two are linked (``n_links``). ``count_sum`` adds up how often each link's pair is linked in the corpus that
-    ``counted`` is of, and ``n_best`` are the links whose pair is the most frequent of its second id, ties included.
-    A text that is null, empty or not what the entries' bytes spell has no ids, and so no groups and links.
+    ``n_a`` and ``n_b`` are the ids; where one of each side ends at the same byte a group ends (``n_groups``,
+    ``groups`` as text), and these two are linked (``n_links``). ``count_sum`` adds up how often each link's pair is
+    linked in the rows that ``counted`` is of, and ``n_best`` are the links whose pair is the most frequent of its
+    second id, ties included. Without ids there are no groups and links.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((files, counted))
-    rows = docs.select(F.struct(*carried).alias("__row"), F.col(text_col).cast("string").alias("__text"))
-    fields = rows.schema["__row"].dataType.simpleString()
+    shared = tokens.sparkSession.sparkContext.broadcast((files, counted))
+    fields = tokens.schema["row"].dataType.simpleString()
 
-    def batch(row, texts) -> Iterator[dict]:
+    def batch(*columns) -> Iterator[dict]:
         files, own = shared.value
         pair = _pair(files)
-        for first, some in _batches(texts):
-            found = _align(pair, some)
+        for row, a, b in _batches(*columns):
+            found = _align(pair, a, b)
             count = own.counts[own.place(found.links)]
             n_links = found.per_text(np.ones(len(count), np.int64))
             yield {
-                "__row": row.slice(first, len(some)),
+                "row": row,
                 "n_a": found.n_a,
                 "n_b": found.n_b,
                 "n_groups": n_links,  # an entry has bytes, so that only one of each side ends at a byte
@@ -309,5 +324,22 @@ def align(
             }
 
     numbers = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint"
-    out = map_batches(rows, {"__row": fields, "__text": "string"}, batch, f"__row {fields}, {numbers}, groups string")
-    return out.select("__row.*", *out.columns[1:])
+    kinds = {"row": fields, "a": "array<int>", "b": "array<int>"}
+    out = map_batches(tokens, kinds, batch, f"row {fields}, {numbers}, groups string")
+    return out.select("row.*", *out.columns[1:])
+
+
+def align_corpus(docs: DataFrame, files: Tokenizers, *columns: Column, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``columns``, made of :func:`align`'s and ``id_col``, for each row, counted over all rows and stored.
+
+    The ids are stored first, so that both passes, one that counts the pairs and one that looks them up, align the same
+    ids and texts are split into tokens once. A batch of rows takes several times the texts' bytes on its way to a task
+    and back, so fewer rows than usual go at once.
+    """
+    spark, rows = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    staged = Staged(spark, "alignment")
+    with settings(spark, {rows: str(min(_ROWS_AT_ONCE, int(spark.conf.get(rows))))}):
+        tokens = staged(tokenize(docs, files, F.col(id_col), text_col=text_col), "tokens")
+        found = staged(align(tokens, files, count_pairs(tokens, files)).select(*columns), "found")
+    staged.drop("tokens")
+    return found

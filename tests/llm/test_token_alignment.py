@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from lineledger.llm import token_alignment
 from lineledger.llm.bpe import byte_signs
 from lineledger.llm.queries import QUERIES, tokenizer_file
-from lineledger.llm.token_alignment import MinimalPerfectHash, Tokenizers, align, count_pairs
+from lineledger.llm.token_alignment import MinimalPerfectHash, Tokenizers, align, align_corpus, count_pairs, tokenize
 
 SF = "/root/testdata/sf0.001"
 SPEC = tokenizer_file("byte_bpe_50k.json")
@@ -63,7 +63,7 @@ def plain(rows):
 
 
 def found(spark, docs):
-    out = align(docs, FILES, count_pairs(docs, FILES), F.col("doc_id"))
+    out = align_corpus(docs, FILES, *COLUMNS[:-1], "groups")
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
     return sorted((tuple(r) for r in out.withColumn("groups", digest).collect()), key=str)
 
@@ -90,7 +90,7 @@ def test_query_equals_brute_force(spark):
 @pytest.mark.parametrize("parts", [1, 3, 80])
 def test_any_number_of_tasks(spark, monkeypatch, parts):
     monkeypatch.setattr(token_alignment, "_SLICE", 50)
-    monkeypatch.setattr(token_alignment, "_CHARACTERS_AT_ONCE", 200)
+    monkeypatch.setattr(token_alignment, "_IDS_AT_ONCE", 60)
     rng = random.Random(parts)
     words = ["the", "token", "tokens", "naïve", "日本語", "🙂", "  ", "x1", "12345", "<|endoftext|>", "</s>", "<0x41>", "\n"]
     rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 30)))) for i in range(150)]
@@ -111,7 +111,7 @@ def test_odd_tables(spark):
 
 def test_counts_of_other_documents_are_refused(spark):
     docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
-    counted = count_pairs(docs, FILES)
-    other = docs.withColumn("text", F.lit("entirely different"))
+    counted = count_pairs(tokenize(docs, FILES, F.col("doc_id")), FILES)
+    other = tokenize(docs.withColumn("text", F.lit("entirely different")), FILES, F.col("doc_id"))
     with pytest.raises(Exception, match="not counted"):
-        align(other, FILES, counted, F.col("doc_id")).collect()
+        align(other, FILES, counted).collect()
