@@ -5,6 +5,8 @@ from lineledger.sinks.table import (
     append_mart,
     clear_day,
     compact_day,
+    compact_month,
+    compact_range,
     ensure_table,
     loaded_days,
     month_of_mart,
@@ -12,16 +14,20 @@ from lineledger.sinks.table import (
     replace_day,
     replace_range,
 )
+from lineledger.sinks.versions import remove_old_versions
 
 __all__ = [
     "append_database",
     "append_mart",
     "clear_day",
     "compact_day",
+    "compact_month",
+    "compact_range",
     "ensure_table",
     "loaded_days",
     "month_of_mart",
     "read_mart",
+    "remove_old_versions",
     "replace_day",
     "replace_range",
 ]

@@ -1,45 +1,87 @@
-"""The mart as a parquet table partitioned by month and day."""
+"""The mart as a parquet table partitioned by month and day.
+
+Rows that replace others are written to a new version of their days (:mod:`lineledger.sinks.versions`), to which one
+catalog call then points the table. The table is read through the catalog, not by its folder.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegerType
 
-from lineledger.functions import as_day, in_window, next_day, yyyymm
+from lineledger.functions import as_day, in_window, month_window, next_day, yyyymm
 from lineledger.functions.dates import Day
 from lineledger.schemas import MART_COLUMNS, MART_SCHEMA
-from lineledger.scratch import folder_exists, staging
-from lineledger.session import input_bytes
+from lineledger.scratch import delete_folder, folder_exists
+from lineledger.sinks.versions import (
+    attach,
+    day_folder,
+    described,
+    drop_days,
+    folders,
+    literal,
+    new_version,
+    note_days,
+    point,
+    quoted,
+)
 
 PARTITION_COLUMNS = ("yyyymm", "date")
-COMPACTED_BYTES = 512 * 1024**2  # stored rows that make one compacted file
+COMPACTED_BYTES = 512 * 1024**2  # of stored rows that make one compacted file
 _DATA_COLUMNS = tuple(c for c in MART_COLUMNS if c != "date")
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _quoted(table: str) -> str:
-    return ".".join(f"`{part}`" for part in table.replace("`", "").split("."))
+_TYPES: dict[str, DataType] = {**{f.name: f.dataType for f in MART_SCHEMA}, "yyyymm": IntegerType()}
 
 
-def _partition(day: dt.date) -> str:
-    return f"PARTITION (yyyymm = {day.year * 100 + day.month}, date = DATE '{day}')"
+def _columns(names: Iterable[str]) -> str:
+    return ", ".join(f"`{c}` {_TYPES[c].simpleString()}" for c in names)
 
 
 def ensure_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    """Creates the mart table if there is none; days already at ``location`` become part of it."""
+    """Creates the mart table if there is none; days already at ``location`` become part of it.
+
+    A table that is there is made to fit: columns of the mart that it lacks are added, and are null in its old rows. It
+    may have its columns in any order, and more of them, which are null in new rows. A table that is no parquet table
+    partitioned by month and day, or has a column of another type, is refused before anything is written.
+    """
     if spark.catalog.tableExists(table):
+        _reconcile(spark, table)
         return
-    columns = ", ".join(f"`{c}` {MART_SCHEMA[c].dataType.simpleString()}" for c in _DATA_COLUMNS)
-    placed = "" if location is None else " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    placed = "" if location is None else f" LOCATION {literal(location)}"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({columns}, `yyyymm` int, `date` date) "
-        f"USING parquet PARTITIONED BY (yyyymm, date){placed}"
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({_columns([*_DATA_COLUMNS, *PARTITION_COLUMNS])}) "
+        f"USING parquet PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}){placed}"
     )
     if location is not None and folder_exists(spark, location):
-        spark.sql(f"MSCK REPAIR TABLE {_quoted(table)}")
+        attach(spark, table)
+
+
+def _reconcile(spark: SparkSession, table: str) -> None:
+    if spark.catalog.getTable(quoted(table)).tableType not in ("MANAGED", "EXTERNAL"):
+        raise ValueError(f"{table} can't hold the mart: it is a view")
+    about, wrong = described(spark, table), []
+    if about.get("provider", "").lower() != "parquet":
+        wrong.append(f"it is a table of format {about.get('provider')}")
+    by = [c.lower() for c in about.get("partition_columns", [])]
+    if by != list(PARTITION_COLUMNS):
+        wrong.append(f"it is partitioned by {', '.join(by) or 'nothing'}")
+    if about.get("num_buckets"):
+        wrong.append("it has buckets")
+    kinds = {row["col_name"].lower(): row["data_type"] for row in spark.sql(f"DESCRIBE TABLE {quoted(table)}").collect()}
+    for name, kind in _TYPES.items():
+        if kinds.get(name, kind.simpleString()) != kind.simpleString():
+            wrong.append(f"column {name} is {kinds[name]} instead of {kind.simpleString()}")
+    fixed = [c["name"] for c in about["columns"] if not c.get("nullable", True)]
+    wrong += [f"column {name} needs a value" for name in fixed if name.lower() not in _TYPES]
+    if wrong:
+        raise ValueError(f"{table} can't hold the mart: {'; '.join(wrong)}")
+    missing = [c for c in _DATA_COLUMNS if c not in kinds]
+    if missing:
+        spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({_columns(missing)})")
 
 
 def read_mart(spark: SparkSession, table: str) -> DataFrame:
@@ -56,16 +98,16 @@ def _failing(message: Column) -> Column:
     return F.raise_error(message).cast("date")
 
 
-def _laid_out(df: DataFrame, written: Observation | None = None, files: int | None = None) -> DataFrame:
+def _laid_out(df: DataFrame, written: Observation | None = None) -> DataFrame:
     """Rows in table order, brought together by day and sorted within each file; a row without a date fails.
 
     Rebalancing sends a day to one task if it is small, so that it makes few files, and splits a large one
-    over several tasks. With ``files`` the rows make that many files instead.
+    over several tasks.
     """
     date = F.coalesce("date", _failing(F.lit("a row of the mart has no date")))
     df = df.withColumn("date", date)
     out = df.select(*_DATA_COLUMNS, yyyymm(F.col("date")).alias("yyyymm"), "date")
-    out = out.hint("rebalance", *PARTITION_COLUMNS) if files is None else out.repartition(files)
+    out = out.hint("rebalance", *PARTITION_COLUMNS)
     if written is not None:
         # Above the rebalance: below it, an empty result would be planned away together with the metric.
         out = out.observe(written, F.collect_set("date").alias("days"))
@@ -73,55 +115,57 @@ def _laid_out(df: DataFrame, written: Observation | None = None, files: int | No
 
 
 def append_mart(df: DataFrame, table: str) -> None:
-    """Adds rows without looking at what is there; a second run doubles them."""
-    _laid_out(df).write.insertInto(table)
-
+    """Adds rows without looking at what is there; a second run doubles them.
 
-def _location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Location'")
-    return described.first()["data_type"]
-
-
-def _overwrite_days(laid_out: DataFrame, table: str, written: Observation) -> list[dt.date]:
-    """Replaces the partitions that get rows, once all rows are written, and returns their days.
-
-    The option belongs to this write alone. A session setting would be shared with other loads of the session,
-    and if one of them put it back while this one starts, the whole table would be overwritten.
+    Columns go by name to a table that has them in any order; other columns of the table are null in the new rows.
     """
-    spark = laid_out.sparkSession
-    writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*PARTITION_COLUMNS).parquet(_location(spark, table))
-    days = sorted(written.get["days"])
-    if days:
-        spark.sql(f"ALTER TABLE {_quoted(table)} ADD IF NOT EXISTS {' '.join(map(_partition, days))}")
-    spark.catalog.refreshTable(_quoted(table))
-    return days
+    spark = df.sparkSession
+    ensure_table(spark, table)
+    here = {c: F.col(c) for c in (*_DATA_COLUMNS, *PARTITION_COLUMNS)}
+    own = spark.table(table).schema
+    _laid_out(df).select(
+        *(here.get(f.name.lower(), F.lit(None).cast(f.dataType)).alias(f.name) for f in own)
+    ).write.insertInto(table)
 
 
 def loaded_days(spark: SparkSession, table: str) -> list[dt.date]:
     """Days that have a partition; a list of names from the catalog, no data is read."""
-    names = [row[0].rpartition("date=")[2] for row in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()]
-    return sorted(dt.date.fromisoformat(name) for name in names if name not in (_NULL_PARTITION, "null"))
+    return sorted(folders(spark, table))
+
+
+def _switch(
+    spark: SparkSession, table: str, version: str, replaced: Iterable[dt.date], with_rows: Iterable[dt.date]
+) -> None:
+    """Makes a stored version the rows of the days that it replaces, all at once."""
+    replaced, with_rows = set(replaced), set(with_rows)
+    note_days(spark, version, replaced, with_rows)
+    point(spark, table, {day: day_folder(version, day) for day in replaced})
+    drop_days(spark, table, replaced - with_rows)
 
 
 def replace_range(df: DataFrame, table: str, start: Day, end: Day) -> None:
     """Replaces the days in ``[start, end)`` by ``df``; days without rows end empty.
 
-    A row outside the range or without a date fails the job instead of replacing a day nobody asked for. Until all
-    new rows are written the old ones stay. Then each day is replaced on its own, and days that got no rows are
-    cleared last. A load that fails between those steps leaves some days new and others old; no day is mixed, and
-    running the load again gives the same table as a run that did not fail.
+    A row outside the range or without a date fails the job instead of replacing a day nobody asked for. The new rows
+    are stored beside the old ones, and one catalog call makes them the table's, for the whole range. A load that is
+    cut off at any point leaves all old rows or all new ones; running it again gives the table of a load that was
+    not. The old rows stay on disk until :func:`~lineledger.sinks.versions.remove_old_versions`.
     """
     spark = df.sparkSession
+    ensure_table(spark, table)
     start, end = as_day(start), as_day(end)
     outside = F.concat(F.lit(f"date outside [{start}, {end}): "), F.col("date").cast("string"))
     inside = F.col("date").isNull() | in_window(F.col("date"), start, end)
     checked = df.withColumn("date", F.when(inside, F.col("date")).otherwise(_failing(outside)))
+    written, version = Observation(), new_version(spark, table)
+    try:
+        _laid_out(checked, written).write.partitionBy(*PARTITION_COLUMNS).parquet(version)
+    except Exception:
+        delete_folder(spark, version)
+        raise
+    days = written.get["days"]
     before = [day for day in loaded_days(spark, table) if start <= day < end]
-    written = Observation()
-    days = _overwrite_days(_laid_out(checked, written), table, written)
-    for day in sorted(set(before) - set(days)):
-        clear_day(spark, table, day)
+    _switch(spark, table, version, {*before, *days}, days)
 
 
 def replace_day(df: DataFrame, table: str, day: Day) -> None:
@@ -130,22 +174,95 @@ def replace_day(df: DataFrame, table: str, day: Day) -> None:
 
 def clear_day(spark: SparkSession, table: str, day: Day) -> None:
     """Removes a day's rows and its partition."""
-    partition = _partition(as_day(day))
-    # Dropping a partition of a table with a location would leave its files behind.
-    nothing = ", ".join(f"CAST(NULL AS {MART_SCHEMA[c].dataType.simpleString()})" for c in _DATA_COLUMNS)
-    spark.sql(f"INSERT OVERWRITE {_quoted(table)} {partition} SELECT {nothing} WHERE false")
-    spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS {partition}")
+    day = as_day(day)
+    if day in loaded_days(spark, table):
+        _switch(spark, table, new_version(spark, table), [day], [])
+
+
+def _stored(spark: SparkSession, table: str, days: Column) -> dict[dt.date, tuple[int, int, int]]:
+    """Number of files of each day, their bytes, and a number that changes with their names; a row per day."""
+    files = spark.table(table).where(days).select("date", "_metadata.file_path", "_metadata.file_size").distinct()
+    per_day = files.groupBy("date").agg(
+        F.count("*").alias("files"),
+        F.sum("file_size").alias("bytes"),
+        F.sum(F.xxhash64("file_path").cast("decimal(38,0)")).cast("string").alias("names"),
+    )
+    return {row["date"]: (row["files"], row["bytes"], row["names"]) for row in per_day.collect()}
+
+
+def _bins(sizes: dict[dt.date, int], capacity: int) -> dict[dt.date, int]:
+    """A number for each day so that days with the same one have no more than ``capacity`` together; large ones first."""
+    bins: list[int] = []
+    out = {}
+    for day, size in sorted(sizes.items(), key=lambda item: (-item[1], item[0])):
+        at = next((k for k, used in enumerate(bins) if used + size <= capacity), len(bins))
+        bins[at:] = bins[at:] or [0]
+        bins[at] += size
+        out[day] = at
+    return out
+
+
+def compact_range(
+    spark: SparkSession, table: str, start: Day | None = None, end: Day | None = None, file_bytes: int = COMPACTED_BYTES
+) -> list[dt.date]:
+    """Rewrites the days in ``[start, end)`` whose small files can become fewer; returns them. The rows stay the same.
+
+    Without bounds it looks at the whole table. Sizes come from the file system. A day that fits into a file becomes
+    one, and small days share a task; a larger day is cut by ``number``, so that its files do not overlap and a number
+    is found in one of them (two at a border), also if a single number has most rows. All days are rewritten by
+    one job and switched to at once; other days keep their files. Rows that are added to one of the days
+    meanwhile fail the compaction and not get lost.
+    """
+    wanted = F.lit(True)
+    if start is not None:
+        start = as_day(start)
+        wanted &= (F.col("yyyymm") >= start.year * 100 + start.month) & (F.col("date") >= F.lit(start))
+    if end is not None:
+        end = as_day(end)
+        wanted &= (F.col("yyyymm") <= end.year * 100 + end.month) & (F.col("date") < F.lit(end))
+    before = _stored(spark, table, wanted)
+    needed = {day: math.ceil(size / file_bytes) for day, (_, size, _) in before.items()}
+    # a large day shares its first and its last range with other days
+    days = sorted(day for day, n in needed.items() if before[day][0] > (n if n == 1 else n + 1))
+    if not days:
+        return []
+    small = _bins({day: before[day][1] for day in days if needed[day] == 1}, file_bytes)
+    large = [day for day in days if needed[day] > 1]
+    rows = spark.table(table)
+    columns = [c for c in rows.columns if c.lower() not in PARTITION_COLUMNS] + list(PARTITION_COLUMNS)
+    parts = []
+    if small:
+        task = spark.createDataFrame([(day, at) for day, at in small.items()], "date date, task int")
+        of_days = rows.where(wanted & F.col("date").isin(list(small))).select(*columns)
+        parts.append(of_days.join(F.broadcast(task), "date").repartitionById(max(small.values()) + 1, F.col("task")))
+    if large:
+        of_days = rows.where(wanted & F.col("date").isin(large))
+        spread = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("spread")
+        ranges = sum(needed[day] for day in large)
+        parts.append(of_days.select(*columns, spread).repartitionByRange(ranges, "date", "number", "spread"))
+    version = new_version(spark, table)
+    laid_out = [part.select(*columns).sortWithinPartitions(*PARTITION_COLUMNS, "number") for part in parts]
+    laid_out = laid_out[0] if len(laid_out) == 1 else laid_out[0].unionByName(laid_out[1])
+    try:
+        # where numbers overlap, as with files that were appended since, a filter tells which row groups have one
+        blooms = {"parquet.bloom.filter.enabled#number": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+        laid_out.write.options(**blooms).partitionBy(*PARTITION_COLUMNS).parquet(version)
+        now = _stored(spark, table, wanted)
+        changed = [day for day in days if now.get(day) != before[day]]
+        if changed:
+            raise RuntimeError(f"rows of {changed[0]} changed while it was compacted")
+    except Exception:
+        delete_folder(spark, version)
+        raise
+    _switch(spark, table, version, days, days)
+    return days
 
 
 def compact_day(spark: SparkSession, table: str, day: Day) -> None:
-    """Rewrites a day's small files as few large ones; the rows stay the same.
+    """Rewrites a day's small files as few large ones; the rows stay the same."""
+    compact_range(spark, table, day, next_day(day))
 
-    A table cannot be overwritten from itself, so the day goes through a staged copy, whose size tells how many
-    files it takes.
-    """
-    day = as_day(day)
-    of_day = spark.table(table).where((F.col("yyyymm") == day.year * 100 + day.month) & (F.col("date") == F.lit(day)))
-    with staging(spark) as stage:
-        staged, written = stage(of_day, "day"), Observation()
-        files = max(1, math.ceil((input_bytes(staged) or 0) / COMPACTED_BYTES))
-        _overwrite_days(_laid_out(staged, written, files), table, written)
+
+def compact_month(spark: SparkSession, table: str, month: int) -> list[dt.date]:
+    """Compacts the days of a month, given as 202501."""
+    return compact_range(spark, table, *month_window(month))

@@ -134,6 +134,7 @@ _SALES_COLUMNS = (
 )
 _MART = "SELECT * REPLACE (strftime(date, '%Y-%m-%d') AS date) FROM mart"
 _CLEAN = "SELECT * FROM clean"
+_TWICE = "SELECT * FROM clean UNION ALL SELECT * FROM clean"
 _IN_MONTH = f"year(date) * 100 + month(date) = {MONTH}"
 _TREE = (
     "SELECT leaf_id AS nomenclature_id, leaf_name AS folder_name, parent_id, steps AS level, "
@@ -204,9 +205,14 @@ ORACLES: dict[str, str] = {
     ),
     "csv_roundtrip": _sql(_CLEAN),
     "backfill_roundtrip": _sql(_CLEAN),
-    "append_roundtrip": _sql("SELECT * FROM clean UNION ALL SELECT * FROM clean"),
+    "append_roundtrip": _sql(_TWICE),
     "daily_replace_roundtrip": _sql(_CLEAN),
     "daily_roundtrip": _sql(_CLEAN, DAY, DAY.replace(day=DAY.day + 1)),
     "month_partition_roundtrip": _sql(f"SELECT * FROM clean WHERE {_IN_MONTH}"),
     "compact_roundtrip": _sql(_CLEAN),
+    "reconcile_roundtrip": _sql(_CLEAN),
+    "compact_month_roundtrip": _sql(_TWICE),
+    "number_lookup_roundtrip": _sql(
+        f"SELECT * FROM ({_TWICE}) twice WHERE (date, number) IN (SELECT (date, max(number)) FROM clean GROUP BY date)"
+    ),
 }

@@ -27,9 +27,9 @@ from lineledger.operators import (
     shipped_documents,
 )
 from lineledger.plans import credited_sales, mart_rows, products
-from lineledger.schemas import MART_COLUMNS
+from lineledger.schemas import MART_COLUMNS, MART_SCHEMA
 from lineledger.scratch import delete_folder, shared_folder
-from lineledger.sinks import compact_day, month_of_mart, read_mart
+from lineledger.sinks import compact_day, compact_month, compact_range, month_of_mart, read_mart
 from lineledger.sources import read_extract, write_extract
 from registry.fixtures import CONFIG, DAY, END, MONTH, START, test_sources
 
@@ -271,5 +271,47 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mart(spark, mart["table"])
 
 
+@query
+def reconcile_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made elsewhere, with its columns in another order, one missing and one more, filled by name.
+
+    The window is appended, its middle month replaced by itself, and the whole compacted.
+    """
+    src, mart = test_sources(spark, sf_dir), _table(spark, "reconcile_roundtrip", sf_dir)
+    kinds = {f.name: f.dataType.simpleString() for f in MART_SCHEMA if f.name not in ("date", "folder_3")}
+    columns = ", ".join(f"{name} {kinds[name]}" for name in sorted(kinds, reverse=True))
+    spark.sql(
+        f"CREATE TABLE {mart['table']} (seen timestamp, {columns}, yyyymm int, date date) USING parquet "
+        f"PARTITIONED BY (yyyymm, date) LOCATION '{mart['location']}'"
+    )
+    run_backfill(spark, src, start=START, end=END, config=CONFIG, mode="append", **mart)
+    first, after = month_window(MONTH)
+    run_backfill(spark, src, start=first, end=after, config=CONFIG, **mart)
+    compact_range(spark, mart["table"])
+    return read_mart(spark, mart["table"])
+
+
+@query
+def compact_month_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window appended twice, so that its days have several files; one month is compacted."""
+    src, mart = test_sources(spark, sf_dir), _table(spark, "compact_month_roundtrip", sf_dir)
+    for _ in range(2):
+        run_backfill(spark, src, start=START, end=END, config=CONFIG, mode="append", **mart)
+    compact_month(spark, mart["table"], MONTH)
+    return read_mart(spark, mart["table"])
+
+
+@query
+def number_lookup_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of each day's last number, found in a compacted table that is cut into files by number."""
+    src, mart = test_sources(spark, sf_dir), _table(spark, "number_lookup_roundtrip", sf_dir)
+    run_backfill(spark, src, start=START, end=END, config=CONFIG, mode="append", **mart)
+    run_backfill(spark, src, start=START, end=END, config=CONFIG, mode="append", **mart)
+    compact_range(spark, mart["table"], file_bytes=16 * 1024)
+    rows = read_mart(spark, mart["table"])
+    last = rows.groupBy("date").agg(F.max("number").alias("number"))
+    return rows.join(last, ["date", "number"], "left_semi").select(*MART_COLUMNS)
+
+
 # A trailing underscore only keeps a query apart from the operator it calls.
 QUERIES = {name.rstrip("_"): function for name, function in QUERIES.items()}

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 from collections import Counter
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,10 +16,13 @@ from lineledger.sinks import (
     append_mart,
     clear_day,
     compact_day,
+    compact_month,
+    compact_range,
     ensure_table,
     loaded_days,
     month_of_mart,
     read_mart,
+    remove_old_versions,
     replace_day,
     replace_range,
 )
@@ -101,17 +107,17 @@ def test_overlapping_replacements_keep_all_other_rows(spark, mart, table, monkey
         ensure_table(spark, other)
         for name in (mart, other):
             append_mart(mart_frame(spark, "2025-01-01", "2025-01-02", "2025-01-03"), name)
-        inner, plain = [], sink._overwrite_days
+        inner, plain = [], sink._laid_out
 
-        def interrupted(laid_out, name, written):
+        def interrupted(*rows):
             if not inner:
                 inner.append(True)
                 replace_day(mart_frame(spark, "2025-01-02", price=2.0), mart, "2025-01-02")
                 replace_day(mart_frame(spark, "2025-01-03", price=3.0), other, "2025-01-03")
                 compact_day(spark, other, "2025-01-01")
-            return plain(laid_out, name, written)
+            return plain(*rows)
 
-        monkeypatch.setattr(sink, "_overwrite_days", interrupted)
+        monkeypatch.setattr(sink, "_laid_out", interrupted)
         replace_day(mart_frame(spark, "2025-01-01", price=1.0), mart, "2025-01-01")
         prices = lambda name: {str(r.date): r.nomenclature_price_total for r in read_mart(spark, name).collect()}
         kept = mart_frame(spark, "2025-01-01").first().nomenclature_price_total
@@ -122,22 +128,147 @@ def test_overlapping_replacements_keep_all_other_rows(spark, mart, table, monkey
         spark.sql(f"DROP TABLE IF EXISTS {other}")
 
 
-def test_run_again_after_a_failure_between_write_and_clear(spark, mart, monkeypatch):
-    from lineledger.sinks import table as sink
+STEPS = ["table.note_days", "table.point", "versions._moved", "table.drop_days", "versions.delete_folder"]
 
-    append_mart(mart_frame(spark, "2025-01-01", "2025-01-02", "2025-01-03"), mart)
-    new = mart_frame(spark, "2025-01-01", price=9.0)
 
-    def broken(*_):
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_load_that_is_cut_off_leaves_all_old_or_all_new_rows(spark, table, monkeypatch, step, after):
+    """Every step of a replacement fails, before or after its work; the next run mends it."""
+    location = new_folder(spark, "mart")
+    ensure_table(spark, table, location)
+    append_mart(mart_frame(spark, "2024-12-31", "2025-01-01", "2025-01-02", "2025-01-03"), table)
+    old, kept = bag(read_mart(spark, table)), mart_frame(spark, "2024-12-31")
+    new = mart_frame(spark, "2025-01-01", "2025-01-03", "2025-01-04", price=9.0)  # a day changes, one goes, one comes
+    replaced = bag(kept.unionByName(new))
+    module = f"lineledger.sinks.{step.partition('.')[0]}"
+    plain = getattr(importlib.import_module(module), step.partition(".")[2])
+
+    def broken(*args):
+        if after:
+            plain(*args)
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(sink, "clear_day", broken)
+        patch.setattr(f"lineledger.sinks.{step}", broken)
         with pytest.raises(OSError, match="lost"):
-            replace_range(new, mart, "2025-01-01", "2025-01-04")
-    assert days(spark, mart) == Counter({"2025-01-01": 1, "2025-01-02": 1, "2025-01-03": 1})
-    replace_range(new, mart, "2025-01-01", "2025-01-04")
-    assert bag(read_mart(spark, mart)) == bag(new)
+            replace_range(new, table, "2025-01-01", "2025-01-05")
+    assert bag(read_mart(spark, table)) == bag(spark.table(table).select(*MART_COLUMNS)) in (old, replaced)
+    append_mart(mart_frame(spark, "2025-01-02", price=5.0), table)  # what is left of a day that was cleared stays out
+    replace_range(new, table, "2025-01-01", "2025-01-05")
+    assert bag(read_mart(spark, table)) == replaced
+    append_mart(mart_frame(spark, "2025-01-02", price=6.0), table)
+    replaced += bag(mart_frame(spark, "2025-01-02", price=6.0))
+    assert bag(read_mart(spark, table)) == replaced
+    spark.sql(f"DROP TABLE {table}")
+    ensure_table(spark, table, location)
+    assert bag(read_mart(spark, table)) == replaced
+
+
+def test_readers_see_a_range_change_at_once(spark, mart, monkeypatch):
+    """What a reader sees before and after each call that a replacement makes to the catalog."""
+    from lineledger.sinks import versions
+
+    append_mart(mart_frame(spark, "2025-01-01", "2025-01-02", "2025-01-03"), mart)
+    new, seen = mart_frame(spark, "2025-01-02", "2025-01-04", price=9.0), []
+    for name in ("_moved", "drop_days"):
+        plain = getattr(versions, name)
+
+        def watched(*args, plain=plain):
+            seen.append(bag(read_mart(spark, mart)))
+            return plain(*args)
+
+        monkeypatch.setattr(f"lineledger.sinks.{'versions' if name == '_moved' else 'table'}.{name}", watched)
+    old = bag(read_mart(spark, mart))
+    replace_range(new, mart, "2025-01-01", "2025-01-05")
+    assert len(seen) == 5 and all(rows == old for rows in seen[:4]) and seen[4] == bag(new)
+
+
+def test_old_versions_are_removed_later(spark, mart):
+    append_mart(mart_frame(spark, "2025-01-01", "2025-01-02", "2025-01-03"), mart)
+    for price in (1.0, 2.0, 3.0):
+        replace_range(mart_frame(spark, "2025-01-01", "2025-01-02", price=price), mart, "2025-01-01", "2025-01-03")
+    before = bag(read_mart(spark, mart))
+    assert remove_old_versions(spark, mart) == 0  # a query may still read them
+    assert remove_old_versions(spark, mart, hours=-1) == 2 * 3  # two days: as appended, and the first two versions
+    assert bag(read_mart(spark, mart)) == before
+    assert remove_old_versions(spark, mart, hours=-1) == 0
+    append_mart(mart_frame(spark, "2025-01-01", price=7.0), mart)
+    assert bag(read_mart(spark, mart)) == before + bag(mart_frame(spark, "2025-01-01", price=7.0))
+
+
+def made(spark, table, columns, using="parquet", by="PARTITIONED BY (yyyymm, date)"):
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {using} {by}")
+
+
+COLUMNS = {c: MART_SCHEMA[c].dataType.simpleString() for c in MART_COLUMNS if c != "date"}
+PARTITIONS = ", yyyymm int, date date"
+
+
+def ddl(columns):
+    return ", ".join(f"{name} {kind}" for name, kind in columns.items()) + PARTITIONS
+
+
+def test_columns_go_by_name(spark, table):
+    """A table made elsewhere, with columns in another order, one in other letters, one missing and one more."""
+    order = sorted(set(COLUMNS) - {"folder_3"}, reverse=True)
+    made(spark, table, ddl({("NAME" if c == "name" else c): COLUMNS[c] for c in order} | {"seen": "timestamp"}))
+    rows = mart_frame(spark, "2025-01-01").withColumn("name", F.lit("NAME")).withColumn("number", F.lit("NUMBER"))
+    append_mart(rows, table)
+    assert bag(read_mart(spark, table)) == bag(rows)
+    replace_day(rows.withColumn("date", F.lit(dt.date(2025, 1, 2))), table, "2025-01-02")
+    append_mart(rows, table)
+    compact_day(spark, table, "2025-01-01")
+    found = spark.table(table)
+    assert {r.asDict()["folder_3"] for r in found.collect()} == {"f3"} and found.where("seen IS NULL").count() == 3
+    assert found.where("name = 'NAME' AND number = 'NUMBER'").count() == 3
+
+
+def test_missing_columns_are_null_in_old_rows(spark, table):
+    made(spark, table, ddl({c: k for c, k in COLUMNS.items() if c != "folder_1"}))
+    spark.sql(f"INSERT INTO {table} BY NAME SELECT 'x' AS number, 1D AS nomenclature_price_total, 202501 AS yyyymm, DATE '2025-01-01' AS date")
+    ensure_table(spark, table)
+    append_mart(mart_frame(spark, "2025-01-01"), table)
+    assert {(r.number, r.folder_1) for r in read_mart(spark, table).collect()} == {("x", None), ("n0", "f1")}
+
+
+def test_compaction_keeps_columns_that_the_mart_lacks(spark, table):
+    made(spark, table, ddl(COLUMNS | {"seen": "int"}))
+    for n in (1, 2):
+        spark.sql(f"INSERT INTO {table} BY NAME SELECT '{n}' AS number, {n} AS seen, 202501 AS yyyymm, DATE '2025-01-01' AS date")
+    assert compact_range(spark, table) == [dt.date(2025, 1, 1)]
+    assert {(r.number, r.seen) for r in spark.table(table).collect()} == {("1", 1), ("2", 2)}
+
+
+WRONG = {
+    "format orc": dict(columns=ddl(COLUMNS), using="orc"),
+    "partitioned by yyyymm": dict(columns=ddl(COLUMNS), by="PARTITIONED BY (yyyymm)"),
+    "partitioned by nothing": dict(columns=ddl(COLUMNS), by=""),
+    "partitioned by date, yyyymm": dict(columns=ddl(COLUMNS), by="PARTITIONED BY (date, yyyymm)"),
+    "nomenclature_price_total is decimal": dict(columns=ddl(COLUMNS | {"nomenclature_price_total": "decimal(10,2)"})),
+    "number is varchar": dict(columns=ddl(COLUMNS | {"number": "varchar(5)"})),
+    "buckets": dict(columns=ddl(COLUMNS), by="PARTITIONED BY (yyyymm, date) CLUSTERED BY (number) INTO 2 BUCKETS"),
+}
+
+
+@pytest.mark.parametrize("why", WRONG)
+def test_tables_that_can_not_hold_the_mart_are_refused(spark, table, why):
+    made(spark, table, **WRONG[why])
+    rows = mart_frame(spark, "2025-01-01")
+    for load in (
+        lambda: ensure_table(spark, table),
+        lambda: append_mart(rows, table),
+        lambda: replace_day(rows, table, "2025-01-01"),
+    ):
+        with pytest.raises(ValueError, match=why):
+            load()
+    assert spark.table(table).collect() == []
+
+
+def test_views_are_refused(spark, table):
+    spark.range(1).createOrReplaceTempView(f"{table}_view")
+    with pytest.raises(ValueError, match="a view"):
+        ensure_table(spark, f"{table}_view")
 
 
 def test_rows_without_a_date_are_refused(spark, mart):
@@ -180,6 +311,93 @@ def test_compact_day(spark, mart):
     assert bag(read_mart(spark, mart)) == before
 
 
+def day_files(spark, mart):
+    spark.catalog.refreshTable(mart)
+    files = spark.table(mart).select("date", "_metadata.file_path").distinct().collect()
+    return {str(day): {r.file_path for r in files if r.date == day} for day in {r.date for r in files}}
+
+
+def test_compact_a_month(spark, mart):
+    days_of = {"2025-01-01": 3, "2025-01-02": 1, "2025-01-31": 4, "2025-02-01": 3}
+    for n in range(4):
+        append_mart(mart_frame(spark, *[d for d, files in days_of.items() if n < files], price=float(n)), mart)
+    rows, before = bag(read_mart(spark, mart)), day_files(spark, mart)
+    assert {d: len(f) for d, f in before.items()} == days_of
+    assert compact_month(spark, mart, 202501) == [dt.date(2025, 1, 1), dt.date(2025, 1, 31)]
+    after = day_files(spark, mart)
+    assert {d: len(f) for d, f in after.items()} == days_of | {"2025-01-01": 1, "2025-01-31": 1}
+    assert all(after[d] == before[d] for d in ("2025-01-02", "2025-02-01"))  # the very same files
+    assert bag(read_mart(spark, mart)) == rows
+    assert compact_month(spark, mart, 202501) == [] == compact_month(spark, mart, 202503)
+    assert compact_range(spark, mart) == [dt.date(2025, 2, 1)]
+    assert bag(read_mart(spark, mart)) == rows
+
+
+def test_small_days_share_a_task(spark, mart):
+    from lineledger.sinks.table import _bins
+
+    sizes = {dt.date(2025, 1, d): size for d, size in enumerate([70, 10, 30, 20, 90, 60, 10], 1)}
+    bins = _bins(sizes, 100)
+    assert max(bins.values()) == 2  # 290 in three of 100
+    for k in range(3):
+        assert sum(sizes[d] for d, at in bins.items() if at == k) <= 100
+
+
+def hot_day(spark, rows, distinct):
+    """A day's rows in no order, a third of them with one number."""
+    one = mart_frame(spark, "2025-01-01").drop("number", "name")
+    number = F.when(F.col("id") % 3 == 0, "00042").otherwise(F.format_string("%05d", F.xxhash64("id") % distinct))
+    return spark.range(rows).crossJoin(one).withColumn("number", number).withColumn("name", F.sha2(F.col("id").cast("string"), 256))
+
+
+def test_a_number_of_a_hot_day_is_in_one_file(spark, mart):
+    append_mart(hot_day(spark, 20_000, 3000).repartition(12).select(*MART_COLUMNS), mart)
+    append_mart(mart_frame(spark, "2025-01-02"), mart)
+    append_mart(hot_day(spark, 100, 50).select(*MART_COLUMNS), mart)
+    rows, kept = bag(read_mart(spark, mart)), day_files(spark, mart)["2025-01-02"]
+    size = sum(Path(f.removeprefix("file:")).stat().st_size for f in day_files(spark, mart)["2025-01-01"])
+    for _ in range(7):
+        append_mart(mart_frame(spark, "2025-01-01"), mart)
+    rows += Counter({row: 7 * n for row, n in bag(mart_frame(spark, "2025-01-01")).items()})
+    assert compact_range(spark, mart, file_bytes=size // 6) == [dt.date(2025, 1, 1)]
+    files = day_files(spark, mart)
+    assert files["2025-01-02"] == kept
+    assert bag(read_mart(spark, mart)) == rows
+    bounds = []
+    for file in files["2025-01-01"]:
+        group = pq.ParquetFile(file.removeprefix("file:")).metadata
+        at = group.schema.names.index("number")
+        stats = [group.row_group(k).column(at).statistics for k in range(group.num_row_groups)]
+        bounds.append((min(s.min for s in stats), max(s.max for s in stats), group.num_rows))
+    bounds.sort()
+    assert 4 <= len(bounds) <= 9
+    assert all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))  # no overlap but at a border
+    assert max(n for _, _, n in bounds) < 20_000 / 3  # the hot number is cut, too
+    looked_up = spark.table(mart).where("date = DATE '2025-01-01' AND number = '02999'")
+    assert sum(low <= "02999" <= high for low, high, _ in bounds) == 1
+    assert looked_up.select("_metadata.file_path").distinct().count() <= 1
+    assert compact_range(spark, mart, file_bytes=size // 6) == []
+
+
+def test_rows_that_come_during_a_compaction_are_not_lost(spark, mart, monkeypatch):
+    from lineledger.sinks import table as sink
+
+    for _ in range(2):
+        append_mart(mart_frame(spark, "2025-01-01"), mart)
+    plain, asked = sink._stored, []
+
+    def late(*args):
+        asked.append(True)
+        if len(asked) == 2:
+            append_mart(mart_frame(spark, "2025-01-01", price=8.0), mart)
+        return plain(*args)
+
+    monkeypatch.setattr(sink, "_stored", late)
+    with pytest.raises(RuntimeError, match="changed while"):
+        compact_range(spark, mart)
+    assert days(spark, mart) == Counter({"2025-01-01": 3})
+
+
 def test_table_over_existing_days(spark, table):
     location = new_folder(spark, "mart")
     ensure_table(spark, table, location)
