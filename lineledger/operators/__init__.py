@@ -1,5 +1,6 @@
 """Stages of the mart; each takes DataFrames and returns one."""
 
+from lineledger.operators.bloom import blocks_for, bloom_bytes, bloom_filter, maybe_in
 from lineledger.operators.departments import department_hierarchy, department_subtree
 from lineledger.operators.folders import (
     child_folders,
@@ -21,6 +22,9 @@ from lineledger.operators.sales import (
 )
 
 __all__ = [
+    "blocks_for",
+    "bloom_bytes",
+    "bloom_filter",
     "child_folders",
     "credited_to_invoice",
     "credited_to_shipment",
@@ -29,6 +33,7 @@ __all__ = [
     "folder_listing",
     "folder_tree",
     "live_folders",
+    "maybe_in",
     "outgoing_invoices",
     "partner_shipments",
     "product_hierarchy",

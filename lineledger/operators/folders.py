@@ -53,16 +53,18 @@ def folder_tree(
     The depth is bounded, so the tree is one plan of ``max_depth - 1`` equi-joins instead of a recursion that
     runs level by level. In one plan a level is worked out for the result and again for the level below it, unless
     the joins can share their exchanges. A load gives ``stage``, which stores a frame under a name: then the live
-    folders are read once and each level is joined once.
+    folders are read once and each level is joined once. Only levels with a level below are stored; the first is a
+    filter and the last is used once.
     """
     if max_depth < 1:
         raise ValueError("max_depth must be at least 1")
     store = stage or (lambda df, name: df)
     folders = live_folders(nomenclatures)
     folders = store(folders, "folders") if stage else folders
-    levels = [store(root_folders(folders), "level_1")]
+    levels = [root_folders(folders)]
     while len(levels) < max_depth:
-        levels.append(store(child_folders(folders, levels[-1]), f"level_{len(levels) + 1}"))
+        level = child_folders(folders, levels[-1])
+        levels.append(store(level, f"level_{len(levels) + 1}") if len(levels) + 1 < max_depth else level)
     return reduce(DataFrame.unionByName, levels)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -45,17 +46,19 @@ def stage_trees(spark: SparkSession, stage: Stage, sources: Sources, config: Mar
     known: a small one is broadcast and the large side stays where it is, a large one is joined by shuffle.
     """
 
-    @inheritable_thread_target(spark)
-    def units() -> DataFrame:
-        return stage(department_hierarchy(sources.departments, config), "units")
+    units, folders = at_once(
+        spark,
+        lambda: stage(department_hierarchy(sources.departments, config, stage), "units"),
+        lambda: folder_tree(sources.nomenclatures, config.folder_depth, stage),
+    )
+    return Trees(units, folders)
 
-    @inheritable_thread_target(spark)
-    def folders() -> DataFrame:
-        return folder_tree(sources.nomenclatures, config.folder_depth, stage)
 
-    with ThreadPoolExecutor(2) as threads:
-        running = threads.submit(units), threads.submit(folders)
-        return Trees(running[0].result(), running[1].result())
+def at_once(spark: SparkSession, *actions: Callable[[], Any]) -> list[Any]:
+    """Results of actions whose jobs do not depend on each other; the first error is raised when all have ended."""
+    with ThreadPoolExecutor(len(actions)) as threads:
+        running = [threads.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    return [action.result() for action in running]
 
 
 def _sold(sources: Sources, shipped: DataFrame, by_partners: DataFrame, config: MartConfig) -> DataFrame:
@@ -63,31 +66,61 @@ def _sold(sources: Sources, shipped: DataFrame, by_partners: DataFrame, config:
     return changed.unionByName(credited_to_shipment(shipped))
 
 
-def _range_rows(stage: Stage, sources: Sources, start: Day, end: Day, config: MartConfig, trees: Trees) -> DataFrame:
-    """Normalised rows of many days. The shipments are used three times and scanned once."""
+def _shipped(stage: Stage, sources: Sources, start: Day, end: Day, **how: bool) -> DataFrame:
     shipped = shipped_documents(sources.documents, start, end).select(*SHIPPED_COLUMNS)
-    shipped = stage(shipped, "shipped", rebalance=False)
-    by_partners = partner_shipments(shipped, sources.department_roots, config.partner_root)
-    by_partners = stage(by_partners, "by_partners", rebalance=False)
-    credited = label_sales(_sold(sources, shipped, by_partners, config), trees.units, sources.employees, config)
-    catalogue = stage(products(sources, config, trees.folders), "catalogue")
-    return normalize_mart(join_lines(credited, lines_of(sources.document_lines, shipped), catalogue))
+    return stage(shipped, "shipped", **how)
+
 
+def _range_rows(
+    spark: SparkSession, stage: Stage, sources: Sources, start: Day, end: Day, config: MartConfig, trees: Trees | None
+) -> DataFrame:
+    """Normalised rows of many days.
 
-def _day_rows(stage: Stage, sources: Sources, day: Day, config: MartConfig, trees: Trees) -> DataFrame:
+    The shipments are used three times and scanned once. Departments, catalogue and documents are worked out side by
+    side.
+    """
+
+    def units() -> DataFrame:
+        return trees.units if trees else stage(department_hierarchy(sources.departments, config, stage), "units")
+
+    def catalogue() -> DataFrame:
+        folders = trees.folders if trees else folder_tree(sources.nomenclatures, config.folder_depth, stage)
+        return stage(products(sources, config, folders), "catalogue")
+
+    def documents() -> tuple[DataFrame, DataFrame]:
+        shipped = _shipped(stage, sources, start, end, rebalance=False)
+        by_partners = partner_shipments(shipped, sources.department_roots, config.partner_root)
+        by_partners, lines = at_once(
+            spark,
+            lambda: stage(by_partners, "by_partners", rebalance=False),
+            lambda: lines_of(sources.document_lines, shipped, stage),
+        )
+        return _sold(sources, shipped, by_partners, config), lines
+
+    units, catalogue, (sold, lines) = at_once(spark, units, catalogue, documents)
+    credited = label_sales(sold, units, sources.employees, config)
+    return normalize_mart(join_lines(credited, lines, catalogue))
+
+
+def _day_rows(
+    spark: SparkSession, stage: Stage, sources: Sources, day: Day, config: MartConfig, trees: Trees | None
+) -> DataFrame:
     """Normalised rows of one day.
 
-    The day's labelled documents are stored, and then its lines; both are small beside the tables that they come
+    The day's labelled documents are stored, and its lines; both are small beside the tables that they come
     from, and known to be, so the planner broadcasts them and neither the lines nor the catalogue are shuffled. Only
-    the day's products get a path.
+    the day's products get a path. Trees and lines are worked out side by side.
     """
-    shipped = shipped_documents(sources.documents, day, next_day(day)).select(*SHIPPED_COLUMNS)
-    shipped = stage(shipped, "shipped")
+
+    def documents() -> tuple[DataFrame, DataFrame]:
+        shipped = _shipped(stage, sources, day, next_day(day))
+        lines = lines_of(sources.document_lines, shipped, stage)
+        return shipped, stage(lines.join(shipped.select("document_id"), "document_id", "left_semi"), "lines")
+
+    trees, (shipped, lines) = at_once(spark, lambda: trees or stage_trees(spark, stage, sources, config), documents)
     by_partners = partner_shipments(shipped, sources.department_roots, config.partner_root)
     sold = _sold(sources, shipped, by_partners, config)
     credited = stage(label_sales(sold, trees.units, sources.employees, config), "credited")
-    lines = lines_of(sources.document_lines, shipped).join(shipped.select("document_id"), "document_id", "left_semi")
-    lines = stage(lines, "lines")
     catalogue = products(sources, config, trees.folders, lines.select("nomenclature_code"))
     return normalize_mart(join_lines(credited, lines, catalogue))
 
@@ -117,8 +150,7 @@ def run_backfill(
     size = known_bytes(source_bytes, sources.documents, sources.document_lines)
     ensure_table(spark, table, location)
     with staging(spark) as stage, sized_shuffles(spark, size):
-        trees = trees or stage_trees(spark, stage, sources, config)
-        rows = _range_rows(stage, sources, start, end, config, trees)
+        rows = _range_rows(spark, stage, sources, start, end, config, trees)
         if mode == "append":
             rows = rows if sink is None else stage(rows, "rows")
             append_mart(rows, table)
@@ -150,8 +182,7 @@ def run_daily(
     size = known_bytes(source_bytes, sources.documents)
     ensure_table(spark, table, location)
     with staging(spark) as stage, sized_shuffles(spark, size):
-        trees = trees or stage_trees(spark, stage, sources, config)
-        replace_day(_day_rows(stage, sources, day, config, trees), table, day)
+        replace_day(_day_rows(spark, stage, sources, day, config, trees), table, day)
     if compact:
         compact_day(spark, table, day)
     if sink is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +18,20 @@ from lineledger.functions import (
 )
 from lineledger.functions.dates import Day
 from lineledger.operators import (
+    blocks_for,
+    bloom_bytes,
+    bloom_filter,
     department_hierarchy,
     folder_tree,
+    maybe_in,
     product_hierarchy,
     sales,
 )
 from lineledger.schemas import MART_COLUMNS
 from lineledger.sources.tables import Sources
 
+BLOOM_BYTES = 64 * 1024**2  # of a filter that is sent to every executor: some fifty million documents
+
 
 def products(
     sources: Sources, config: MartConfig = MartConfig(), tree: DataFrame | None = None, codes: DataFrame | None = None
@@ -70,17 +78,27 @@ def credited_sales(sources: Sources, start: Day, end: Day, config: MartConfig =
     )
 
 
-def lines_of(document_lines: DataFrame, stored: DataFrame) -> DataFrame:
-    """The lines between the lowest and the highest id of ``stored`` documents; the join that follows is exact.
-
-    Ids grow with time, so the bounds keep most of the largest table out of the scan for a narrow window; they are
-    literals that row-group statistics or a database can use. They are read by a job now and stay what they are, so
-    the documents have to be a stored copy that does not change any more.
+def lines_of(
+    document_lines: DataFrame, stored: DataFrame, stage: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
+    """The lines that may belong to ``stored`` documents; the join that follows is exact.
+
+    They lie between the lowest and the highest id. Where ids grow with time, these bounds keep most of the largest
+    table out of the scan for a narrow window; they are literals that row-group statistics or a database can use.
+    With ``stage``, which stores a frame under a name, a Bloom filter of the ids drops lines of other documents where
+    they are read, in any order of ids, as long as the filter is no larger than :data:`BLOOM_BYTES`. Bounds and filter
+    are worked out now and stay what they are, so the documents have to be a stored copy that does not change any
+    more.
     """
-    lowest, highest = stored.agg(F.min("document_id"), F.max("document_id")).first()
+    ids = stored.select("document_id")
+    lowest, highest, count = ids.agg(F.min("document_id"), F.max("document_id"), F.count("document_id")).first()
     if lowest is None:
         return document_lines.where(F.lit(False))
-    return document_lines.where(F.col("document_id").between(lowest, highest))
+    lines = document_lines.where(F.col("document_id").between(lowest, highest))
+    if stage is None or bloom_bytes(count) > BLOOM_BYTES:
+        return lines
+    blocks = blocks_for(count)
+    return maybe_in(lines, "document_id", stage(bloom_filter(ids, blocks), "bloom"), blocks)
 
 
 def join_lines(credited: DataFrame, lines: DataFrame, catalogue: DataFrame) -> DataFrame:

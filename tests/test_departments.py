@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from contextlib import nullcontext
 
 import pytest
 
 from lineledger.config import MartConfig
 from lineledger.operators import department_hierarchy, department_subtree
+from lineledger.scratch import staging
 from tests.data import DEPARTMENTS, bag, frame
 
 
@@ -58,11 +60,45 @@ def test_root_without_its_parent_is_dropped(spark):
     assert department_hierarchy(frame(spark, "departments", rows)).count() == 0
 
 
+@pytest.mark.parametrize("doubling", [False, True])
 @pytest.mark.parametrize("rows", [[(1, "a", 2), (2, "b", 1)], [(1, "a", 1)], [(1, "a", None), (2, "b", 1), (3, "c", 2), (2, "b", 3)]])
-def test_cycle_ends_in_an_error(spark, rows):
+def test_cycle_ends_in_an_error(spark, rows, doubling):
     looped = frame(spark, "departments", rows)
-    with pytest.raises(Exception, match="cycle of departments"):
-        department_subtree(looped, ids=[1]).collect()
+    with staging(spark) if doubling else nullcontext() as stage, pytest.raises(Exception, match="cycle of departments"):
+        department_subtree(looped, ids=[1], stage=stage).collect()
+
+
+@pytest.mark.parametrize("doubling", [False, True])
+def test_cycle_that_no_root_reaches_is_no_error(spark, doubling):
+    rows = [(1, "a", None), (2, "b", 1), (8, "x", 9), (9, "y", 8), (7, "z", 7)]
+    with staging(spark) if doubling else nullcontext() as stage:
+        found = department_subtree(frame(spark, "departments", rows), ids=[1], stage=stage)
+        assert {r.department_id for r in found.collect()} == {1, 2}
+
+
+def test_deep_chain_by_doubling(spark):
+    """2,000 levels in eleven rounds that add something, and one that does not."""
+    chain = frame(spark, "departments", [(i, f"d{i}", i - 1) for i in range(1, 2001)])
+    names = []
+    with staging(spark) as stage:
+        found = department_subtree(chain, ids=[1, 1500], stage=lambda df, name: names.append(name) or stage(df, name))
+        rows = Counter((r.department_id, r.root_id, r.parent_department_id) for r in found.collect())
+    assert rows == Counter({(i, root, i - 1): 1 for root in (1, 1500) for i in range(root, 2001)})
+    assert len([n for n in names if n.startswith("reached")]) == 1 + 11 + 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_doubling_equals_the_recursion(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, f"d{i}", rng.choice([None, i - 1, *range(i)]) if i else None) for i in range(25)]
+    rows += [(rng.randrange(8, 25), "other", rng.randrange(8)) for _ in range(4)]  # ids with several rows and parents
+    rows += [rows[12], (None, "no id", 3), (99, "lost", 98)]
+    departments = frame(spark, "departments", rows)
+    with staging(spark) as stage:
+        for n, roots in enumerate(({"ids": [0, 3, 5, 12]}, {"parent_ids": [0, 1, 4, 98]})):
+            own = lambda df, name, n=n: stage(df, f"{n}-{name}")
+            found = department_subtree(departments, **roots, stage=own)
+            assert bag(found) == bag(department_subtree(departments, **roots))
 
 
 def test_long_chain(spark):
@@ -111,4 +147,7 @@ def test_hierarchy_on_random_forests(spark, seed):
     rows = [(i, f"d{rng.randrange(12)}", rng.choice([None, *range(i)]) if i else None) for i in range(30)]
     rows += [(rng.randrange(10, 30), f"other {i}", rng.randrange(10)) for i in range(3)]  # repeated ids
     config = MartConfig(section_parent_ids=(0, 1, 2), section_ids=(3, 4, 1), flat_ids=(0, 5, 7))
-    assert bag(department_hierarchy(frame(spark, "departments", rows), config)) == brute_force(rows, config)
+    departments = frame(spark, "departments", rows)
+    assert bag(department_hierarchy(departments, config)) == brute_force(rows, config)
+    with staging(spark) as stage:
+        assert bag(department_hierarchy(departments, config, stage)) == brute_force(rows, config)

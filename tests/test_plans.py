@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lineledger.functions import month_window
-from lineledger.operators import folder_tree, sales_not_changed, shipped_documents
+from lineledger.operators import blocks_for, bloom_filter, folder_tree, maybe_in, sales_not_changed, shipped_documents
 from lineledger.plans import lines_of, mart_rows, sales_mart
 from lineledger.scratch import new_folder, staging
 from lineledger.session import input_bytes, known_bytes, partitions_for, settings, sized_shuffles
@@ -86,12 +86,71 @@ def test_ids_of_stored_documents_bound_the_lines(stored):
     assert "GreaterThanOrEqual(document_id,1)" in lines and "LessThanOrEqual(document_id,1)" in lines
 
 
+def shuffled_bytes(df):
+    """What the exchanges of an executed plan wrote."""
+    df.write.format("noop").mode("overwrite").save()
+    plan, waiting, total = df._jdf.queryExecution().executedPlan(), [], 0
+    df.collect()
+    waiting.append(plan)
+    while waiting:
+        node = waiting.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            waiting.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            waiting.append(node.plan())
+        else:
+            if name == "ShuffleExchangeExec":
+                total += node.metrics().apply("shuffleBytesWritten").value()
+            children = node.children()
+            waiting += [children.apply(k) for k in range(children.size())]
+    return total
+
+
+def test_a_bloom_filter_drops_lines_where_they_are_read(spark):
+    """Documents with ids in no order of time: bounds drop nothing, the filter nearly all that does not match."""
+    folder = new_folder(spark, "lines")
+    lines = spark.range(200_000).select(
+        (F.xxhash64("id") % 5000).alias("document_id"), F.col("id").alias("nomenclature_code"), F.lit(1.0).alias("nomenclature_price_total")
+    )
+    lines.write.parquet(f"{folder}/lines")
+    few = spark.range(5000).select((F.xxhash64("id") % 5000).alias("document_id")).distinct().where("abs(document_id) % 25 = 3")
+    few.write.parquet(f"{folder}/documents")
+    lines, documents = (spark.read.parquet(f"{folder}/{name}") for name in ("lines", "documents"))
+    with staging(spark) as stage, settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plain, reduced = lines_of(lines, documents), lines_of(lines, documents, stage)
+        plan = planned(reduced)
+        assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "Exchange hashpartitioning" not in plan
+        joined = [of.join(documents, "document_id") for of in (plain, reduced)]
+        assert bag(joined[0]) == bag(joined[1]) != {}
+        assert plain.count() > 190_000 and reduced.count() < 1.1 * joined[0].count()
+        assert shuffled_bytes(joined[1]) < shuffled_bytes(joined[0]) / 8
+
+
+def test_a_large_bloom_filter_is_not_sent(spark, stored, monkeypatch):
+    monkeypatch.setattr("lineledger.plans.mart.BLOOM_BYTES", 10)
+    with staging(spark) as stage:
+        lines = lines_of(stored.document_lines, shipped_documents(stored.documents, START, END), stage)
+        assert "Join" not in planned(lines)
+
+
+@pytest.mark.parametrize("ids", [0, 1, 7, 3000])
+def test_a_bloom_filter_forgets_no_id(spark, ids):
+    values = spark.range(ids).select(F.xxhash64("id").alias("id"))
+    blocks = blocks_for(ids)
+    bloom = bloom_filter(values.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS id")), blocks)
+    assert bag(maybe_in(values, "id", bloom, blocks)) == bag(values)
+    others = spark.range(10**6, 10**6 + 20_000).select(F.xxhash64("id").alias("id"))
+    assert maybe_in(others, "id", bloom, blocks).count() < 20_000 / 40
+    assert maybe_in(spark.sql("SELECT CAST(NULL AS BIGINT) AS id"), "id", bloom, blocks).count() == 0
+
+
 def test_a_load_joins_each_folder_level_once(spark, stored):
     with staging(spark) as stage:
         joins = []
         counted = lambda df, name: joins.append(planned(df).count("Join")) or stage(df, name)
         tree = folder_tree(stored.nomenclatures, 4, counted)
-        assert joins == [0, 0, 1, 1, 1] and "Join" not in planned(tree)
+        assert joins == [0, 1, 1] and planned(tree).count("Join") == 1
         assert bag(tree.select("nomenclature_id", "level")) == bag(folder_tree(stored.nomenclatures, 4).select("nomenclature_id", "level"))
 
 
