@@ -1,7 +1,7 @@
 """Line-level sales mart on Spark."""
 
 from lineledger.config import MartConfig
-from lineledger.plans import normalize_mart, run_backfill, run_daily, sales_mart
+from lineledger.plans import normalize_mart, run_backfill, run_corrections, run_daily, sales_mart
 from lineledger.sources import Sources, load_sources
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "load_sources",
     "normalize_mart",
     "run_backfill",
+    "run_corrections",
     "run_daily",
     "sales_mart",
 ]

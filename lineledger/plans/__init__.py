@@ -1,6 +1,6 @@
 """The mart as a whole and the jobs that load it."""
 
-from lineledger.plans.jobs import Trees, run_backfill, run_daily, stage_trees
+from lineledger.plans.jobs import Trees, differing_days, run_backfill, run_corrections, run_daily, stage_trees
 from lineledger.plans.mart import (
     credited_sales,
     join_lines,
@@ -15,6 +15,7 @@ from lineledger.plans.mart import (
 __all__ = [
     "Trees",
     "credited_sales",
+    "differing_days",
     "join_lines",
     "label_sales",
     "lines_of",
@@ -22,6 +23,7 @@ __all__ = [
     "normalize_mart",
     "products",
     "run_backfill",
+    "run_corrections",
     "run_daily",
     "sales_mart",
     "stage_trees",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -22,10 +23,22 @@ from lineledger.operators import (
     partner_shipments,
     shipped_documents,
 )
-from lineledger.plans.mart import join_lines, label_sales, lines_of, normalize_mart, products
+from lineledger.plans.mart import join_lines, label_sales, lines_of, mart_rows, normalize_mart, products
+from lineledger.schemas import MART_COLUMNS
 from lineledger.scratch import Stage, staging
 from lineledger.session import known_bytes, sized_shuffles
-from lineledger.sinks.table import append_mart, compact_day, ensure_table, read_mart, replace_day, replace_range
+from lineledger.sinks.table import (
+    append_mart,
+    append_once,
+    committed_loads,
+    compact_day,
+    day_digests,
+    ensure_table,
+    read_mart,
+    replace_day,
+    replace_days,
+    replace_range,
+)
 from lineledger.sources.tables import Sources
 
 SHIPPED_COLUMNS = ("sbis_shipment_date", "document_id", "number", "department_id", "employee_id")
@@ -138,22 +151,32 @@ def run_backfill(
     source_bytes: int | None = None,
     trees: Trees | None = None,
     sink: Callable[[DataFrame], None] | None = None,
+    load: str | None = None,
 ) -> None:
     """Loads ``[start, end)``. ``append`` adds rows, also a second time; ``replace`` can be run again.
 
+    With a name for the ``load``, ``append`` adds its rows once, however often it is run, and ``sink`` gets them when
+    they are added.
     ``source_bytes`` is the size of the largest source table, for sources whose size the planner does not know.
     ``sink`` takes the rows after the table has them, as for a copy in a database: the rows that were loaded, read
     back from the table when replacing, and the load's own rows when appending.
     """
     if mode not in ("append", "replace"):
         raise ValueError("mode is 'append' or 'replace'")
+    if load is not None and mode != "append":
+        raise ValueError("only an appending load needs a name")
     size = known_bytes(source_bytes, sources.documents, sources.document_lines)
     ensure_table(spark, table, location)
+    if load is not None and load in committed_loads(spark, table):
+        return
     with staging(spark) as stage, sized_shuffles(spark, size):
         rows = _range_rows(spark, stage, sources, start, end, config, trees)
         if mode == "append":
             rows = rows if sink is None else stage(rows, "rows")
-            append_mart(rows, table)
+            if load is None:
+                append_mart(rows, table)
+            elif not append_once(rows, table, load):
+                return
         else:
             replace_range(rows, table, start, end)
             rows = read_mart(spark, table).where(in_window(F.col("date"), start, end))
@@ -187,3 +210,46 @@ def run_daily(
         compact_day(spark, table, day)
     if sink is not None:
         sink(read_mart(spark, table).where(F.col("date") == F.lit(as_day(day))))
+
+
+def differing_days(
+    spark: SparkSession, sources: Sources, table: str, start: Day, end: Day, *, config: MartConfig = MartConfig()
+) -> list[dt.date]:
+    """Days in ``[start, end)`` of which the table does not hold what the sources now give.
+
+    Each side is reduced to a digest per day, over all its rows: a late correction of a document, line or name
+    shows in the days that it touches, and how the rows are stored does not matter. Only a row per day leaves the tasks.
+    """
+    start, end = as_day(start), as_day(end)
+    months = F.col("yyyymm").between(start.year * 100 + start.month, end.year * 100 + end.month)
+    held = spark.table(table).where(months & in_window(F.col("date"), start, end)).select(*MART_COLUMNS)
+    given = normalize_mart(mart_rows(sources, start, end, config))
+    sides = [day_digests(rows).withColumnsRenamed({"rows": f"rows{k}", "digest": f"digest{k}"}) for k, rows in enumerate((held, given))]
+    joined = sides[0].join(sides[1], "date", "full_outer")
+    same = F.col("rows0").eqNullSafe(F.col("rows1")) & F.col("digest0").eqNullSafe(F.col("digest1"))
+    return sorted(row["date"] for row in joined.where(~same).select("date").collect())
+
+
+def run_corrections(
+    spark: SparkSession,
+    sources: Sources,
+    table: str,
+    start: Day,
+    end: Day,
+    *,
+    config: MartConfig = MartConfig(),
+    source_bytes: int | None = None,
+    trees: Trees | None = None,
+) -> list[dt.date]:
+    """Replaces the days in ``[start, end)`` whose sources have changed since they were loaded; returns them.
+
+    All other days keep their files. The days are replaced at once.
+    """
+    size = known_bytes(source_bytes, sources.documents, sources.document_lines)
+    ensure_table(spark, table)
+    with staging(spark) as stage, sized_shuffles(spark, size):
+        days = differing_days(spark, sources, table, start, end, config=config)
+        if days:
+            rows = _range_rows(spark, stage, sources, days[0], next_day(days[-1]), config, trees)
+            replace_days(rows.where(F.col("date").isin(days)), table, days)
+    return days

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +27,14 @@ from lineledger.sinks.versions import (
     literal,
     new_version,
     note_days,
+    noted_days,
     point,
     quoted,
 )
 
 PARTITION_COLUMNS = ("yyyymm", "date")
 COMPACTED_BYTES = 512 * 1024**2  # of stored rows that make one compacted file
+_LOAD = "lineledger.load."  # and the load's name: a parameter of the days that got rows from it
 _DATA_COLUMNS = tuple(c for c in MART_COLUMNS if c != "date")
 _TYPES: dict[str, DataType] = {**{f.name: f.dataType for f in MART_SCHEMA}, "yyyymm": IntegerType()}
 
@@ -110,7 +112,7 @@ def _laid_out(df: DataFrame, written: Observation | None = None) -> DataFrame:
     out = out.hint("rebalance", *PARTITION_COLUMNS)
     if written is not None:
         # Above the rebalance: below it, an empty result would be planned away together with the metric.
-        out = out.observe(written, F.collect_set("date").alias("days"))
+        out = out.observe(written, F.collect_set("date").alias("days"), F.count("*").alias("rows"))
     return out.sortWithinPartitions(*PARTITION_COLUMNS, "number")
 
 
@@ -128,18 +130,70 @@ def append_mart(df: DataFrame, table: str) -> None:
     ).write.insertInto(table)
 
 
+def append_once(df: DataFrame, table: str, load: str) -> bool:
+    """Adds the rows of a load unless it has been added before; returns whether it did.
+
+    The ledger of loads is part of the days' entries in the catalog and changes in the one call that makes the new rows
+    visible. So a load that is cut off at any point has added all its rows or none, and running it again under the
+    same name adds what is missing: all or nothing. Days that had rows before are stored again with the new ones;
+    rows that others add to these days meanwhile fail the load and not get lost.
+    """
+    spark = df.sparkSession
+    ensure_table(spark, table)
+    if load in committed_loads(spark, table):
+        return False
+    written, version = Observation(), new_version(spark, table)
+    try:
+        _laid_out(df, written).write.partitionBy(*PARTITION_COLUMNS).parquet(version)
+        days, rows = written.get["days"], written.get["rows"]
+        old = F.col("date").isin(days) & F.col("yyyymm").isin(sorted({d.year * 100 + d.month for d in days}))
+        before = _stored(spark, table, old) if days else {}
+        if before:
+            held = spark.table(table).where(old).hint("rebalance", *PARTITION_COLUMNS)
+            held = held.sortWithinPartitions(*PARTITION_COLUMNS, "number")
+            held.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(version)
+        if days and _stored(spark, table, old) != before:
+            raise RuntimeError(f"rows of the days of load {load} changed while it was stored")
+    except Exception:
+        delete_folder(spark, version)
+        raise
+    if days:
+        _switch(spark, table, version, days, days, {f"{_LOAD}{load}": f"{rows} rows, {min(days)} to {max(days)}"})
+    return True
+
+
+def committed_loads(spark: SparkSession, table: str) -> dict[str, str]:
+    """Names of the loads that :func:`append_once` has added, with the number of their rows and their window.
+
+    A load is known as long as one of its days has a partition.
+    """
+    return {load: next(iter(days.values())) for load, days in noted_days(spark, table, _LOAD).items()}
+
+
+def day_digests(rows: DataFrame) -> DataFrame:
+    """``(date, rows, digest)`` of mart rows: equal for equal bags of rows of a day, in any order and layout."""
+    columns = [F.col(c) for c in MART_COLUMNS]
+    sums = [F.sum(F.xxhash64(F.lit(salt), *columns).cast("decimal(38,0)")).cast("string") for salt in (0, 1)]
+    return rows.groupBy("date").agg(F.count("*").alias("rows"), F.concat_ws(":", *sums).alias("digest"))
+
+
 def loaded_days(spark: SparkSession, table: str) -> list[dt.date]:
     """Days that have a partition; a list of names from the catalog, no data is read."""
     return sorted(folders(spark, table))
 
 
 def _switch(
-    spark: SparkSession, table: str, version: str, replaced: Iterable[dt.date], with_rows: Iterable[dt.date]
+    spark: SparkSession,
+    table: str,
+    version: str,
+    replaced: Iterable[dt.date],
+    with_rows: Iterable[dt.date],
+    noted: Mapping[str, str] | None = None,
 ) -> None:
     """Makes a stored version the rows of the days that it replaces, all at once."""
     replaced, with_rows = set(replaced), set(with_rows)
     note_days(spark, version, replaced, with_rows)
-    point(spark, table, {day: day_folder(version, day) for day in replaced})
+    point(spark, table, {day: day_folder(version, day) for day in replaced}, noted)
     drop_days(spark, table, replaced - with_rows)
 
 
@@ -151,12 +205,22 @@ def replace_range(df: DataFrame, table: str, start: Day, end: Day) -> None:
     cut off at any point leaves all old rows or all new ones; running it again gives the table of a load that was
     not. The old rows stay on disk until :func:`~lineledger.sinks.versions.remove_old_versions`.
     """
+    start, end = as_day(start), as_day(end)
+    window = in_window(F.col("date"), start, end)
+    _replace(df, table, window, f"[{start}, {end})", lambda day: start <= day < end)
+
+
+def replace_days(df: DataFrame, table: str, days: Iterable[dt.date]) -> None:
+    """As :func:`replace_range`, for single days."""
+    days = sorted(days)
+    _replace(df, table, F.col("date").isin(days), "the days to replace", set(days).__contains__)
+
+
+def _replace(df: DataFrame, table: str, inside: Column, where: str, belongs: Callable[[dt.date], bool]) -> None:
     spark = df.sparkSession
     ensure_table(spark, table)
-    start, end = as_day(start), as_day(end)
-    outside = F.concat(F.lit(f"date outside [{start}, {end}): "), F.col("date").cast("string"))
-    inside = F.col("date").isNull() | in_window(F.col("date"), start, end)
-    checked = df.withColumn("date", F.when(inside, F.col("date")).otherwise(_failing(outside)))
+    outside = F.concat(F.lit(f"date outside {where}: "), F.col("date").cast("string"))
+    checked = df.withColumn("date", F.when(F.col("date").isNull() | inside, F.col("date")).otherwise(_failing(outside)))
     written, version = Observation(), new_version(spark, table)
     try:
         _laid_out(checked, written).write.partitionBy(*PARTITION_COLUMNS).parquet(version)
@@ -164,8 +228,7 @@ def replace_range(df: DataFrame, table: str, start: Day, end: Day) -> None:
         delete_folder(spark, version)
         raise
     days = written.get["days"]
-    before = [day for day in loaded_days(spark, table) if start <= day < end]
-    _switch(spark, table, version, {*before, *days}, days)
+    _switch(spark, table, version, {*filter(belongs, loaded_days(spark, table)), *days}, days)
 
 
 def replace_day(df: DataFrame, table: str, day: Day) -> None:

@@ -71,21 +71,24 @@ def folders(spark: SparkSession, table: str) -> dict[dt.date, str]:
     return {day: entry.location().toString() for day, entry in _partitions(spark, table)[2].items()}
 
 
-def _moved(spark: SparkSession, entry, folder: str):
-    """The catalog's entry of a day with another folder; all else stays."""
+def _moved(spark: SparkSession, entry, folder: str, noted: Mapping[str, str]):
+    """The catalog's entry of a day with another folder and more parameters; all else stays."""
 
     def rest(case, first: int) -> list:
         return [getattr(case, f"copy$default${k}")() for k in range(first, case.productArity() + 1)]
 
-    storage = entry.storage()
+    storage, parameters = entry.storage(), entry.parameters()
     storage = storage.copy(spark._jvm.scala.Option.apply(_path(spark, folder).toUri()), *rest(storage, 2))
-    return entry.copy(entry.spec(), storage, *rest(entry, 3))
+    for name, value in noted.items():
+        parameters = parameters.updated(name, value)
+    return entry.copy(entry.spec(), storage, parameters, *rest(entry, 4))
 
 
-def point(spark: SparkSession, table: str, to: Mapping[dt.date, str]) -> None:
+def point(spark: SparkSession, table: str, to: Mapping[dt.date, str], noted: Mapping[str, str] | None = None) -> None:
     """Makes each day's rows those in its folder: all days in one catalog call, so that readers see all or none.
 
-    Days that have no partition yet get one first, with a folder where nothing is.
+    Days that have no partition yet get one first, with a folder where nothing is. ``noted`` becomes part of each
+    day's parameters in the same call.
     """
     known = _partitions(spark, table)[2]
     new = sorted(set(to) - set(known))
@@ -96,12 +99,24 @@ def point(spark: SparkSession, table: str, to: Mapping[dt.date, str]) -> None:
     catalog, name, known = _partitions(spark, table)
     moved = spark._jvm.java.util.ArrayList()
     for day in sorted(to):
-        moved.add(_moved(spark, known[day], to[day]))
+        moved.add(_moved(spark, known[day], to[day], noted or {}))
     if to:
         catalog.alterPartitions(name, spark._jvm.scala.jdk.javaapi.CollectionConverters.asScala(moved).toSeq())
     spark.catalog.refreshTable(quoted(table))
 
 
+def noted_days(spark: SparkSession, table: str, prefix: str) -> dict[str, dict[dt.date, str]]:
+    """Parameters of days whose names begin with ``prefix``: the rest of the name, and the value by day."""
+    found: dict[str, dict[dt.date, str]] = {}
+    for day, entry in _partitions(spark, table)[2].items():
+        names = entry.parameters().keysIterator()
+        while names.hasNext():
+            name = names.next()
+            if name.startswith(prefix):
+                found.setdefault(name.removeprefix(prefix), {})[day] = entry.parameters().apply(name)
+    return found
+
+
 def note_days(spark: SparkSession, version: str, replaced: Iterable[dt.date], with_rows: Iterable[dt.date]) -> None:
     """Writes down which days a version replaces, before it does."""
     held = set(with_rows)

@@ -211,6 +211,8 @@ ORACLES: dict[str, str] = {
     "month_partition_roundtrip": _sql(f"SELECT * FROM clean WHERE {_IN_MONTH}"),
     "compact_roundtrip": _sql(_CLEAN),
     "reconcile_roundtrip": _sql(_CLEAN),
+    "append_once_roundtrip": _sql(f"SELECT * FROM clean UNION ALL SELECT * FROM clean WHERE date = DATE '{DAY}'"),
+    "corrections_roundtrip": _sql(_CLEAN),
     "compact_month_roundtrip": _sql(_TWICE),
     "number_lookup_roundtrip": _sql(
         f"SELECT * FROM ({_TWICE}) twice WHERE (date, number) IN (SELECT (date, max(number)) FROM clean GROUP BY date)"

@@ -9,7 +9,7 @@ from zlib import crc32
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineledger import normalize_mart, run_backfill, run_daily, sales_mart
+from lineledger import normalize_mart, run_backfill, run_corrections, run_daily, sales_mart
 from lineledger.config import UNKNOWN, UNKNOWN_SECTION
 from lineledger.functions import department_group, label_or, month_window, next_day, short_name, yyyymm
 from lineledger.operators import (
@@ -313,5 +313,26 @@ def number_lookup_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(last, ["date", "number"], "left_semi").select(*MART_COLUMNS)
 
 
+@query
+def append_once_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window appended under a name three times, beside a day that was there before; every row is there once more."""
+    src, mart = test_sources(spark, sf_dir), _table(spark, "append_once_roundtrip", sf_dir)
+    run_backfill(spark, src, start=DAY, end=next_day(DAY), config=CONFIG, mode="append", **mart)
+    for _ in range(3):
+        run_backfill(spark, src, start=START, end=END, config=CONFIG, mode="append", load="first", **mart)
+    return read_mart(spark, mart["table"])
+
+
+@query
+def corrections_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window loaded while a day's documents were not there yet, and corrected when they are."""
+    src, mart = test_sources(spark, sf_dir), _table(spark, "corrections_roundtrip", sf_dir)
+    early = test_sources(spark, sf_dir)
+    early.documents = src.documents.where(F.col("sbis_shipment_date") != F.lit(DAY))
+    run_backfill(spark, early, start=START, end=END, config=CONFIG, **mart)
+    run_corrections(spark, src, mart["table"], START, END, config=CONFIG)
+    return read_mart(spark, mart["table"])
+
+
 # A trailing underscore only keeps a query apart from the operator it calls.
 QUERIES = {name.rstrip("_"): function for name, function in QUERIES.items()}

@@ -1,16 +1,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import json
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 
-from lineledger import normalize_mart, run_backfill, run_daily, sales_mart
+from lineledger import normalize_mart, run_backfill, run_corrections, run_daily, sales_mart
 from lineledger.plans import stage_trees
 from lineledger.scratch import staging
-from lineledger.sinks import append_mart, read_mart
+from lineledger.sinks import append_mart, append_once, committed_loads, compact_range, day_digests, ensure_table, read_mart
 from tests.data import END, LINES, START, bag, edge_sources, mart_frame
 
 
@@ -99,6 +101,84 @@ def test_daily_replaces_its_day_only(spark, src, expected, table):
     assert bag(read_mart(spark, table)) == expected
 
 
+def files_by_day(spark, table):
+    rows = spark.table(table).select("date", "_metadata.file_path").distinct().collect()
+    return {day: {r.file_path for r in rows if r.date == day} for day in {r.date for r in rows}}
+
+
+def test_late_corrections_change_their_days_only(spark, src, expected, table):
+    """A price changes, a shipment is deleted and put back, a day is lost and another one too much."""
+    run_backfill(spark, src, table, START, END, source_bytes=10**6)
+    assert run_corrections(spark, src, table, START, END, source_bytes=10**6) == []
+    before = files_by_day(spark, table)
+    changed = edge_sources(spark, documents_tabular_part=[(*line[:2], 77.0) if line == (11, 700, 7.0) else line for line in LINES])
+    deleted = edge_sources(spark)
+    deleted.documents = deleted.documents.withColumn("deleted", F.when(F.col("document_id") == 11, 1).otherwise(F.col("deleted")))
+    day = dt.date(2025, 3, 19)
+    for late in (changed, deleted):
+        assert run_corrections(spark, late, table, START, END, source_bytes=10**6) == [day]
+        assert bag(read_mart(spark, table)) == bag(normalize_mart(sales_mart(late, START, END)))
+        after = files_by_day(spark, table)
+        assert {d: f for d, f in after.items() if d != day} == {d: f for d, f in before.items() if d != day}
+    spark.sql(f"ALTER TABLE {table} DROP PARTITION (yyyymm = 202503, date = DATE '2025-03-15')")
+    append_mart(mart_frame(spark, "2025-04-01"), table)  # a day that the sources do not have
+    assert run_corrections(spark, src, table, START, END, source_bytes=10**6) == [dt.date(2025, 3, 15), day, dt.date(2025, 4, 1)]
+    assert bag(read_mart(spark, table)) == expected
+
+
+def test_digests_do_not_depend_on_the_layout(spark):
+    rows = mart_frame(spark, "2025-01-01", "2025-01-01", "2025-01-02", price=float("nan"))
+    other = rows.repartition(3).orderBy(F.desc("number"))
+    assert bag(day_digests(rows)) == bag(day_digests(other))
+    assert bag(day_digests(rows)) != bag(day_digests(rows.withColumn("number", F.lit("x"))))
+    twice = {r.date: r for r in day_digests(rows.unionByName(rows)).collect()}
+    assert twice[dt.date(2025, 1, 1)].rows == 4
+
+
+@pytest.mark.parametrize(
+    "step, after", [("table._stored", False), ("table.note_days", True), ("versions._moved", False), ("table.point", True)]
+)
+def test_a_named_load_adds_its_rows_once(spark, src, expected, table, monkeypatch, step, after):
+    """Cut off at any step and run again, beside rows that were there before."""
+    there = mart_frame(spark, "2025-03-15", "2025-12-31")
+    ensure_table(spark, table)
+    append_mart(there, table)
+    module = importlib.import_module(f"lineledger.sinks.{step.partition('.')[0]}")
+    plain = getattr(module, step.partition(".")[2])
+
+    def broken(*args):
+        if after:
+            plain(*args)
+        raise OSError("lost")
+
+    rows = normalize_mart(sales_mart(src, START, END))
+    with monkeypatch.context() as patch:
+        patch.setattr(module, step.partition(".")[2], broken)
+        with pytest.raises(OSError, match="lost"):
+            append_once(rows, table, "march")
+    both = expected + bag(there)
+    assert bag(read_mart(spark, table)) in (bag(there), both)
+    added = bag(read_mart(spark, table)) == both
+    assert append_once(rows, table, "march") is not added
+    assert append_once(rows, table, "march") is False
+    assert bag(read_mart(spark, table)) == both
+    assert list(committed_loads(spark, table)) == ["march"]
+
+
+def test_named_loads(spark, src, expected, table):
+    for load in ("a", "a", "b", "a"):
+        run_backfill(spark, src, table, START, END, mode="append", source_bytes=10**6, load=load)
+    assert bag(read_mart(spark, table)) == Counter({row: 2 * n for row, n in expected.items()})
+    loads = committed_loads(spark, table)
+    assert sorted(loads) == ["a", "b"] and loads["a"].startswith(f"{sum(expected.values())} rows, 2025-")
+    compact_range(spark, table)
+    run_backfill(spark, src, table, START, END, source_bytes=10**6)
+    assert sorted(committed_loads(spark, table)) == ["a", "b"]  # what replaces rows does not forget their loads
+    assert append_once(mart_frame(spark), table, "empty") is True
+    with pytest.raises(ValueError, match="appending"):
+        run_backfill(spark, src, table, START, END, source_bytes=10**6, load="c")
+
+
 def test_day_that_lost_its_sales(spark, src, expected, table):
     run_backfill(spark, src, table, START, END, source_bytes=10**6)
     without = edge_sources(spark, documents_tabular_part=[line for line in LINES if line[0] != 11])
