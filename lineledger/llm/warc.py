@@ -6,6 +6,7 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from lineledger.llm.shared import Staged, ship_package, spark_to_arrow
 
 LEAST_REVISIT = 1000  # bytes from which equal payloads are stored once
-PAGES_PER_FILE = 20_000
+# Payloads of up to so many bytes share a file with so many others: a file holds some 300 MB before compression, or a
+# single long payload.
+FILES = ((1 << 14, 20_000), (1 << 18, 1_250), (1 << 22, 80), (1 << 26, 5), (1 << 62, 1))
 _FLUSH = 8 << 20  # bytes of payloads and blocks that a reader gathers before it hands rows on
 _CRLF = "\r\n"
 HEADS = ("response", "revisit", "resource")
@@ -144,8 +147,14 @@ def write_warc(
         F.concat(F.lit("payload-length: "), F.col("n").cast("string"), F.lit(_CRLF)),
     )
     text = F.explode(F.array(request, F.when(again, revisit).otherwise(response), metadata)).alias("value")
-    writer = rows.select(text).write.option("lineSep", "\n").option("compression", "gzip")
-    writer.option("maxRecordsPerFile", 3 * PAGES_PER_FILE).text(folder)
+    # the writer counts records, so payloads of different sizes go to files of their own
+    size = F.lit(len(FILES) - 1)
+    for k in reversed(range(len(FILES) - 1)):
+        size = F.when(F.col("n") <= FILES[k][0], k).otherwise(size)
+    found = captures(pages, id_col, url_col, html_col).select(size.alias("k")).distinct().collect()
+    for (k,) in sorted(found) or [(0,)]:
+        writer = rows.where(size == k).select(text).write.mode("append").option("lineSep", "\n").option("compression", "gzip")
+        writer.option("maxRecordsPerFile", 3 * FILES[k][1]).text(folder)
 
 
 # --- reading ---------------------------------------------------------------------------------------------------
@@ -293,25 +302,40 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = False) -> D
 # --- assembling ------------------------------------------------------------------------------------------------
 
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One row per capture: ``capture_id``, ``record_type``, and the structs ``head``, ``request`` and ``metadata``.
+def members_of(records: DataFrame, staged: Staged) -> DataFrame:
+    """``(member, head_id)``: which records belong to which capture, by concurrent-to ids in chains of any length.
 
-    A capture is a response, revisit or resource record. Other records belong to it if they are concurrent to it,
-    if it is concurrent to them, or if they are concurrent to a record that belongs to it. Of several requests or
-    metadata records that with the smallest id is shown and ``n_requests`` and ``n_metadata`` count them. Records
-    that repeat an id count once. ``records`` is read several times, so it should be a stored table.
+    A round adds what is concurrent to the records that the round before added; the first one that adds nothing is
+    the last. Records of a usual archive name their capture, which takes one round and an empty one.
     """
     is_head = F.col("record_type").isin(*HEADS)
     heads = records.where(is_head).select(F.col("record_id").alias("head_id")).distinct()
     linked = records.select("record_id", is_head.alias("head"), F.explode("concurrent_to").alias("to"))
     ahead = linked.where("NOT head").select(F.col("record_id").alias("member"), "to")
     back = linked.where("head").select(F.col("to").alias("member"), F.col("record_id").alias("to"))
-    links = ahead.unionByName(back).join(heads.withColumnRenamed("head_id", "member"), "member", "left_anti")
-    direct = links.join(heads, F.col("to") == F.col("head_id")).select("member", "head_id").distinct()
-    via = direct.select(F.col("member").alias("to"), "head_id")
-    second = links.join(via, "to").select("member", "head_id")
-    members = direct.unionByName(second).unionByName(heads.select(F.col("head_id").alias("member"), "head_id"))
-    members = members.distinct()
+    links = ahead.unionByName(back).join(heads.withColumnRenamed("head_id", "member"), "member", "left_anti").distinct()
+    links = staged(links, "links")
+    new = links.join(heads, F.col("to") == F.col("head_id")).select("member", "head_id")
+    members = heads.select(F.col("head_id").alias("member"), "head_id")
+    for step in count(1):
+        new = staged(new, f"members-{step}")
+        members = members.unionByName(new)
+        via = new.select(F.col("member").alias("to"), "head_id")
+        new = links.join(via, "to").select("member", "head_id").distinct().join(members, ["member", "head_id"], "left_anti")
+        if new.isEmpty():
+            return members
+
+
+def assemble(records: DataFrame, staged: Staged | None = None) -> DataFrame:
+    """One row per capture: ``capture_id``, ``record_type``, and the structs ``head``, ``request`` and ``metadata``.
+
+    A capture is a response, revisit or resource record. Other records belong to it if they are concurrent to it,
+    if it is concurrent to them, or if they are concurrent to a record that belongs to it. Of several requests or
+    metadata records that with the smallest id is shown and ``n_requests`` and ``n_metadata`` count them. Records
+    that repeat an id count once, but for the capture itself: ``n_heads`` says how many records have its id.
+    ``records`` is read several times, so it should be a stored table.
+    """
+    members = members_of(records, staged or Staged(records.sparkSession, "assembly"))
     row = F.struct(*(c for c in records.columns))
     own = records.select(F.col("record_id").alias("member"), "record_type", row.alias("record")).join(members, "member")
     role = F.when(F.col("member") == F.col("head_id"), "head").otherwise(F.col("record_type"))
@@ -321,15 +345,16 @@ def assemble(records: DataFrame) -> DataFrame:
         one = F.col("role") == kind
         return F.min_by(F.when(one, F.col("record")), F.when(one, F.col("member")))
 
-    def count(kind: str) -> Column:
+    def number(kind: str) -> Column:
         return F.count_distinct(F.when(F.col("role") == kind, F.col("member")))
 
     grouped = own.groupBy(F.col("head_id").alias("capture_id")).agg(
         first("head").alias("head"),
         first("request").alias("request"),
         first("metadata").alias("metadata"),
-        count("request").alias("n_requests"),
-        count("metadata").alias("n_metadata"),
+        number("request").alias("n_requests"),
+        number("metadata").alias("n_metadata"),
+        F.count_if(F.col("role") == "head").alias("n_heads"),
     )
     return grouped.withColumn("record_type", F.col("head.record_type"))
 
@@ -337,18 +362,19 @@ def assemble(records: DataFrame) -> DataFrame:
 def archive_and_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes the pages to archives in the shared folder and returns their assembled captures, read back.
 
-    Rows that repeat a page's id, URL and payload are one capture. Pages with the same id and another URL or
-    payload are captures of their own.
+    Rows that repeat a page's id, URL and payload are one capture with as many heads. Pages with the same id and
+    another URL or payload are captures of their own.
     """
     staged = Staged(pages.sparkSession, "warc")
     write_warc(pages, f"{staged.folder}/archives", staged, id_col, url_col, html_col)
-    return assemble(staged(read_warc(pages.sparkSession, f"{staged.folder}/archives"), "records"))
+    return assemble(staged(read_warc(pages.sparkSession, f"{staged.folder}/archives"), "records"), staged)
 
 
 def page_digests(assembled: DataFrame) -> DataFrame:
-    """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` of captures that this module wrote."""
+    """``(page_id, payload_bytes, payload_digest, record_type, refers_to)`` per page that this module wrote."""
     told = F.col("metadata.fields")["payload-length"].cast("bigint")
-    return assembled.select(
+    copies = F.explode(F.array_repeat(F.lit(1), F.col("n_heads").cast("int")))
+    return assembled.withColumn("copy", copies).select(
         page_of(F.col("capture_id")).alias("page_id"),
         F.coalesce("head.payload_bytes", told).alias("payload_bytes"),
         F.col("head.payload_digest").alias("payload_digest"),

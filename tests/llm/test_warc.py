@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 
 import duckdb
 import pytest
@@ -37,7 +38,9 @@ def test_copies_and_odd_rows(spark):
     rows = [(1, "http://a/x y\n", long), (5, "http://b", long), (3, None, long), (7, "u", "short"), (8, "u", "short")]
     rows += [(9, "u", None), (10, "u", ""), (11, "u", trap), (12, "u", trap), (12, "u", trap), (None, "u", long), (None, "v", "z")]
     odd = spark.createDataFrame(rows, "page_id int, url string, html string").selectExpr("*", "1 AS n", "2 AS sha1", "3 AS kept")
-    found = {(r.page_id, r.payload_digest): r for r in page_digests(archive_and_read(odd)).collect()}
+    back = page_digests(archive_and_read(odd)).collect()
+    assert len(back) == len(rows)
+    found = {(r.page_id, r.payload_digest): r for r in back}
     sha = lambda t: hashlib.sha1((t or "").encode()).hexdigest()
     expected = {
         (1, sha(long)): (1200, "revisit", 5), (5, sha(long)): (1200, "response", None), (3, sha(long)): (1200, "revisit", 5),
@@ -49,6 +52,31 @@ def test_copies_and_odd_rows(spark):
     assert page_digests(archive_and_read(odd.where("false"))).collect() == []
 
 
+def test_repeated_rows_equal_sql(spark, tmp_path):
+    """A third of all rows is one row, others are there a few times."""
+    rows = [(1, "http://a", "copy " * 300)] * 200 + [(2, "http://b", "copy " * 300)] + [(3, "u", "short")] * 3
+    rows += [(n, f"http://h/{n}", f"page {n} " * 200) for n in range(10, 300)] * 2 + [(4, None, None)] * 2
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    expected = con.execute(ORACLES["op2_warc"]).fetchall()
+    found = QUERIES["op2_warc"](spark, str(tmp_path)).collect()
+    assert len(found) == len(rows) and sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr("lineledger.llm.warc.FILES", ((100, 10), (1000, 2), (1 << 62, 1)))
+    rows = [(n, "http://a/", "x" * size) for n, size in enumerate([20, 100] * 30 + [900, 1000] * 9 + [5000] * 4)]
+    staged = Staged(spark, "t")
+    write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), f"{staged.folder}/a", staged)
+    records = read_warc(spark, f"{staged.folder}/a")
+    assert records.where("record_type <> 'request' AND record_type <> 'metadata'").count() == len(rows)
+    files = [gzip.decompress(bytes(r.content)) for r in spark.read.format("binaryFile").load(f"{staged.folder}/a").collect()]
+    for file in files:
+        longest = max(map(len, re.findall(b"x+", file)))
+        assert file.count(b"WARC-Type: metadata") <= (10 if longest <= 100 else 2 if longest <= 1000 else 1)
+
+
 def test_payloads_round_trip(spark):
     staged = Staged(spark, "t")
     pages = spark.read.parquet(f"{SF}/pages.parquet").limit(20)
@@ -90,6 +118,7 @@ def test_links_of_all_shapes(spark):
         ("h1", "response", ["q1"]), ("q1", "request", []), ("m1", "metadata", ["q1"]),  # head names the request
         ("h2", "revisit", []), ("q2", "request", ["h2"]), ("m2", "metadata", ["q2"]), ("n2", "metadata", ["h2"]),
         ("h3", "resource", []), ("q9", "request", ["gone"]), ("i", "warcinfo", []), ("h3", "resource", []),
+        ("h4", "response", []), ("q4", "request", ["h4", "c1"]), *((f"c{k}", "metadata", [f"c{k + 1}"]) for k in range(6)), ("c6", "metadata", ["q4"]),
     ]
     frame = spark.createDataFrame(rows, "record_id string, record_type string, concurrent_to array<string>")
     found = {r.capture_id: r for r in assemble(frame).collect()}
@@ -98,4 +127,6 @@ def test_links_of_all_shapes(spark):
         "h1": ("response", "q1", "m1", 1, 1),
         "h2": ("revisit", "q2", "m2", 1, 2),
         "h3": ("resource", None, None, 0, 0),
+        "h4": ("response", "q4", "c0", 1, 7),  # a chain of seven, which is a ring, too
     }
+    assert {k: r.n_heads for k, r in found.items()} == {"h1": 1, "h2": 1, "h3": 2, "h4": 1}
