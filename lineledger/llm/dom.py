@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from html import unescape
 
 # Element names of HTML.
@@ -30,7 +31,7 @@ SIBLINGS = {  # a start tag closes an open element of these, unless one of the c
     "tfoot": (("thead", "tbody", "tfoot"), ("table",)),
     "option": (("option",), ("select", "datalist")),
 }
-DEPTH = 200  # elements nested deeper are read as inline: their text stays, in the block around them
+_CELLS = ("table", "td", "th", "caption", "template", "object")  # an end tag inside one closes nothing outside it
 
 _TOKEN = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
@@ -73,11 +74,15 @@ def parse(html: str, marked=lambda tag, attributes: False) -> Node:
     """
     root = Node("#root", {})
     stack, at, end = [root], 0, len(html)
+    opened: Counter[str] = Counter()  # open elements by name, so that no deep nest is searched in vain
 
     def close(depth: int) -> None:
+        opened.subtract(node.tag for node in stack[depth:])
         del stack[depth:]
 
-    def open_at(names, barriers=("table", "td", "th", "caption", "template", "object")) -> int | None:
+    def open_at(names, barriers=_CELLS) -> int | None:
+        if not any(opened[name] for name in names):
+            return None
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in names:
                 return k
@@ -108,7 +113,7 @@ def parse(html: str, marked=lambda tag, attributes: False) -> Node:
         if closing:
             if name == "p" and open_at(("p",)) is None:
                 stack[-1].items.append(" ")
-            barriers = () if name in ("html", "body", "table") else ("table", "td", "th", "caption", "template", "object")
+            barriers = () if name in ("html", "body", "table") else _CELLS
             if name in ("td", "th", "tr", "tbody", "thead", "tfoot", "caption"):
                 barriers = ("table",)
             if name in HEADINGS:
@@ -126,20 +131,21 @@ def parse(html: str, marked=lambda tag, attributes: False) -> Node:
             at = last.end() if last else end
             continue
         own = attributes(source) if source and not source.isspace() else {}
-        if (name in INLINE and not marked(name, own)) or len(stack) > DEPTH:
+        if name in INLINE and not marked(name, own):
             continue
-        if name in CLOSES_P and (depth := open_at(("p",), ("table", "td", "th", "caption", "template", "object", "button"))) is not None:
+        if name in CLOSES_P and (depth := open_at(("p",), (*_CELLS, "button"))) is not None:
             close(depth)
         if name in HEADINGS and stack[-1].tag in HEADINGS:
             close(len(stack) - 1)
         if name in SIBLINGS and (depth := open_at(*SIBLINGS[name])) is not None:
             close(depth)
-        if name in ("html", "body") and any(n.tag == name for n in stack):
+        if name in ("html", "body") and opened[name]:
             continue
         node = Node(name, own)
         stack[-1].items.append(node)
         stack[-1].children.append(node)
         stack.append(node)
+        opened[name] += 1
     return root
 
 
@@ -162,18 +168,30 @@ def _table(a: Node, b: Node, score) -> list[list[int]]:
     return rows
 
 
-def matches(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    """Pairs of nodes in a largest order-keeping top-down match of both trees, whose roots count as alike."""
+def _scores(a: Node, b: Node) -> Callable[[Node, Node], int]:
+    """Nodes in a largest match of any two nodes that may meet in a match of both trees, however deep they are."""
     known: dict[tuple[int, int], int] = {}
 
     def score(x: Node, y: Node) -> int:
-        if not x.children or not y.children:
-            return 1
-        key = (id(x), id(y))
-        if key not in known:
-            known[key] = 1 + _table(x, y, score)[-1][-1]
-        return known[key]
+        return known[id(x), id(y)] if x.children and y.children else 1
+
+    waiting = [(a, b, False)]
+    while waiting:
+        x, y, below_known = waiting.pop()
+        if (id(x), id(y)) in known:
+            continue
+        if below_known:
+            known[id(x), id(y)] = 1 + _table(x, y, score)[-1][-1]
+            continue
+        waiting.append((x, y, True))
+        inner = [child for child in y.children if child.children]
+        waiting += [(i, j, False) for i in x.children if i.children for j in inner if i.tag == j.tag]
+    return score
+
 
+def matches(a: Node, b: Node) -> list[tuple[Node, Node]]:
+    """Pairs of nodes in a largest order-keeping top-down match of both trees, whose roots count as alike."""
+    score = _scores(a, b)
     out, waiting = [], [(a, b)]
     while waiting:
         x, y = waiting.pop()

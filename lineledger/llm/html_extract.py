@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from lineledger.llm.dom import HEADINGS, INLINE, Node, matches, parse
 from lineledger.llm.shared import Staged, map_batches
 
-LEAST_PAGES = 3  # pages besides the reference that have to align with a node before it can be template
-CONSTANT = 0.8  # share of them with the same text from which it is
+SHAPE_PAGES = 3  # a shape with more different pages has a reference of its own
+CONSTANT = 0.8  # share of the pages that align with a node, with the same text, from which it is template
+NEAR_COPY = 0.5  # of a page's text: a page that shares more with the reference tells nothing about the template
 LEAST_REFERENCE = 200  # bytes; shorter pages are errors and redirects more often than not
 ARTICLE = ("article", "main")
 CONTAINERS = r"<(/?(?:body|div|main|article|section|nav|header|footer|aside|form|table|ul|ol|dl))(?=[\s/>])"
@@ -35,6 +36,12 @@ COMMENT_WORDS = frozenset("comment comments commentlist respond replies disqus d
 PROSE = HEADINGS | INLINE | frozenset("p blockquote pre figure figcaption li dt dd td th caption".split())
 DRAWN = frozenset("svg math".split())
 COMMENT_LISTS = COMMENT_WORDS - {"discussion"}
+AD_NAMES = frozenset(["adsbygoogle"])
+# Words that say nothing of their own in a name: a name of these and words for what is not the article is such a one.
+NEUTRAL = frozenset(
+    "list lists area section thread threads user users reader readers box wrapper wrap container block slot unit item "
+    "items feed form widget posts links articles buttons button icons bar row panel holder zone region count".split()
+)
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -47,16 +54,27 @@ def _by_state(own: dict[str, str]) -> bool:
     return own.get("role", "").lower() in ASIDE_ROLES or "hidden" in own or own.get("aria-hidden", "").lower() == "true"
 
 
+def _names(names: str, words: frozenset[str]) -> bool:
+    """Whether one of the names is made of ``words`` and neutral ones, as ``comments-area`` and ``adSlot`` are."""
+    for name in names.split():
+        parts = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+        if any(p in words for p in parts) and all(p in words or p in NEUTRAL for p in parts):
+            return True
+    return False
+
+
 def _lists_comments(own: dict[str, str]) -> bool:
-    return bool({*own.get("class", "").lower().split(), own.get("id", "").lower()} & COMMENT_LISTS)
+    return _names(f"{own.get('class', '')} {own.get('id', '')}", COMMENT_LISTS)
 
 
 def _aside_inside(tag: str, own: dict[str, str]) -> bool:
-    """As :func:`_marked_aside` for what is inside an article: a word that is part of a name is no evidence there."""
+    """As :func:`_marked_aside` for what is inside an article: one word among others in a name is no evidence there."""
     if not own or _by_state(own):
         return bool(own)
-    named = set(own.get("class", "").lower().split())
-    return tag not in PROSE and (bool(named & (ASIDE_WORDS | COMMENT_WORDS)) or _lists_comments(own))
+    named = own.get("class", "")
+    if AD_NAMES & set(named.lower().split()):
+        return True
+    return tag not in PROSE and (_names(named, ASIDE_WORDS | COMMENT_WORDS) or _lists_comments(own))
 
 
 def _marked_aside(tag: str, own: dict[str, str]) -> bool:
@@ -187,8 +205,8 @@ def shape_of(html: Column) -> Column:
 def shapes(rows: DataFrame, staged: Staged) -> DataFrame:
     """``(host, shape, main)``: the shapes that have a reference of their own, and each host's most frequent one.
 
-    A shape has one if more different pages have it than a node has to align with. Pages of other shapes are
-    aligned with the host's main one. Only counts are grouped by host.
+    A shape has one if more than a few different pages have it. Pages of other shapes are aligned with the host's
+    main one. Only counts are grouped by host.
     """
     size = F.octet_length("html")
     counts = rows.groupBy("host", "shape").agg(
@@ -198,7 +216,7 @@ def shapes(rows: DataFrame, staged: Staged) -> DataFrame:
     )
     counts = staged(counts, "shapes")
     main = counts.groupBy("host").agg(F.max(F.struct("long", "n", -F.col("least"), "shape"))["shape"].alias("main"))
-    return staged(counts.join(main, "host").where(f"n > {LEAST_PAGES} OR shape = main").select("host", "shape", "main"), "chosen")
+    return staged(counts.join(main, "host").where(f"n > {SHAPE_PAGES} OR shape = main").select("host", "shape", "main"), "chosen")
 
 
 def assigned(rows: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -213,8 +231,9 @@ def wrappers(pages: DataFrame, staged: Staged, id_col: str, url_col: str, html_c
     """``(host, shape, reference, template)``: a page per host and shape, and which of its nodes have a constant text.
 
     Also gives the shapes. Every page is aligned with one reference, a short page of its own shape or of its host's
-    main one, so the work per page does not depend on the host's size or the number of its layouts. Counts are
-    summed per batch, per task and in total; a host with a third of all pages is as many rows of pages as any
+    main one, so the work per page does not depend on the host's size or the number of its layouts. A page that
+    is nearly a copy of the reference tells its text and its template not apart and does not count; of other pages a
+    single one is evidence. Counts are summed per batch, per task and in total; a host with a third of all pages is as many rows of pages as any
     others and a few numbers per batch.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
@@ -233,12 +252,16 @@ def wrappers(pages: DataFrame, staged: Staged, id_col: str, url_col: str, html_c
             if html == reference:
                 continue
             root, number, known = trees(reference)
-            for own, other in matches(tree(html), root):
-                at = number[id(other)]
+            own_root = tree(html)
+            pairs = [(number[id(other)], own.text()) for own, other in matches(own_root, root)]
+            shared = sum(len(text) for at, text in pairs if text == known[at])
+            if shared > NEAR_COPY * sum(len(node.text()) for node in own_root.nodes()):
+                continue
+            for at, text in pairs:
                 if known[at]:
                     cell = counts[host, shape, at]
                     cell[0] += 1
-                    cell[1] += own.text() == known[at]
+                    cell[1] += text == known[at]
         keys = list(counts)
         yield {
             "host": [k[0] for k in keys],
@@ -252,7 +275,7 @@ def wrappers(pages: DataFrame, staged: Staged, id_col: str, url_col: str, html_c
     schema = "host string, shape bigint, node int, matched bigint, equal bigint"
     counted = map_batches(assigned(rows, chosen).join(short, ["host", "shape"]), kinds, batch, schema)
     totals = counted.groupBy("host", "shape", "node").agg(F.sum("matched").alias("matched"), F.sum("equal").alias("equal"))
-    fixed = totals.where((F.col("matched") >= LEAST_PAGES) & (F.col("equal") >= CONSTANT * F.col("matched")))
+    fixed = totals.where(F.col("equal") >= CONSTANT * F.col("matched"))
     fixed = fixed.groupBy("host", "shape").agg(F.collect_list("node").alias("template"))
     return staged(short.join(fixed, ["host", "shape"], "left"), "wrappers"), chosen
 

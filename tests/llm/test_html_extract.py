@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from functools import cache
 from html import unescape
 import re
@@ -63,6 +64,59 @@ def test_names_alone_drop_no_article_text(html, expected):
     assert text_of(html) == expected
 
 
+@pytest.mark.parametrize("name", ["comment-list", "comments-area", "user-comments", "comment-thread", "commentList", "comments"])
+def test_comment_lists_go(name):
+    page = "<article><p>a</p><{t} {by}='x {n}'><div class=c><p>reader {k}</p></div></{t}><h2 id='related-work'>b</h2></article>"
+    for tag, by in (("div", "class"), ("ol", "class"), ("section", "id")):
+        own = page.replace("x {n}" if by == "id" else "{n}", name).format(t=tag, by=by, n=name, k=1)
+        assert text_of(own) == "a b"
+
+
+@pytest.mark.parametrize("name", ["ad-slot", "adsbygoogle", "social-share", "related-posts", "share-buttons", "newsletter-form"])
+def test_adverts_and_boxes_go(name):
+    assert text_of(f"<article><p>a</p><div class='{name}'>no</div><p class='notice'>b</p></article>") == "a b"
+    assert text_of(f"<article class='{name}'><p>a</p></article>") == "a"
+
+
+@pytest.mark.parametrize("name", ["related-work", "social-sciences", "comments-open", "share-price", "user-list", "category-discussion"])
+def test_sections_that_are_content_stay(name):
+    assert text_of(f"<article><p>a</p><div class='{name}'>b</div></article>") == "a b"
+
+
+@pytest.mark.parametrize("deep", [150, 195, 198, 1000, 5000])
+def test_deep_nests_keep_what_comes_after(deep):
+    nest = "<div>" * deep + "deep<nav>no</nav>" + "</div>" * deep
+    html = f"<nav>menu</nav><div><article><p>head</p>{nest}<p>tail</p></article><div class='comments'>no</div></div>"
+    assert text_of(html) == "head deep tail"
+    assert text_of(f"{'<div>' * deep}<nav>menu</nav><article>a</article>{'</div>' * deep}<p>out") == "a"
+    a, b = parse(html), parse(html.replace("tail", "end"))
+    assert len(matches(a, b)) == len(list(a.nodes()))
+
+
+def test_a_long_nest_takes_no_long_time():
+    started = time.process_time()
+    assert text_of("<li><div><span>" * 60_000 + "x") == "x"
+    assert text_of("<ul><li>" * 60_000 + "x" + "<p>y</b></i>" * 60_000) == "x" + " y" * 60_000
+    assert time.process_time() - started < 20
+
+
+@pytest.mark.parametrize("pages", [2, 3, 4, 9])
+@pytest.mark.parametrize("slot", ["div", "article"])
+def test_small_hosts_have_a_template(spark, pages, slot):
+    rng = random.Random(pages)
+    rows = []
+    for i in range(pages):
+        words = " ".join(rng.choice("abcdefgh") * 3 for _ in range(40 + i))
+        block = "<div>A site notice</div>" if slot == "article" else ""
+        html = f"<body><div>My blog</div><{slot}>{block}<p>{words}</p></{slot}><div>All rights <b>reserved</b> here</div>"
+        rows.append((i, "http://small.example/", html, words))
+    copy = ("word " * 60).strip()  # near copies are no evidence: all that they share is not template
+    for i in range(pages):
+        rows.append((20 + i, "http://copies.example/", f"<body><{slot}><p>{copy}</p><p>number {i}</p></{slot}>", f"{copy} number {i}"))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, expected string").repartition(4)
+    assert {r.page_id: r.text for r in extract(frame).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_deep_and_long_pages():
     assert text_of("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
     assert text_of("<article>" + "<p>word " * 50000) == "word " * 49999 + "word"
