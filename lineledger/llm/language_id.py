@@ -15,7 +15,6 @@ from lineledger.llm.shared import map_batches
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3)  # lengths of the n-grams
 BUCKETS = 1 << 16
-MOST_LANGUAGES = 200  # the model has at most this many times BUCKETS numbers; more labels are an error
 _PIECE = 1 << 20  # code points that are hashed at once
 _SPACE, _BREAK = 32, 0xFFFFFFFF
 _WORDLIKE = re.compile(r"[^\W\d_]")
@@ -108,7 +107,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", smoot
     """Fits the model on every row with a language and a text.
 
     N-grams are counted per batch in numpy, per task and in total by Spark; what reaches the driver is a row of
-    :data:`BUCKETS` numbers per language, whatever the number of rows.
+    :data:`BUCKETS` numbers of 32 bits per language, whatever the number of rows: 256 KB for each label.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
 
@@ -129,17 +128,17 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", smoot
     counted = map_batches(known, {text_col: "string", lang_col: "string"}, count, "lang string, bucket int, n bigint")
     per_bucket = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     by_language = per_bucket.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))
-    rows = by_language.orderBy("lang").limit(MOST_LANGUAGES + 1).toArrow().combine_chunks()
-    if len(rows) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    counts, sizes = np.zeros((len(rows), BUCKETS)), np.zeros(len(rows))
-    for k, cells in enumerate(rows["cells"]):
-        bucket, n = (np.asarray(part) for part in cells.values.flatten())
-        counts[k, bucket[bucket >= 0]] = n[bucket >= 0]
-        sizes[k] = n[bucket < 0].sum()
-    smoothed = counts + smoothing
-    log_probs = np.log(smoothed / smoothed.sum(axis=1, keepdims=True)).astype(np.float32)
-    return Model(rows["lang"].to_pylist(), log_probs, np.log(sizes / max(1, sizes.sum())))
+    names, log_probs, sizes = [], [], []
+    for row in by_language.orderBy("lang").toLocalIterator(prefetchPartitions=True):
+        counts = np.full(BUCKETS, smoothing)
+        cells = np.array(row["cells"], np.int64)
+        known_cells = cells[cells[:, 0] >= 0]
+        counts[known_cells[:, 0]] += known_cells[:, 1]
+        names.append(row["lang"])
+        log_probs.append(np.log(counts / counts.sum()).astype(np.float32))
+        sizes.append(int(cells[cells[:, 0] < 0, 1].sum()))
+    sizes = np.array(sizes, float)
+    return Model(names, np.array(log_probs, np.float32).reshape(-1, BUCKETS), np.log(sizes / max(1, sizes.sum())))
 
 
 def identify(docs: DataFrame, model: Model, *carried: Column, text_col: str = "text") -> DataFrame:

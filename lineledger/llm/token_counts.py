@@ -14,6 +14,7 @@ from lineledger.llm.shared import map_batches
 SPACE = "▁"  # stands for a space in the vocabulary and begins every word
 UNKNOWN_PENALTY = 10.0  # fixed value: how far an unknown character scores below the worst piece
 _REMEMBERED = 500_000  # words whose counts a worker keeps
+_LONGEST_REMEMBERED = 64  # code points; longer words are worked out each time
 
 
 class Counter(dict):
@@ -39,9 +40,11 @@ class Counter(dict):
             raise ValueError("byte fallback needs a piece for every byte")
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        n = self[word] = self.count(SPACE + word)
+        n = self.count(SPACE + word)
+        if len(word) <= _LONGEST_REMEMBERED:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[word] = n
         return n
 
     def count(self, word: str) -> int:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -38,6 +40,51 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_bayes(rows, smoothing=0.5):
+    """Predictions text by text and n-gram by n-gram, in doubles."""
+
+    def grams(text):
+        return [bucket for _, part in features([text]) for bucket in part.tolist()]
+
+    known = [(text, lang) for _, text, lang, held in rows if lang is not None and text is not None and not held]
+    counts, sizes = {}, Counter(lang for _, lang in known)
+    for text, lang in known:
+        counts.setdefault(lang, Counter()).update(grams(text))
+    out = []
+    for i, text, _, held in rows:
+        if not text or not any(c.isalpha() for c in text):
+            out.append((i, held, "und", 0.0))
+            continue
+        joint = {}
+        for lang in sorted(counts):
+            total = sum(counts[lang].values()) + smoothing * language_id.BUCKETS
+            joint[lang] = math.log(sizes[lang] / len(known))
+            joint[lang] += sum(math.log((counts[lang][b] + smoothing) / total) for b in grams(text))
+        best = max(joint, key=joint.get)
+        out.append((i, held, best, 1 / sum(math.exp(v - joint[best]) for v in joint.values())))
+    return sorted(out)
+
+
+def test_equals_plain_bayes(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 250")
+    # short texts, whose scores are not all near one, and labels of four languages and of none
+    short = F.udf(lambda t: t and t.strip()[:2], "string")
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(short("text")))
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", held_out()).collect()]
+    expected, found = plain_bayes(rows), sorted(tuple(r) for r in languages(docs).collect())
+    assert [r[:3] for r in found] == [r[:3] for r in expected]
+    assert np.allclose([r[3] for r in found], [r[3] for r in expected], atol=2e-3)
+    assert sum(r[3] < 0.99 for r in expected) >= 10
+
+
+def test_any_number_of_languages(spark):
+    words = ["".join(chr(97 + (n * k) % 26) for k in (1, 3, 7, 11)) + f" {chr(0x4E00 + n)}" for n in range(600)]
+    rows = [(n, words[n], f"l{n:03}") for n in range(600) if zlib.crc32(str(n).encode()) % 3 != 1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in languages(docs).collect()} == {n: lang for n, _, lang in rows}
+    assert len(rows) > 300
+
+
 def test_labels_and_ids_do_not_matter_for_held_out_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     changed = docs.withColumn("lang", F.when(held_out(), "xx").otherwise(F.col("lang"))).withColumn("source", F.lit("s"))

@@ -45,6 +45,9 @@ def test_cache_is_bounded(monkeypatch):
     own = Counter((("a", -1.0),), False)
     assert [own.of_text("a" * n) for n in range(10)] == [0, *range(2, 11)]
     assert len(own) <= 3
+    words = ["x" * 64, "日" * 65, "y" * 20_000]
+    assert [own.of_text(w) for w in words * 2] == [own.count("▁" + w) for w in words * 2]
+    assert set(own) & set(words) == {words[0]}  # bounded in bytes, too
 
 
 def test_query_equals_the_library(spark):
