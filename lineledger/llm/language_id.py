@@ -129,14 +129,14 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", smoot
     per_bucket = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     by_language = per_bucket.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))
     names, log_probs, sizes = [], [], []
-    for row in by_language.orderBy("lang").toLocalIterator(prefetchPartitions=True):
+    rows = by_language.orderBy("lang").toArrow().combine_chunks()
+    for lang, cells in zip(rows["lang"].to_pylist(), rows["cells"], strict=True):
+        bucket, n = (np.asarray(part) for part in cells.values.flatten())
         counts = np.full(BUCKETS, smoothing)
-        cells = np.array(row["cells"], np.int64)
-        known_cells = cells[cells[:, 0] >= 0]
-        counts[known_cells[:, 0]] += known_cells[:, 1]
-        names.append(row["lang"])
+        counts[bucket[bucket >= 0]] += n[bucket >= 0]
+        names.append(lang)
         log_probs.append(np.log(counts / counts.sum()).astype(np.float32))
-        sizes.append(int(cells[cells[:, 0] < 0, 1].sum()))
+        sizes.append(int(n[bucket < 0].sum()))
     sizes = np.array(sizes, float)
     return Model(names, np.array(log_probs, np.float32).reshape(-1, BUCKETS), np.log(sizes / max(1, sizes.sum())))
 
