@@ -15,7 +15,7 @@ from lineledger.llm.shared import Staged, map_batches
 from lineledger.llm.tokens import encoder
 
 Pattern = tuple[int, ...]
-BINS = 1024  # a length's pieces are numbered in that many bins, so that a frequent length has no large group
+PIECES_PER_BIN = 1 << 14  # that are numbered together: some 64 MB with their ids, whatever the number of pieces
 PARTNERS = 6  # second documents that are tried for each length when patterns are enumerated
 _STEPS = 1500  # of the least-squares fit
 
@@ -183,25 +183,41 @@ def pieces(
     return map_batches(docs, {id_col: "bigint", text_col: "string"}, batch, schema)
 
 
-def place(pieces: DataFrame, size: int, staged: Staged, order: list[str]) -> DataFrame:
+def bins(histogram: np.ndarray, per_bin: int = PIECES_PER_BIN) -> list[tuple[int, int]]:
+    """In how many bins the pieces of each length are numbered; a frequent length has as many as its pieces need."""
+    return [(int(n), -(-int(histogram[n]) // per_bin)) for n in np.flatnonzero(histogram)]
+
+
+def place(pieces: DataFrame, size: int, staged: Staged, number: str, per_bin: int = PIECES_PER_BIN) -> DataFrame:
     """``pieces``, a stored table with a ``length`` of 1 to ``size``, with ``sequence_id`` and ``offset``.
 
-    Only the histogram reaches the driver: at most ``size`` numbers. The plan that comes back is broadcast: it has a
-    row per length with some ten thousand slots in all, whatever the number of pieces. Pieces of a length are numbered in bins, and the bins' totals
-    give the first number of each, so that a length which a third of all pieces have is no large group.
+    ``number`` is a column of different numbers, none negative, which the result lacks; they have to be stored, so that a
+    task that runs again finds the same ones. Only the histogram reaches the driver: at most ``size`` numbers. The plan that comes back is broadcast: it has a
+    row per length with some ten thousand slots in all, whatever the number of pieces.
+
+    Pieces of ``size`` are sequences by themselves, with negative numbers, and go nowhere. The others are numbered in
+    bins of about ``per_bin`` pieces of a length, and the bins' totals give the first number of each, so neither a
+    frequent length nor repeated rows are a large group.
     """
-    counts = pieces.groupBy("length").count().collect()
+    spark, counts = pieces.sparkSession, pieces.groupBy("length").count().collect()
     histogram = np.zeros(size + 1, np.int64)
     for row in counts:
         histogram[row["length"]] = row["count"]
-    slots = Slots.of(plan(histogram, size)).table(pieces.sparkSession)
-    mark = F.pmod(F.xxhash64(*order), F.lit(BINS)).cast("int")
-    binned = pieces.select(F.struct("*").alias("__row"), "length", mark.alias("__bin"), *(F.col(c).alias(f"__{c}") for c in order))
+    own = [c for c in pieces.columns if c != number]
+    alone = [(-1 - F.col(number)).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")]
+    full = pieces.where(F.col("length") == size).select(*own, *alone)
+    histogram[size] = 0
+    slots = Slots.of(plan(histogram, size)).table(spark)
+    per_length = F.broadcast(spark.createDataFrame(bins(histogram, per_bin), "length bigint, bins bigint"))
+    rest = pieces.where(F.col("length") < size)
+    binned = rest.select(F.struct(*own).alias("__row"), "length", F.col(number).alias("__number"))
+    mark = F.pmod(F.xxhash64("__number"), F.col("bins")).alias("__bin")
+    binned = binned.join(per_length, "length").select("*", mark).drop("bins")
     totals = binned.groupBy("length", "__bin").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     totals = staged(totals.select("length", "__bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "totals")
-    own = Window.partitionBy("length", "__bin").orderBy(*(f"__{c}" for c in order))
-    ranked = binned.withColumn("rank", F.row_number().over(own) - 1).join(totals, ["length", "__bin"])
+    within = Window.partitionBy("length", "__bin").orderBy("__number")
+    ranked = binned.withColumn("rank", F.row_number().over(within) - 1).join(totals, ["length", "__bin"])
     ranked = ranked.select("__row", "length", (F.col("rank") + F.col("before")).alias("rank"))
     slot = F.size(F.filter("starts", lambda s: s <= F.col("rank")))
     placed = ranked.join(F.broadcast(slots), "length").withColumn("slot", slot)
@@ -210,7 +226,7 @@ def place(pieces: DataFrame, size: int, staged: Staged, order: list[str]) -> Dat
         (F.element_at("sequences", F.col("slot")) + F.col("rank") - F.element_at("starts", F.col("slot"))).alias("sequence_id"),
         F.element_at("offsets", F.col("slot")).alias("offset"),
     )
-    return placed.select("__row.*", "sequence_id", "offset")
+    return placed.select("__row.*", "sequence_id", "offset").unionByName(full)
 
 
 def pack(
@@ -228,8 +244,9 @@ def pack(
     repeated rows are packed each for itself.
     """
     staged = Staged(docs.sparkSession, "packing")
-    cut_up = staged(pieces(docs, tokenizer, end_id, size, id_col, text_col, keep_ids), "pieces")
-    return place(cut_up, size, staged, [id_col, "piece", "ids_crc32"])
+    cut_up = pieces(docs, tokenizer, end_id, size, id_col, text_col, keep_ids)
+    cut_up = staged(cut_up.withColumn("__piece", F.monotonically_increasing_id()), "pieces")
+    return place(cut_up, size, staged, "__piece")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

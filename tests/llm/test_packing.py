@@ -10,8 +10,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from lineledger.llm.packing import Slots, best_fit, cut, nnls, pack, plan, sequences
+from lineledger.llm.packing import Slots, best_fit, bins, cut, nnls, pack, place, plan, sequences
 from lineledger.llm.queries import QUERIES
+from lineledger.llm.shared import Staged
 from lineledger.llm.tokens import Encoder
 
 SF = "/root/testdata/sf0.001"
@@ -139,3 +140,28 @@ def test_odd_tables_and_round_trip(spark):
     pieces = sorted(packed.where("doc_id = 4").collect(), key=lambda r: r.piece)
     assert [i for r in pieces for i in r.ids] == [*TOKENIZER.encode("w " * 5000, add_special_tokens=False).ids, 2]
     assert pack(odd.where("false"), SPEC).collect() == []
+
+
+def test_bins_follow_the_histogram():
+    assert bins(np.array([0, 5, 0, 10**9 + 1]), 1000) == [(1, 1), (3, 10**6 + 1)]
+    assert bins(np.zeros(3, np.int64)) == []
+
+
+@pytest.mark.parametrize("per_bin", [1, 7, 10**6])
+def test_places_in_any_number_of_bins(spark, per_bin):
+    """Rows that are equal in all columns and a length that most rows have; full pieces are not shuffled."""
+    staged = Staged(spark, "places")
+    lengths = [3] * 400 + [7] * 90 + [10] * 60 + [1, 2, 9]
+    rows = spark.createDataFrame([(None, 0, n) for n in lengths], "doc_id long, piece int, length long").repartition(6)
+    rows = staged(rows.selectExpr("*", "monotonically_increasing_id() AS n"), "pieces")
+    found = place(rows, 10, staged, "n", per_bin)
+    assert found.columns == ["doc_id", "piece", "length", "sequence_id", "offset"]
+    by_sequence = defaultdict(list)
+    for r in found.collect():
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    assert sorted(n for v in by_sequence.values() for _, n in v) == sorted(lengths)
+    for v in by_sequence.values():
+        assert [o for o, _ in sorted(v)] == np.cumsum([0, *(n for _, n in sorted(v))])[:-1].tolist()
+        assert sum(n for _, n in v) <= 10
+    assert len(by_sequence) <= 1.01 * plain_best_fit(lengths, 10) + 1
+    assert sum(v == [(0, 10)] for v in by_sequence.values()) == 60
