@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineledger.llm.shared import Staged
+from lineledger.operators import blocks_for, bloom_bytes, bloom_filter, maybe_in
 
+FILTER_BYTES = 64 * 1024**2  # of a filter that is sent to every executor: some fifty million texts
 WINDOW = 13  # words that have to agree
 GRAM = 8  # words of a fingerprint
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -81,6 +83,19 @@ def _agreeing() -> tuple[str, str]:
     return agree, hits
 
 
+def _with_pairs(rows: DataFrame, pairs: DataFrame, staged: Staged) -> DataFrame:
+    """``rows`` without most of those that have no pair; the filter drops them where they are read.
+
+    Beyond :data:`FILTER_BYTES` there is no filter, and the join that follows drops them after its shuffle.
+    """
+    marks = pairs.select("met_mark").distinct()
+    count = marks.count()
+    if bloom_bytes(count) > FILTER_BYTES:
+        return rows
+    blocks = blocks_for(count)
+    return maybe_in(rows, "mark", staged(bloom_filter(marks, blocks), "filter"), blocks)
+
+
 def _of_same_row(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
     same = rows["id"].eqNullSafe(found["met_id"]) & (rows["mark"] == found["met_mark"])
     return rows.join(found, same, how).drop("met_id", "met_mark")
@@ -140,7 +155,8 @@ def contamination(
     pairs = pairs.join(items.withColumnRenamed("words", "item_words"), ["item", "item_mark"])
     pairs = staged(pairs, "pairs")
     # always by shuffle: the texts that have pairs grow with the input, and so does this join's share of the work
-    both = _of_same_row(rows, pairs.hint("merge"), "inner").withColumn("split", words(F.col("text"))).drop("text")
+    near = _with_pairs(rows, pairs, staged)
+    both = _of_same_row(near, pairs.hint("merge"), "inner").withColumn("split", words(F.col("text"))).drop("text")
     both = _once(both, words="split").drop("split")
     both = both.selectExpr("id", "mark", "item", "words", "item_words", f"explode({_shifts()}) AS shift")
     agree, hits = _agreeing()
