@@ -16,7 +16,7 @@ from lineledger.llm.copies import (
     union_of,
     with_spans,
 )
-from lineledger.llm.shared import map_batches
+from lineledger.llm.shared import Staged, map_batches
 
 REACH = 3  # a cut's hash is the least among that many possible cuts on both sides
 LONGEST = 12  # possible cuts after which there is one in any case
@@ -100,9 +100,13 @@ def _keys(texts: list[bytes]):
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Spans of the rows of :func:`~lineledger.llm.copies.documents` that an earlier document has, per document."""
+    """Spans of the rows of :func:`~lineledger.llm.copies.documents` that an earlier document has, per document.
+
+    They are stored: keys are shuffled into partitions by the size of the input, and the planner of the join with the
+    texts knows how few or many spans there are.
+    """
     parts = parts_for(text_bytes(docs) // 30)
-    return spans_by_document(earlier_copies(docs, _keys, parts))
+    return Staged(docs.sparkSession, "chunks")(spans_by_document(earlier_copies(docs, _keys, parts)), "spans")
 
 
 def _is_passage(run: bytes, least_words: int) -> bool:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -16,23 +19,60 @@ from lineledger.session import settings
 
 
 ROWS_AT_ONCE = 2048  # of an Arrow batch that a function gets, so that what it makes of them stays small
+TASK_BYTES = 128 * 1024**2  # of stored input for each partition of a shuffle, as many as a scan's task has
+_NO_STATISTICS = 2**60  # tables without statistics report a size of this order
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+_folders: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
+
+@contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that operators stored inside it, at its end.
+
+    Results read from these tables, so they have to be written or collected inside, too.
+    """
+    folders: list[str] = []
+    before = _folders.set(folders)
+    try:
+        yield
+    finally:
+        _folders.reset(before)
+        for folder in folders:
+            delete_folder(spark, folder)
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads, each as often as it is read; those of unknown size count nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return sum(size for size in sizes if size < _NO_STATISTICS)
 
 
 class Staged:
     """Writes frames to the folder that all executors share and reads them back.
 
     A staged frame is computed once, survives lost executors, and gives the planner its true size. The folder is
-    kept, since lazy results read from it; it lies in the session's checkpoint folder and goes with that.
+    kept, since lazy results read from it; it lies in the session's checkpoint folder and goes with that, or with
+    :func:`stored_tables`. Shuffles start with a partition for every :data:`TASK_BYTES` that the frame reads, and never
+    with fewer than the session's own; small ones are merged at run time.
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
         self.folder = new_folder(spark, purpose)
+        if (folders := _folders.get()) is not None:
+            folders.append(self.folder)
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        with settings(self.spark, {batch: str(min(ROWS_AT_ONCE, int(self.spark.conf.get(batch))))}):
+        least = int(self.spark.conf.get(_INITIAL_PARTITIONS, None) or self.spark.conf.get("spark.sql.shuffle.partitions"))
+        own = {
+            batch: str(min(ROWS_AT_ONCE, int(self.spark.conf.get(batch)))),
+            _INITIAL_PARTITIONS: str(max(least, math.ceil(scanned_bytes(df) / TASK_BYTES))),
+        }
+        with settings(self.spark, own):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
