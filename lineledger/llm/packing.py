@@ -15,7 +15,7 @@ from lineledger.llm.shared import Staged, map_batches
 from lineledger.llm.tokens import encoder
 
 Pattern = tuple[int, ...]
-PIECES_PER_BIN = 1 << 14  # that are numbered together: some 64 MB with their ids, whatever the number of pieces
+PIECES_PER_BIN = 1 << 10  # that are numbered together: at most 4 MB with their ids, whatever the number of pieces
 PARTNERS = 6  # second documents that are tried for each length when patterns are enumerated
 _STEPS = 1500  # of the least-squares fit
 
