@@ -203,10 +203,10 @@ def shape_of(html: Column) -> Column:
 
 
 def shapes(rows: DataFrame, staged: Staged) -> DataFrame:
-    """``(host, shape, main)``: the shapes that have a reference of their own, and each host's most frequent one.
+    """``(host, shape, used, least)`` of every shape of a host: the shape whose reference its pages are aligned with.
 
-    A shape has one if more than a few different pages have it. Pages of other shapes are aligned with the host's
-    main one. Only counts are grouped by host.
+    That is the shape itself if more than a few different pages have it, else the host's most frequent one. ``least``
+    is the size of its shortest page that is no stub. Only counts are grouped by host.
     """
     size = F.octet_length("html")
     counts = rows.groupBy("host", "shape").agg(
@@ -216,15 +216,14 @@ def shapes(rows: DataFrame, staged: Staged) -> DataFrame:
     )
     counts = staged(counts, "shapes")
     main = counts.groupBy("host").agg(F.max(F.struct("long", "n", -F.col("least"), "shape"))["shape"].alias("main"))
-    return staged(counts.join(main, "host").where(f"n > {SHAPE_PAGES} OR shape = main").select("host", "shape", "main"), "chosen")
+    used = F.when(F.col("n") > SHAPE_PAGES, F.col("shape")).otherwise(F.col("main")).alias("used")
+    return staged(counts.join(main, "host").select("host", "shape", used, "least"), "chosen")
 
 
 def assigned(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``rows`` with their shape replaced by their host's main one where it has no reference."""
-    own = chosen.select("host", "shape", F.lit(True).alias("__own"))
-    main = chosen.where("shape = main").select("host", F.col("main").alias("__main"))
-    found = rows.join(own, ["host", "shape"], "left").join(main, "host")
-    return found.withColumn("shape", F.when(F.col("__own"), F.col("shape")).otherwise(F.col("__main"))).drop("__own", "__main")
+    """``rows`` with their shape replaced by the one whose reference they are aligned with."""
+    found = rows.join(chosen.select("host", "shape", "used"), ["host", "shape"])
+    return found.drop("shape").withColumnRenamed("used", "shape")
 
 
 def wrappers(pages: DataFrame, staged: Staged, id_col: str, url_col: str, html_col: str) -> tuple[DataFrame, DataFrame]:
@@ -242,7 +241,7 @@ def wrappers(pages: DataFrame, staged: Staged, id_col: str, url_col: str, html_c
     rows = rows.withColumn("shape", shape_of(F.col("html")))
     chosen = shapes(rows, staged)
     order = F.struct((size < LEAST_REFERENCE).alias("stub"), size.alias("size"), "id", "html")
-    short = rows.join(chosen.select("host", "shape"), ["host", "shape"])
+    short = rows.join(chosen.where("shape = used"), ["host", "shape"]).where(F.col("least").isNull() | (size == F.col("least")))
     short = staged(short.groupBy("host", "shape").agg(F.min(order)["html"].alias("reference")), "references")
 
     def batch(hosts, shapes, texts, references):
